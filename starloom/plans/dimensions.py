@@ -22,10 +22,11 @@ def _lineage(table: str):
     return F.lit(LINEAGE[table]).alias("LineageKey")
 
 
-def _keyed(df: DataFrame, natural_id: str, key: str, offset: int, defaults: dict) -> DataFrame:
-    """Number versions by start, then natural id, then everything else."""
+def _keyed(df: DataFrame, natural_id: str, key: str, offset: int, defaults: dict, also=()) -> DataFrame:
+    """Number versions by start, then natural id, end and the columns in ``also``."""
     defaults = {natural_id: 0, "LineageKey": 0, **defaults}
-    return dimension_keys(df, ["ValidFrom", natural_id], key, offset, defaults, VALID_FROM, VALID_TO)
+    order = ["ValidFrom", natural_id, "ValidTo", *also]
+    return dimension_keys(df, order, key, offset, defaults, VALID_FROM, VALID_TO)
 
 
 def _unknown(first: str, *others: str) -> dict:
@@ -328,8 +329,9 @@ def supplier(
         "ValidTo",
         _lineage("supplier"),
     ).distinct()
-    defaults = _unknown("Supplier", "Category", "PrimaryContact", "SupplierReference", "PostalCode") | {"PaymentDays": 0}
-    return _keyed(staging, "WWISupplierID", "SupplierKey", offset, defaults)
+    defaults = _unknown("Supplier", "Category", "PrimaryContact", "SupplierReference", "PostalCode")
+    defaults |= {"PaymentDays": 0}
+    return _keyed(staging, "WWISupplierID", "SupplierKey", offset, defaults, ["Category", "PrimaryContact"])
 
 
 def payment_method(payment_methods: DataFrame, to=None, offset: int = 0) -> DataFrame:

@@ -29,7 +29,9 @@ class Role:
 def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[int, str]) -> DataFrame:
     for role in roles:
         # Several roles of one dimension share its measurement.
-        method = methods.setdefault(id(role.dim), lookup_method(role.dim, [role.member]))
+        if id(role.dim) not in methods:
+            methods[id(role.dim)] = lookup_method(role.dim, [role.member])
+        method = methods[id(role.dim)]
         take = {role.out: role.key, f"_m{role.out}": role.member, f"_s{role.out}": "ValidFrom"}
         staging = as_of_join(
             staging, role.dim, [(role.ref, role.member)], at, take, "left", closed="right", method=method
