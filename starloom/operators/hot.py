@@ -2,8 +2,9 @@
 
 Ordered work per key (next version, version in force at a time) is a window
 partitioned by the key, which sends one key's rows to one task.  Keys above
-``HOT_ROWS`` rows are cut into slices of time here; the operators carry what
-crosses a slice border as extra rows.
+``HOT_ROWS`` rows are found first and cut into slices of time; the operators
+carry what crosses a slice border as extra rows.  Without such keys the plan is
+the plain window.
 """
 
 from __future__ import annotations
@@ -17,14 +18,17 @@ HOT_ROWS = 1_000_000  # rows of one key that one task may still take
 MOST_HOT = 10_000  # bound of the broadcast below
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, at most ``MOST_HOT`` of them.
+def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows, ``None`` if there are none.
 
-    A key beyond the ``MOST_HOT`` most frequent ones has fewer than
-    ``rows / MOST_HOT`` rows, so leaving it whole is safe.
+    At most the ``MOST_HOT`` most frequent ones: any key beyond them has fewer
+    than ``rows / MOST_HOT`` rows, so leaving it whole is safe.  One aggregate
+    over the key columns of ``df``; stage ``df`` first if it is costly.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    return counts.orderBy(F.desc("_rows"), *keys).limit(MOST_HOT).select(*keys)
+    found = counts.orderBy(F.desc("_rows"), *keys).limit(MOST_HOT).drop("_rows")
+    rows = found.collect()  # bounded by MOST_HOT
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def time_slice(at: Column, unit: str) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from starloom.constants import VALID_TO
 from starloom.functions import as_names, literal_like, pairs
 from starloom.operators.dedup import dedup_by
-from starloom.operators.hot import HOT_ROWS, hot_keys, with_slices
+from starloom.operators.hot import HOT_ROWS, find_hot, with_slices
+from starloom.sources.staging import stage
 
 BROADCAST_ROWS = 1_000_000  # versions that may be sent to every executor
 SCAN_VERSIONS = 1_000  # versions of one id that one lookup may compare
@@ -26,30 +27,29 @@ def _all(conditions: list[Column]) -> Column:
 # --------------------------------------------------------------------------
 
 
+def _lead(at: str, *partition) -> Column:
+    window = Window.partitionBy(*partition).orderBy(F.col(at).asc_nulls_first())
+    return F.lead(F.struct(F.col(at).alias("at"))).over(window)
+
+
 def with_next(df: DataFrame, keys, at: str, hot_rows: int = HOT_ROWS, unit: str = "day") -> DataFrame:
     """Add ``_next``: a struct with the following ``at`` of the key, NULL on the newest row.
 
-    Rows of hot keys are windowed per time slice; each slice also gets one
-    marker row holding the first time of the next slice.
+    If some keys are hot, their rows are windowed per time slice; each slice
+    also gets one marker row holding the first time of the next slice.
     """
     keys = as_names(keys)
-    # The id alone may be hot; its rows per slice are bounded by the distinct times in it.
-    sliced = with_slices(df, hot_keys(df, keys, hot_rows), keys, at, unit)
-    names = sliced.columns
+    hot = find_hot(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn("_next", _lead(at, *keys))
+    sliced = with_slices(df, hot, keys, at, unit)
     firsts = sliced.where("_slice IS NOT NULL").groupBy(*keys, "_slice").agg(F.min(at).alias("_first"))
     following = F.lead(F.struct("_first")).over(Window.partitionBy(*keys).orderBy("_slice"))
     marks = firsts.withColumn("_follow", following).where("_follow IS NOT NULL")
-    filler = {f.name: F.lit(None).cast(f.dataType) for f in sliced.schema.fields}
-    filler |= {k: F.col(k) for k in keys} | {"_slice": F.col("_slice"), at: F.col("_follow._first")}
-    rows = sliced.withColumn("_mark", F.lit(False)).unionByName(
-        marks.select(*[filler[n].alias(n) for n in names], F.lit(True).alias("_mark"))
-    )
-    window = Window.partitionBy(*keys, "_slice").orderBy(F.col(at).asc_nulls_first(), "_mark")
-    return (
-        rows.withColumn("_next", F.lead(F.struct(F.col(at).alias("at"))).over(window))
-        .where("NOT _mark")
-        .drop("_mark", "_slice")
-    )
+    marks = marks.select(*keys, "_slice", F.col("_follow._first").alias(at), F.lit(True).alias("_mark"))
+    rows = sliced.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    # A marker's time is later than every row's of its slice.
+    return rows.withColumn("_next", _lead(at, *keys, "_slice")).where("NOT _mark").select(*df.columns, "_next")
 
 
 def version_timeline(
@@ -193,11 +193,37 @@ def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
         F.lit(version_rank).alias("_rank"),
         F.struct("_to", *take).alias("_version"),
     )
-    hot = hot_keys(rows.select(*ks).unionAll(starts.select(*ks)), ks, hot_rows)
+    hot = find_hot(rows.select(*ks).unionAll(starts.select(*ks)), ks, hot_rows)
+    if hot is None:
+        groups, both = ks, rows.unionByName(starts, allowMissingColumns=True)
+    else:
+        groups, both = [*ks, "_slice", "_salt"], _split_hot(rows, starts, hot, ks, unit)
+
+    so_far = (
+        Window.partitionBy(*groups)
+        .orderBy("_t", "_rank", F.col("_version._to").asc_nulls_first(), F.xxhash64("_version"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_row IS NOT NULL")
+    in_force = F.col("_t") < F.col("_version._to") if closed == "left" else F.col("_t") <= F.col("_version._to")
+    if how == "inner":
+        return found.where(in_force).select("_row.*", *[F.col(f"_version.{n}") for n in take])
+    matched = found.select("_row.*", *[F.when(in_force, F.col(f"_version.{n}")).alias(n) for n in take])
+    absent = left.where(~findable).select(
+        *left.columns, *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in take]
+    )
+    return matched.unionAll(absent)
+
+
+def _split_hot(rows: DataFrame, starts: DataFrame, hot: DataFrame, ks: list[str], unit: str) -> DataFrame:
+    """Rows and versions with the groups of hot keys cut by time slice and salt.
+
+    Each slice a hot key is asked for in also gets the version in force when it
+    begins: the last one of an earlier slice.  The rows of a slice are spread
+    over the salts, its versions are repeated in each.
+    """
     rows = with_slices(rows, hot, ks, "_t", unit)
     starts = with_slices(starts, hot, ks, "_t", unit)
-
-    # Version in force when a slice of a hot key begins: the last one of an earlier slice.
     last = (
         starts.where("_slice IS NOT NULL")
         .groupBy(*ks, "_slice")
@@ -214,24 +240,9 @@ def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
         .select(*ks, "_last._t", "_last._rank", "_last._version", "_slice")
     )
     salts = F.when(F.col("_slice").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_starts = starts.unionByName(carried).withColumn("_salt", F.explode(salts))
     salt = F.when(F.col("_slice").isNotNull(), F.pmod(F.xxhash64("_row"), F.lit(SALTS))).otherwise(0).cast("int")
-    both = rows.withColumn("_salt", salt).unionByName(salted_starts, allowMissingColumns=True)
-
-    so_far = (
-        Window.partitionBy(*ks, "_slice", "_salt")
-        .orderBy("_t", "_rank", F.col("_version._to").asc_nulls_first(), F.xxhash64("_version"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_row IS NOT NULL")
-    in_force = F.col("_t") < F.col("_version._to") if closed == "left" else F.col("_t") <= F.col("_version._to")
-    if how == "inner":
-        return found.where(in_force).select("_row.*", *[F.col(f"_version.{n}") for n in take])
-    matched = found.select("_row.*", *[F.when(in_force, F.col(f"_version.{n}")).alias(n) for n in take])
-    absent = left.where(~findable).select(
-        *left.columns, *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in take]
-    )
-    return matched.unionAll(absent)
+    salted = starts.unionByName(carried).withColumn("_salt", F.explode(salts))
+    return rows.withColumn("_salt", salt).unionByName(salted, allowMissingColumns=True)
 
 
 def pit_lookup(
@@ -258,23 +269,28 @@ def pit_lookup(
         take |= {"_member": pairs(on)[0][1], "_since": "ValidFrom"}
     found = as_of_join(fact, dim, on, at, take, "left", closed, **options)
     if earliest_key:
-        found = earliest_keys(found, "_member", "_since", out).drop("_member", "_since")
+        found = earliest_keys(found, [(out, "_member", "_since")]).drop("_member", "_since")
     return found if default is None else found.withColumn(out, F.coalesce(out, F.lit(default)))
 
 
-def earliest_keys(found: DataFrame, member: str, since: str, key: str) -> DataFrame:
-    """Replace ``key`` by its running minimum per ``member`` in the order of ``since``.
+def earliest_keys(found: DataFrame, roles: list[tuple[str, str, str]]) -> DataFrame:
+    """For each (key, member, since): replace the key by its running minimum per member, in order of ``since``.
 
     Rows of one version share the result, so the running minimum runs over the
-    distinct versions (aggregated map-side) and is joined back on the key.
+    distinct versions (aggregated map-side) and is joined back.  ``found`` is
+    written first, since each role reads it once more.
     """
-    used = found.where(F.col(key).isNotNull()).groupBy(member, since).agg(F.min(key).alias("_key"))
-    upto = Window.partitionBy(member).orderBy(since)
-    firsts = used.select(
-        F.col(member).alias("_m"), F.col(since).alias("_s"), F.min("_key").over(upto).alias("_earliest")
-    )
-    joined = found.join(firsts, (F.col(member) == F.col("_m")) & (F.col(since) == F.col("_s")), "left")
-    return joined.withColumn(key, F.col("_earliest")).select(*found.columns)
+    columns = found.columns
+    found = joined = stage(found, "found-versions")
+    settled = {}
+    for i, (key, member, since) in enumerate(roles):
+        used = found.where(F.col(key).isNotNull()).groupBy(member, since).agg(F.min(key).alias("_key"))
+        upto = Window.partitionBy(member).orderBy(since)
+        m, s, first = f"_em{i}", f"_es{i}", f"_earliest{i}"
+        firsts = used.select(F.col(member).alias(m), F.col(since).alias(s), F.min("_key").over(upto).alias(first))
+        joined = joined.join(firsts, (F.col(member) == F.col(m)) & (F.col(since) == F.col(s)), "left")
+        settled[key] = F.col(first)
+    return joined.withColumns(settled).select(*columns)
 
 
 # --------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from starloom.operators.dedup import dedup_by, keep_max_rows
 from starloom.operators.incremental import as_of_load
 from starloom.operators.keys import dimension_keys
 from starloom.operators.temporal import as_of_join, close_out, intersect_join, overlap_join, version_timeline
+from starloom.sources.staging import stage
 
 
 def _lineage(table: str):
@@ -89,7 +90,7 @@ def city(
         longitude.alias("Longitude"),
         latitude.alias("Latitude"),
     )
-    staging = close_out(staging, "WWICityID", to, strict_reference=strict_reference)
+    staging = close_out(stage(staging, "city-versions"), "WWICityID", to, strict_reference=strict_reference)
     defaults = _unknown(
         "City", "StateProvince", "Country", "Continent", "SalesTerritory", "Region", "Subregion"
     ) | {"LatestRecordedPopulation": 0, "Longitude": 0.0, "Latitude": 0.0}
@@ -182,7 +183,11 @@ def customer(
     def single(df):
         return dedup_by(df, ["WWICustomerID", "ValidFrom"], ["_feed", F.col("LoadDatetime").desc()])
 
-    staging = single(ended(staging)) if strict_reference else ended(single(staging))
+    # Written once: the windows below look for hot customers before they run.
+    if strict_reference:
+        staging = single(ended(stage(staging, "customer-versions")))
+    else:
+        staging = ended(stage(single(staging), "customer-versions"))
     staging = as_of_load(staging, to)
     staging = close_out(staging, "WWICustomerID", to, newest_to="_raw_to", strict_reference=strict_reference)
     staging = staging.select(
@@ -290,6 +295,7 @@ def stock_item(
         "Photo",
         "ValidFrom",
     )
+    staging = stage(staging, "stock-item-versions")
     staging = version_timeline(staging, "WWIStockItemID", "ValidFrom", default_end=end_of_time)
     staging = staging.withColumn("LineageKey", _lineage("stock_item"))
     defaults = _unknown("StockItem", "Color", "SellingPackage", "BuyingPackage", "Brand", "Size", "Barcode") | {

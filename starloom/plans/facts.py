@@ -31,27 +31,52 @@ def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[int,
         # Several roles of one dimension share its measurement.
         if id(role.dim) not in methods:
             methods[id(role.dim)] = lookup_method(role.dim, [role.member])
-        method = methods[id(role.dim)]
         take = {role.out: role.key, f"_m{role.out}": role.member, f"_s{role.out}": "ValidFrom"}
         staging = as_of_join(
-            staging, role.dim, [(role.ref, role.member)], at, take, "left", closed="right", method=method
+            staging,
+            role.dim,
+            [(role.ref, role.member)],
+            at,
+            take,
+            "left",
+            closed="right",
+            method=methods[id(role.dim)],
         )
     return staging
 
 
-def _finish(staging, roles, others, document, grain, earliest_key, order, columns, key, offset) -> DataFrame:
-    """Dedup to the grain, settle the keys, number the rows."""
+def _finish(
+    staging: DataFrame,
+    roles: list[Role],
+    others: list[str],
+    document: str,
+    grain: str,
+    earliest_key: bool,
+    columns: list[str],
+    key: str,
+    offset: int,
+) -> DataFrame:
+    """Bring the lines to the grain, number them, look the dimensions up.
+
+    A lookup adds no rows, so numbering comes first: it sorts and writes the
+    narrow lines, and the lookups run once, in the plan of the result.  Only the
+    item grain needs its item key before.
+    """
+    order = ["_line", "_item", "Quantity", "UnitPrice", "TaxRate", "_at"]
+    methods: dict[int, str] = {}
+    open_roles = roles
     if grain == "item":
-        staging = dedup_by(staging, [document, "StockItemKey"], order)
+        items = [r for r in roles if r.out == "StockItemKey"]
+        open_roles = [r for r in roles if r.out != "StockItemKey"]
+        staging = dedup_by(_look_up(staging, items, "_at", methods), [document, "StockItemKey"], order)
     elif grain != "line":
         raise ValueError("grain must be 'line' or 'item'")
+    lines = number_rows(staging, [document, *order], key, offset)
+    found = _look_up(lines, open_roles, "_at", methods)
     if earliest_key:
-        for role in roles:
-            if role.earliest:
-                staging = earliest_keys(staging, f"_m{role.out}", f"_s{role.out}", role.out)
+        found = earliest_keys(found, [(r.out, f"_m{r.out}", f"_s{r.out}") for r in roles if r.earliest])
     known = {out: F.coalesce(F.col(out), F.lit(0)) for out in [*[r.out for r in roles], *others]}
-    staging = staging.withColumns(known).select(*columns, *[c for c in order if c not in columns])
-    return number_rows(staging, [document, *[c for c in order if c != document]], key, offset).select(key, *columns)
+    return found.withColumns(known).select(key, *columns)
 
 
 def order(
@@ -121,16 +146,12 @@ def order(
         Role("SalespersonKey", "_seller", dimension_employee, "WWIEmployeeID", "EmployeeKey"),
         Role("PickerKey", "_picker", dimension_employee, "WWIEmployeeID", "EmployeeKey"),
     ]
-    staging = _look_up(staging, roles, "_at", {})
     columns = [
         "CityKey", "CustomerKey", "StockItemKey", "OrderDateKey", "PickedDateKey", "SalespersonKey", "PickerKey",
         "WWIOrderID", "WWIBackorderID", "Description", "Package", "Quantity", "UnitPrice", "TaxRate",
         "TotalExcludingTax", "TaxAmount", "TotalIncludingTax", "LineageKey", "RawDataLoadDatetime",
     ]
-    tie_break = ["_line", "_item", "Quantity", "UnitPrice", "TaxRate", "_at"]
-    return _finish(
-        staging, roles, [], "WWIOrderID", grain, earliest_key, tie_break, columns, "OrderKey", offset
-    )
+    return _finish(staging, roles, [], "WWIOrderID", grain, earliest_key, columns, "OrderKey", offset)
 
 
 def sale(
@@ -201,17 +222,13 @@ def sale(
         Role("StockItemKey", "_item", dimension_stock_item, "WWIStockItemID", "StockItemKey"),
         Role("SalespersonKey", "_seller", dimension_employee, "WWIEmployeeID", "EmployeeKey", earliest=False),
     ]
-    staging = _look_up(staging, roles, "_at", {})
     columns = [
         "CityKey", "CustomerKey", "BillToCustomerKey", "StockItemKey", "InvoiceDateKey", "DeliveryDateKey",
         "SalespersonKey", "WWIInvoiceID", "Description", "Package", "Quantity", "UnitPrice", "TaxRate",
         "TotalExcludingTax", "TaxAmount", "Profit", "TotalIncludingTax", "TotalDryItems", "TotalChillerItems",
         "LineageKey", "RawDataLoadDatetime",
     ]
-    tie_break = ["_line", "_item", "Quantity", "UnitPrice", "TaxRate", "_at"]
-    return _finish(
-        staging, roles, ["CityKey"], "WWIInvoiceID", grain, earliest_key, tie_break, columns, "SaleKey", offset
-    )
+    return _finish(staging, roles, ["CityKey"], "WWIInvoiceID", grain, earliest_key, columns, "SaleKey", offset)
 
 
 def stock_holding(

@@ -41,7 +41,7 @@ from starloom.sources.staging import stage, staging_path
 from starloom.sources.tables import extract_columns, read_tsv
 from starloom.streaming.cdc import changes, latest_images, schema_from_ddl, upsert_stream
 from workload import sql
-from workload.sources import BEGIN, LOAD_TO, OPEN_END, Sources, money
+from workload.sources import BEGIN, LOAD_TO, OPEN_END, Sources, money, saved
 from workload.sql import FAR, with_
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,23 +63,13 @@ def query(oracle: str | None = None, extra: dict[str, str] | None = None):
 # The star, built once per session and folder and then read like any saved table
 # ---------------------------------------------------------------------------
 
-_built: dict[tuple, DataFrame] = {}
-
-
-def _saved(src: Sources, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (src.spark.sparkContext.applicationId, src.folder, name)
-    if key not in _built:
-        _built[key] = build()
-    return _built[key]
-
-
 def _dims(src: Sources, *names: str) -> list[DataFrame]:
     def one(name):
         if name == "stock_item":
             return stage(_stock_items(src), "dimension-stock_item")
         return build_dimensions(src, LOAD_TO, [name])[name]
 
-    return [_saved(src, n, lambda n=n: one(n)) for n in names]
+    return [saved(src, n, lambda n=n: one(n)) for n in names]
 
 
 def _stock_items(src: Sources, **options) -> DataFrame:
@@ -119,7 +109,7 @@ def _orders(src: Sources, headers: DataFrame | None = None, **options) -> DataFr
 
 
 def _saved_sales(src: Sources) -> DataFrame:
-    return _saved(src, "sale", lambda: stage(_sales(src), "fact-sale"))
+    return saved(src, "sale", lambda: stage(_sales(src), "fact-sale"))
 
 
 # ---------------------------------------------------------------------------

@@ -9,12 +9,14 @@ tables for the oracle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.temporal import version_timeline
+from starloom.sources.staging import stage
 
 BEGIN = "2013-01-01 00:00:00"
 OPEN_END = "2099-12-31 00:00:00"
@@ -29,6 +31,17 @@ def money(column):
     return F.col(column).cast("decimal(18,2)")
 
 
+_saved: dict[tuple, DataFrame] = {}
+
+
+def saved(tables: Tables, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once per session and folder, then read like any saved table."""
+    key = (tables.spark.sparkContext.applicationId, tables.folder, name)
+    if key not in _saved:
+        _saved[key] = build()
+    return _saved[key]
+
+
 class Tables:
     """The test tables of one scale, read lazily."""
 
@@ -61,14 +74,17 @@ class Sources(Tables):
 
     def _yearly(self, members: DataFrame, member: str, facts: DataFrame, ref: str, at: str) -> DataFrame:
         """(member, ValidFrom, ValidTo, n): one version at the beginning, one per year with activity."""
-        first = members.select(F.col(member).alias("m"), _ts(BEGIN).alias("ValidFrom"), F.lit(0).alias("n"))
-        years = facts.groupBy(F.col(ref).alias("m"), F.year(at).alias("y")).agg(
-            F.min(at).alias("ValidFrom"), F.count(F.lit(1)).cast("int").alias("n")
-        )
-        starts = first.unionByName(years.where(F.col("ValidFrom") > _ts(BEGIN)).drop("y"))
-        return version_timeline(starts, "m", "ValidFrom", default_end=OPEN_END).withColumn(
-            "LoadDatetime", F.expr("ValidFrom + INTERVAL 1 DAY")
-        )
+
+        def build():
+            first = members.select(F.col(member).alias("m"), _ts(BEGIN).alias("ValidFrom"), F.lit(0).alias("n"))
+            years = facts.groupBy(F.col(ref).alias("m"), F.year(at).alias("y")).agg(
+                F.min(at).alias("ValidFrom"), F.count(F.lit(1)).cast("int").alias("n")
+            )
+            starts = first.unionByName(years.where(F.col("ValidFrom") > _ts(BEGIN)).drop("y"))
+            spans = version_timeline(starts, "m", "ValidFrom", default_end=OPEN_END)
+            return stage(spans.withColumn("LoadDatetime", F.expr("ValidFrom + INTERVAL 1 DAY")), f"{member}-years")
+
+        return saved(self, f"{member}-years", build)
 
     @cached_property
     def customer_years(self):
@@ -320,7 +336,7 @@ class Sources(Tables):
             {
                 "LastEditedWhen": F.expr("o_at + INTERVAL 12 HOURS"),
                 "LoadDatetime": F.expr("CAST(trunc(o_at, 'MM') AS timestamp_ntz) + INTERVAL 1 MONTH"),
-                "SalespersonPersonID": (F.col("o_orderkey") % 97 + 1).cast("int"),
+                "SalespersonPersonID": (F.col("o_orderkey") % 32 * 3 + 2).cast("int"),
                 "CustomerID": (F.col("o_custkey") + 1).cast("int"),
             }
         )

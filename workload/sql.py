@@ -126,7 +126,7 @@ CTES["x_supplier_categories"] = f"""
     FROM (SELECT DISTINCT s_nationkey % 5 + 1 AS k FROM supplier), {_cuts([BEGIN, "TIMESTAMP '2016-06-01 00:00:00'"])}
 """
 CTES["x_headers"] = """
-    SELECT o_orderkey + 1 AS id, o_custkey + 1 AS customer, o_orderkey % 97 + 1 AS seller,
+    SELECT o_orderkey + 1 AS id, o_custkey + 1 AS customer, o_orderkey % 32 * 3 + 2 AS seller,
            CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 89 + 1 END AS picker,
            CASE WHEN o_orderstatus = 'P' THEN o_orderkey END AS backorder,
            o_custkey - o_custkey % 10 + 1 AS bill_to, o_orderstatus AS status,
