@@ -27,18 +27,17 @@ def number_rows(df: DataFrame, order_by, key: str, offset: int = 0, key_first: b
     placed = stage(
         df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id()),
         f"keys-{key}",
+        keep_not_null=True,
     )
     part = F.shiftright("_pos", _ROW_BITS)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     row = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    number = F.coalesce((F.col("_start") + row + offset).cast("int"), F.lit(offset)).alias(key)
-    rows = [
-        F.col(f.name) if f.nullable else not_null(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields
-    ]
-    numbered = placed.join(F.broadcast(starts), part == F.col("_part"), "inner")
-    return numbered.select(number, *rows) if key_first else numbered.select(*rows, number)
+    number = F.coalesce((F.col("_start") + row + offset).cast("int"), F.lit(offset))
+    numbered = placed.join(F.broadcast(starts), part == F.col("_part"), "inner").withColumn(key, number)
+    columns = [key, *df.columns] if key_first else [*df.columns, key]
+    return numbered.select(*columns)
 
 
 def unknown_member(like: DataFrame, values: dict) -> DataFrame:

@@ -90,7 +90,7 @@ def city(
         longitude.alias("Longitude"),
         latitude.alias("Latitude"),
     )
-    staging = close_out(stage(staging, "city-versions"), "WWICityID", to, strict_reference=strict_reference)
+    staging = close_out(stage(staging, "city-versions", True), "WWICityID", to, strict_reference=strict_reference)
     defaults = _unknown(
         "City", "StateProvince", "Country", "Continent", "SalesTerritory", "Region", "Subregion"
     ) | {"LatestRecordedPopulation": 0, "Longitude": 0.0, "Latitude": 0.0}
@@ -295,7 +295,7 @@ def stock_item(
         "Photo",
         "ValidFrom",
     )
-    staging = stage(staging, "stock-item-versions")
+    staging = stage(staging, "stock-item-versions", True)
     staging = version_timeline(staging, "WWIStockItemID", "ValidFrom", default_end=end_of_time)
     staging = staging.withColumn("LineageKey", _lineage("stock_item"))
     defaults = _unknown("StockItem", "Color", "SellingPackage", "BuyingPackage", "Brand", "Size", "Barcode") | {

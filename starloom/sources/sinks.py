@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.merge import merge_upsert
 from starloom.sources.staging import staging_folder
+from starloom.sources.tables import read_table
 
 _SLOT = "starloom.slot"
 _BATCH = "starloom.batch"
@@ -101,7 +102,7 @@ def merge_into(
         return
     if batch is not None and _property(spark, name, _BATCH) == str(batch):
         return
-    merged = merge_upsert(spark.read.table(name), source, keys, update_cols, **options)
+    merged = merge_upsert(read_table(spark, name), source, keys, update_cols, **options)
     replace_snapshot(spark, name, merged, root, batch)
 
 
@@ -169,4 +170,5 @@ def export_sample(df: DataFrame, path: str, order_by, rows: int = 100) -> None:
     single output file then holds ``rows`` rows at most.
     """
     first = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)).limit(rows)
-    first.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue='""')
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    first.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, **keep)

@@ -11,6 +11,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.functions import not_null
 
 _local_folder: str | None = None
 
@@ -32,9 +36,20 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_folder(spark)}/starloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def stage(df: DataFrame, label: str, keep_not_null: bool = False) -> DataFrame:
+    """Write ``df`` once and return the written table.
+
+    Files do not record that a column is never null; ``keep_not_null`` declares
+    it again.
+    """
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    return restore_not_null(staged, df.schema) if keep_not_null else staged
+
+
+def restore_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(
+        *[F.col(f.name) if f.nullable else not_null(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    )

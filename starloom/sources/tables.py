@@ -13,9 +13,14 @@ from starloom.constants import GEOGRAPHY_COLUMNS
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table by name, or files by path."""
+    """A catalog table by name, or files by path.
+
+    The table may have been repointed by another session, a running stream
+    say, so what this session remembers of it is dropped first.
+    """
     if "/" in name_or_path:
         return spark.read.format(fmt).load(name_or_path)
+    spark.catalog.refreshTable(name_or_path)
     return spark.read.table(name_or_path)
 
 

@@ -38,7 +38,7 @@ from starloom.plans.star import build_dimensions, build_facts
 from starloom.sources.changes import read_changes
 from starloom.sources.sinks import append, export_sample, merge_into, overwrite
 from starloom.sources.staging import stage, staging_path
-from starloom.sources.tables import extract_columns, read_tsv
+from starloom.sources.tables import extract_columns, read_table, read_tsv
 from starloom.streaming.cdc import changes, latest_images, schema_from_ddl, upsert_stream
 from workload import sql
 from workload.sources import BEGIN, LOAD_TO, OPEN_END, Sources, money, saved
@@ -740,7 +740,7 @@ def table_upsert(src):
     overwrite(target.where(early), name)
     append(target.where(~early), name)
     merge_into(src.spark, name, source, "o_orderkey", ["key", "price"])
-    return src.spark.read.table(name)
+    return read_table(src.spark, name)
 
 
 # ---------------------------------------------------------------------------
@@ -820,7 +820,7 @@ def cdc_stream_upsert(src):
         time_guard=True,
     )
     running.awaitTermination()
-    return src.spark.read.table(name).select("user_id", "event_id", "event_type", "value", "ts", "day")
+    return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
 
 
 @query(
