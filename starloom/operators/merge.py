@@ -45,7 +45,8 @@ def merge_upsert(
     match must also meet to be updated.  Repeated source keys that match raise
     ``MergeConflict``.
 
-    ``auto`` counts the source.  A small one is broadcast: the target is then
+    ``auto`` counts the source, which is read two or three times, so stage it
+    first if it is costly.  A small one is broadcast: the target is then
     only scanned, never shuffled.  A larger one takes a full outer join, with
     NULL keys kept out so they cannot pile up in one partition.
     """
@@ -58,11 +59,14 @@ def merge_upsert(
     source = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in columns])
 
     keyed = _all([F.col(k).isNotNull() for k in keys])
-    if check and not source.where(keyed).groupBy(*keys).count().where("count > 1").isEmpty():
-        if not ambiguous_keys(target, source.where(keyed), keys).isEmpty():
+    if check or method == "auto":
+        # One pass over the source keys gives its size and whether any key repeats.
+        per_key = source.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        rows, most = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        if check and most > 1 and not ambiguous_keys(target, source.where(keyed), keys).isEmpty():
             raise MergeConflict(f"several source rows match one target row on {keys}")
-    if method == "auto":
-        method = "broadcast" if source.count() <= BROADCAST_SOURCE_ROWS else "outer"
+        if method == "auto":
+            method = "broadcast" if rows <= BROADCAST_SOURCE_ROWS else "outer"
 
     def inserted(rows: DataFrame) -> DataFrame:
         return rows.select(

@@ -113,15 +113,25 @@ def _contains(at: Column, start: Column, end: Column, closed: str) -> Column:
     raise ValueError("closed must be 'left' or 'right'")
 
 
-def lookup_method(history: DataFrame, keys: list[str]) -> str:
-    """``broadcast`` for a history that is small and shallow, else ``merge``.
+def lookup_methods(histories: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, str]:
+    """``broadcast`` for each history that is small and shallow, else ``merge``.
 
-    One aggregate over the key columns measures it, so the choice rests on
+    One job counts the versions per id of all of them, so the choice rests on
     counted rows and not on estimates.
     """
-    versions = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total, deepest = versions.agg(F.sum("n"), F.max("n")).first()
-    return "broadcast" if (total or 0) <= BROADCAST_ROWS and (deepest or 0) <= SCAN_VERSIONS else "merge"
+    measured = None
+    for name, (history, keys) in histories.items():
+        versions = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        row = versions.agg(F.sum("n").alias("total"), F.max("n").alias("deepest")).select(F.lit(name), "*")
+        measured = row if measured is None else measured.unionAll(row)
+    return {
+        name: "broadcast" if (total or 0) <= BROADCAST_ROWS and (deepest or 0) <= SCAN_VERSIONS else "merge"
+        for name, total, deepest in measured.collect()  # one row per history
+    }
+
+
+def lookup_method(history: DataFrame, keys: list[str]) -> str:
+    return lookup_methods({"it": (history, keys)})["it"]
 
 
 def as_of_join(
@@ -298,13 +308,12 @@ def earliest_keys(found: DataFrame, roles: list[tuple[str, str, str]]) -> DataFr
 # --------------------------------------------------------------------------
 
 
-def _overlapping(left, right, on, l_valid, r_valid, how, bin_unit):
+def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
     """Pairs of ``left`` and ``right`` (columns already distinct) whose closed intervals meet."""
     (lf, lt), (rf, rt) = l_valid, r_valid
-    same = [F.col(a) == F.col(b) for a, b in on]
     meets = (F.col(lf) <= F.col(rt)) & (F.col(rf) <= F.col(lt))
     if bin_unit is None:
-        return left.join(right, _all([*same, meets]), how)
+        return left.join(right, _all([*same, meets]), "inner")
     # A pair meets first at the later of its two starts.  No start is later than
     # `horizon`, so an open interval needs bins up to there only.
     latest = left.agg(F.max(lf).alias("m")).unionAll(right.agg(F.max(rf).alias("m")))
@@ -332,15 +341,16 @@ def overlap_join(
     take: dict[str, str],
     valid: tuple[str, str] = ("ValidFrom", "ValidTo"),
     right_valid: tuple[str, str] | None = None,
-    bin_unit: str | None = "auto",
+    method: str = "auto",
+    bin_unit: str = "month",
 ) -> DataFrame:
     """Inner join of versions whose intervals overlap; touching ends count.
 
-    With ``bin_unit`` (``month``, ``year``, ...) both sides are cut at that
-    unit and joined on (key, bin), so an id with very many versions compares
+    ``broadcast`` sends the right side to all executors, which ``auto`` does
+    only for a counted, small one.  ``merge`` cuts both sides at ``bin_unit``
+    and joins on (key, bin), so an id with very many versions compares
     neighbours in time only; each pair is kept once, in the bin where it first
-    meets.  ``auto`` joins directly when the right side is counted to be small
-    and shallow, else bins by month.
+    meets.  ``join`` leaves it to Spark.
     """
     keys = pairs(on)
     r_from, r_to = right_valid or valid
@@ -350,13 +360,13 @@ def overlap_join(
         F.col(r_to).alias("_rto"),
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    if bin_unit == "auto":
-        small = lookup_method(right, [r for _, r in keys]) == "broadcast"
-        bin_unit, side = (None, F.broadcast(side)) if small else ("month", side)
-    joined = _overlapping(
-        left, side, [(a, f"_r{i}") for i, (a, _) in enumerate(keys)], valid, ("_rfrom", "_rto"), "inner", bin_unit
-    )
-    return joined.select(*left.columns, *take)
+    if method == "auto":
+        method = lookup_method(right, [r for _, r in keys])
+    if method == "broadcast":
+        side = F.broadcast(side)
+    bins = bin_unit if method == "merge" else None
+    same = [F.col(a) == F.col(f"_r{i}") for i, (a, _) in enumerate(keys)]
+    return _overlapping(left, side, same, valid, ("_rfrom", "_rto"), bins).select(*left.columns, *take)
 
 
 def intersect_join(
@@ -366,16 +376,17 @@ def intersect_join(
     take: dict[str, str],
     valid: tuple[str, str] = ("ValidFrom", "ValidTo"),
     right_valid: tuple[str, str] | None = None,
-    bin_unit: str | None = "auto",
+    **options,
 ) -> DataFrame:
     """Join on the key and narrow validity to the common part; empty parts go.
 
-    Apply it repeatedly to intersect more than two histories.
+    Apply it repeatedly to intersect more than two histories.  ``options`` are
+    those of ``overlap_join``.
     """
     start, end = valid
     r_from, r_to = right_valid or valid
     paired = overlap_join(
-        left, right, on, {**take, "_rf": r_from, "_rt": r_to}, valid=valid, right_valid=right_valid, bin_unit=bin_unit
+        left, right, on, {**take, "_rf": r_from, "_rt": r_to}, valid=valid, right_valid=right_valid, **options
     )
     common = paired.withColumns({start: F.greatest(start, "_rf"), end: F.least(end, "_rt")})
     return common.where(F.col(end) > F.col(start)).drop("_rf", "_rt")

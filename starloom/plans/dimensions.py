@@ -15,7 +15,14 @@ from starloom.functions import literal_like, wkt_point
 from starloom.operators.dedup import dedup_by, keep_max_rows
 from starloom.operators.incremental import as_of_load
 from starloom.operators.keys import dimension_keys
-from starloom.operators.temporal import as_of_join, close_out, intersect_join, overlap_join, version_timeline
+from starloom.operators.temporal import (
+    as_of_join,
+    close_out,
+    intersect_join,
+    lookup_methods,
+    overlap_join,
+    version_timeline,
+)
 from starloom.sources.staging import stage
 
 
@@ -46,6 +53,7 @@ def city(
     states = as_of_load(state_provinces, to).withColumn("_state_from", F.col("ValidFrom"))
     nations = as_of_load(countries, to).withColumn("_country_from", F.col("ValidFrom"))
     staging = as_of_load(cities, to).withColumn("_city_from", F.col("ValidFrom"))
+    methods = lookup_methods({"state": (states, ["StateProvinceID"]), "country": (nations, ["CountryID"])})
     staging = intersect_join(
         staging,
         states,
@@ -56,6 +64,7 @@ def city(
             "_country": "CountryID",
             "_state_from": "_state_from",
         },
+        method=methods["state"],
     )
     staging = intersect_join(
         staging,
@@ -68,6 +77,7 @@ def city(
             "Subregion": "Subregion",
             "_country_from": "_country_from",
         },
+        method=methods["country"],
     )
     staging = dedup_by(
         staging, ["CityID", "_city_from", "_state_from", "_country_from"], ["ValidFrom", "ValidTo", "LoadDatetime"]
@@ -97,7 +107,7 @@ def city(
     return _keyed(staging, "WWICityID", "CityKey", offset, defaults)
 
 
-def _customer_feeds(customers, categories, groups, people) -> DataFrame:
+def _customer_feeds(customers, categories, groups, people, methods) -> DataFrame:
     """One row per change that starts a customer version, with the customer as it was then.
 
     ``_feed`` tells whose change it is; for the three side feeds ``_own`` holds
@@ -131,6 +141,7 @@ def _customer_feeds(customers, categories, groups, people) -> DataFrame:
             [(ref, side_id)],
             {"_at": "ValidFrom", "_end": "ValidTo", "LoadDatetime": "LoadDatetime", "_own": name},
             right_valid=("ValidFrom", "ValidFrom"),
+            method=methods[ref],
         ).where(F.col("_at") < F.col("ValidTo"))
         touched = touched.withColumns({"ValidFrom": F.col("_at"), "ValidTo": F.col("_end"), "_feed": F.lit(number)})
         feeds = feeds.unionByName(touched.drop("_at", "_end"))
@@ -157,17 +168,24 @@ def customer(
     (equal starts then leave empty versions) and closes newest versions as
     ``close_out`` describes.
     """
-    staging = _customer_feeds(customers, customer_categories, buying_groups, people)
     roles = [
         (None, "_bill_to", customers, "CustomerID", "CustomerName", "BillToCustomer"),
         (1, "_category", customer_categories, "CustomerCategoryID", "CustomerCategoryName", "Category"),
         (2, "_group", buying_groups, "BuyingGroupID", "BuyingGroupName", "BuyingGroup"),
         (3, "_contact", people, "PersonID", "FullName", "PrimaryContact"),
     ]
+    methods = lookup_methods({ref: (history, [member_id]) for _, ref, history, member_id, _, _ in roles})
+    staging = _customer_feeds(customers, customer_categories, buying_groups, people, methods)
     complete = F.lit(True)
     for feed, ref, history, member_id, name, out in roles:
         staging = as_of_join(
-            staging, history, [(ref, member_id)], "ValidFrom", {f"_found{ref}": member_id, out: name}, "left"
+            staging,
+            history,
+            [(ref, member_id)],
+            "ValidFrom",
+            {f"_found{ref}": member_id, out: name},
+            "left",
+            method=methods[ref],
         )
         mine = F.col("_feed") == F.lit(feed) if feed else F.lit(False)
         staging = staging.withColumn(out, F.when(mine, F.col("_own")).otherwise(F.col(out)))
@@ -261,11 +279,20 @@ def stock_item(
     joins the item's last groups, which repeats a version per group in force.
     """
     staging = stock_items
+    methods = lookup_methods({"package": (package_types, ["PackageTypeID"]), "color": (colors, ["ColorID"])})
     for ref, out in (("UnitPackageID", "SellingPackage"), ("OuterPackageID", "BuyingPackage")):
         staging = as_of_join(
-            staging, package_types, [(ref, "PackageTypeID")], "ValidFrom", {out: "PackageTypeName"}, "inner"
+            staging,
+            package_types,
+            [(ref, "PackageTypeID")],
+            "ValidFrom",
+            {out: "PackageTypeName"},
+            "inner",
+            method=methods["package"],
         )
-    staging = as_of_join(staging, colors, "ColorID", "ValidFrom", {"Color": "ColorName"}, "left")
+    staging = as_of_join(
+        staging, colors, "ColorID", "ValidFrom", {"Color": "ColorName"}, "left", method=methods["color"]
+    )
     if strict_reference:
         groups = last_stock_groups(as_of_load(stock_groups, to), stock_item_stock_groups)
         staging = as_of_join(
@@ -314,14 +341,23 @@ def supplier(
     suppliers: DataFrame, supplier_categories: DataFrame, people: DataFrame, to=None, offset: int = 0
 ) -> DataFrame:
     """Supplier versions with every category and contact version they overlap."""
+    categories, contacts = as_of_load(supplier_categories, to), as_of_load(people, to)
+    methods = lookup_methods(
+        {"category": (categories, ["SupplierCategoryID"]), "contact": (contacts, ["PersonID"])}
+    )
     staging = overlap_join(
         as_of_load(suppliers, to),
-        as_of_load(supplier_categories, to),
+        categories,
         "SupplierCategoryID",
         {"Category": "SupplierCategoryName"},
+        method=methods["category"],
     )
     staging = overlap_join(
-        staging, as_of_load(people, to), [("PrimaryContactPersonID", "PersonID")], {"PrimaryContact": "FullName"}
+        staging,
+        contacts,
+        [("PrimaryContactPersonID", "PersonID")],
+        {"PrimaryContact": "FullName"},
+        method=methods["contact"],
     )
     staging = staging.select(
         F.col("SupplierID").alias("WWISupplierID"),

@@ -11,7 +11,7 @@ from starloom.constants import LINEAGE
 from starloom.operators.dedup import dedup_by, latest_per_key
 from starloom.operators.incremental import fact_window
 from starloom.operators.keys import number_rows
-from starloom.operators.temporal import as_of_join, earliest_keys, latest_version, lookup_method
+from starloom.operators.temporal import as_of_join, earliest_keys, latest_version, lookup_methods
 
 
 @dataclass(frozen=True)
@@ -26,11 +26,8 @@ class Role:
     earliest: bool = True
 
 
-def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[int, str]) -> DataFrame:
+def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[str, str]) -> DataFrame:
     for role in roles:
-        # Several roles of one dimension share its measurement.
-        if id(role.dim) not in methods:
-            methods[id(role.dim)] = lookup_method(role.dim, [role.member])
         take = {role.out: role.key, f"_m{role.out}": role.member, f"_s{role.out}": "ValidFrom"}
         staging = as_of_join(
             staging,
@@ -40,7 +37,7 @@ def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[int,
             take,
             "left",
             closed="right",
-            method=methods[id(role.dim)],
+            method=methods[role.key],
         )
     return staging
 
@@ -63,7 +60,8 @@ def _finish(
     item grain needs its item key before.
     """
     order = ["_line", "_item", "Quantity", "UnitPrice", "TaxRate", "_at"]
-    methods: dict[int, str] = {}
+    # Several roles of one dimension share its measurement.
+    methods = lookup_methods({r.key: (r.dim, [r.member]) for r in roles})
     open_roles = roles
     if grain == "item":
         items = [r for r in roles if r.out == "StockItemKey"]

@@ -100,6 +100,8 @@ def save_star(star: dict[str, DataFrame], schema: str, to=None, rekey: bool = Fa
         if name in FACTS and to is not None:
             kept = {*merge_keys} | (set() if rekey else {key})
             update = [c for c in table.columns if c not in kept]
+            # Written once: the merge counts its source before it joins it.
+            table = stage(table, f"fact-{name}")
             save(table, f"{schema}.{target}", "merge", merge_keys, update_cols=update)
         else:
             save(table, f"{schema}.{target}", "overwrite")

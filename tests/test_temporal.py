@@ -118,18 +118,18 @@ def test_pit_lookup_default_and_earliest(spark):
     assert got == [(day(1), 0), (day(15), 12), (day(25), 12), (day(99), 0)]
 
 
-@pytest.mark.parametrize("bin_unit", [None, "auto", "week", "month"])
-def test_overlap_and_intersection_against_brute_force(spark, bin_unit):
+@pytest.mark.parametrize("method,bin_unit", [("join", "day"), ("auto", "day"), ("merge", "week"), ("merge", "month")])
+def test_overlap_and_intersection_against_brute_force(spark, method, bin_unit):
     rng = random.Random(3)
     a, b = random_history(rng, range(5)), random_history(rng, range(1, 6))
     b.append((2, 0, 40_000, 999))  # open end
     left, right = versions(spark, a), versions(spark, b)
-    got = sorted((r.v, r.w) for r in overlap_join(left, right, "id", {"w": "v"}, bin_unit=bin_unit).collect())
+    got = sorted((r.v, r.w) for r in overlap_join(left, right, "id", {"w": "v"}, method=method, bin_unit=bin_unit).collect())
     want = [(x[3], y[3]) for x in a for y in b if x[0] == y[0] and x[1] <= y[2] and y[1] <= x[2]]
     assert got == sorted(want)
     got = sorted(
         (r.v, r.w, r.ValidFrom, r.ValidTo)
-        for r in intersect_join(left, right, "id", {"w": "v"}, bin_unit=bin_unit).collect()
+        for r in intersect_join(left, right, "id", {"w": "v"}, method=method, bin_unit=bin_unit).collect()
     )
     want = [
         (x[3], y[3], day(max(x[1], y[1])), day(min(x[2], y[2])))

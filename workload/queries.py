@@ -182,7 +182,7 @@ def order_fact_incremental(src):
     )
     first = stage(build_facts(src, dims, to=_T1, names=["order"])["order"], "fact-order")
     second = build_facts(src, dims, to=_T2, targets={"order": first}, names=["order"])["order"]
-    return fact_merge(first, second, ["StockItemKey", "WWIOrderID"], "OrderKey")
+    return fact_merge(first, stage(second, "fact-order"), ["StockItemKey", "WWIOrderID"], "OrderKey")
 
 
 @query(
@@ -505,6 +505,7 @@ def intersect_joins(src):
         src.user_history(["signup", "error"]),
         "user_id",
         {"other_id": "event_id"},
+        method="merge",
         bin_unit="day",
     )
 
