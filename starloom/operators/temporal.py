@@ -283,7 +283,9 @@ def pit_lookup(
     return found if default is None else found.withColumn(out, F.coalesce(out, F.lit(default)))
 
 
-def earliest_keys(found: DataFrame, roles: list[tuple[str, str, str]]) -> DataFrame:
+def earliest_keys(
+    found: DataFrame, roles: list[tuple[str, str, str]], hot_rows: int = HOT_ROWS, unit: str = "day"
+) -> DataFrame:
     """For each (key, member, since): replace the key by its running minimum per member, in order of ``since``.
 
     Rows of one version share the result, so the running minimum runs over the
@@ -295,14 +297,36 @@ def earliest_keys(found: DataFrame, roles: list[tuple[str, str, str]]) -> DataFr
     settled = {}
     for i, (key, member, since) in enumerate(roles):
         used = found.where(F.col(key).isNotNull()).groupBy(member, since).agg(F.min(key).alias("_key"))
-        upto = Window.partitionBy(member).orderBy(since)
         m, s, first = f"_em{i}", f"_es{i}", f"_earliest{i}"
-        firsts = used.select(F.col(member).alias(m), F.col(since).alias(s), F.min("_key").over(upto).alias(first))
+        firsts = running_min(used, member, since, "_key", first, hot_rows, unit)
+        firsts = firsts.select(F.col(member).alias(m), F.col(since).alias(s), first)
         joined = joined.join(firsts, (F.col(member) == F.col(m)) & (F.col(since) == F.col(s)), "left")
         settled[key] = F.col(first)
     return joined.withColumns(settled).select(*columns)
 
 
+def running_min(
+    df: DataFrame, member: str, at: str, value: str, out: str, hot_rows: int = HOT_ROWS, unit: str = "day"
+) -> DataFrame:
+    """Add the smallest ``value`` of a member up to ``at``; hot members are cut into time slices."""
+    hot = find_hot(df, [member], hot_rows)
+    if hot is None:
+        return df.withColumn(out, F.min(value).over(Window.partitionBy(member).orderBy(at)))
+    sliced = with_slices(df, hot, [member], at, unit)
+    earlier = Window.partitionBy("_m").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = (
+        sliced.where("_slice IS NOT NULL")
+        .groupBy(F.col(member).alias("_m"), F.col("_slice").alias("_s"))
+        .agg(F.min(value).alias("_min"))
+        .withColumn("_before", F.min("_min").over(earlier))
+    )
+    within = F.min(value).over(Window.partitionBy(member, "_slice").orderBy(at))
+    joined = sliced.withColumn("_within", within).join(
+        per_slice, (F.col(member) == F.col("_m")) & (F.col("_slice") == F.col("_s")), "left"
+    )
+    return joined.withColumn(out, F.least("_within", "_before")).select(*df.columns, out)
+
+
 # --------------------------------------------------------------------------
 # Interval joins
 # --------------------------------------------------------------------------

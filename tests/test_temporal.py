@@ -10,6 +10,7 @@ from starloom.operators.temporal import (
     intersect_join,
     overlap_join,
     pit_lookup,
+    running_min,
     version_timeline,
 )
 
@@ -118,6 +119,15 @@ def test_pit_lookup_default_and_earliest(spark):
     assert got == [(day(1), 0), (day(15), 12), (day(25), 12), (day(99), 0)]
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 4])
+def test_running_min(spark, hot_rows):
+    rng = random.Random(5)
+    rows = [(i, d, rng.randint(0, 99)) for i in range(4) for d in rng.sample(range(200), 30 if i == 0 else 3)]
+    df = spark.createDataFrame([(i, day(d), v) for i, d, v in rows], "id int, at timestamp, v int")
+    got = sorted((r.id, r.at, r.m) for r in running_min(df, "id", "at", "v", "m", hot_rows, "week").collect())
+    assert got == sorted((i, day(d), min(w for j, e, w in rows if j == i and e <= d)) for i, d, _ in rows)
+
+
 @pytest.mark.parametrize("method,bin_unit", [("join", "day"), ("auto", "day"), ("merge", "week"), ("merge", "month")])
 def test_overlap_and_intersection_against_brute_force(spark, method, bin_unit):
     rng = random.Random(3)
