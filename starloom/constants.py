@@ -83,3 +83,31 @@ GEOGRAPHY_COLUMNS = {
     "Purchasing_Suppliers": ["DeliveryLocation"],
     "Sales_Customers": ["DeliveryLocation"],
 }
+
+# The columns a sample of each source table is ordered by.
+SAMPLE_ORDER = {
+    "Application_SystemParameters": ["SystemParameterID"],
+    "Sales_Invoices": ["InvoiceID"],
+    "Sales_InvoiceLines": ["InvoiceID"],
+    "Sales_OrderLines": ["OrderLineID"],
+    "Sales_Orders": ["OrderID"],
+    "Sales_SpecialDeals": ["SpecialDealID"],
+    "Warehouse_StockItemHoldings": ["StockItemID"],
+    "Warehouse_StockItemStockGroups": ["StockItemID"],
+    "Warehouse_StockItemTransactions": ["StockItemID"],
+    "Application_Cities": ["CityID"],
+    "Application_Countries": ["LastEditedBy", "Region"],
+    "Application_DeliveryMethods": ["DeliveryMethodID"],
+    "Application_PaymentMethods": ["PaymentMethodID"],
+    "Application_People": ["IsPermittedToLogon", "PersonID"],
+    "Application_StateProvinces": ["LastEditedBy", "StateProvinceID"],
+    "Application_TransactionTypes": ["TransactionTypeID"],
+    "Sales_BuyingGroups": ["BuyingGroupID"],
+    "Sales_CustomerCategories": ["CustomerCategoryID"],
+    "Sales_Customers": ["PrimaryContactPersonID"],
+    "Warehouse_ColdRoomTemperatures": ["ColdRoomTemperatureID"],
+    "Warehouse_Colors": ["ColorID"],
+    "Warehouse_PackageTypes": ["PackageTypeID"],
+    "Warehouse_StockGroups": ["StockGroupID"],
+    "Warehouse_StockItems": ["StockItemID"],
+}

@@ -156,12 +156,12 @@ def as_of_join(
     ``how`` is ``inner`` or ``left``.
 
     Methods: ``broadcast`` sends the history to all executors (``auto`` takes
-    it only for a counted, small one); ``join`` leaves the equi-join with a
-    range condition to Spark; ``merge`` sorts rows and versions of a key
-    together and carries the last version along, which stays linear however
-    many versions an id has and splits hot ids.  The versions of one id are
-    expected not to overlap; where they do, ``merge`` takes the one that
-    started last and the joins return every match.
+    it only for a counted, small one); ``merge`` sorts rows and versions of a
+    key together and carries the last version along, which stays linear however
+    many versions an id has and splits hot ids.  Both find one version at most:
+    should versions of an id overlap, the one that started last counts.
+    ``join`` is the plain equi-join with a range condition and returns every
+    match.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -178,9 +178,14 @@ def as_of_join(
     if method == "auto":
         method = lookup_method(history, [h for _, h in keys])
     if method in ("broadcast", "join"):
-        side = F.broadcast(versions) if method == "broadcast" else versions
+        if method == "broadcast":
+            # A version ends when the next one starts, so at most one matches.  The
+            # history is shallow here, hence no need to look for hot ids.
+            by_start = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_from", "_to", *take)
+            ends = F.least("_to", F.lead("_from").over(by_start))
+            versions = F.broadcast(versions.withColumn("_to", ends).where("_from < _to"))
         same = [F.col(name) == F.col(f"_k{i}") for i, (name, _) in enumerate(keys)]
-        matched = left.join(side, _all([*same, _contains(F.col(at), F.col("_from"), F.col("_to"), closed)]), how)
+        matched = left.join(versions, _all([*same, _contains(F.col(at), F.col("_from"), F.col("_to"), closed)]), how)
         return matched.select(*left.columns, *take)
     return _merge_lookup(left, versions, keys, at, list(take), how, closed, hot_rows, unit)
 
@@ -211,7 +216,7 @@ def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
 
     so_far = (
         Window.partitionBy(*groups)
-        .orderBy("_t", "_rank", F.col("_version._to").asc_nulls_first(), F.xxhash64("_version"))
+        .orderBy("_t", "_rank", "_version._to", *[f"_version.{n}" for n in take])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_row IS NOT NULL")

@@ -11,6 +11,7 @@ from starloom.constants import TEMPORAL_TABLES
 from starloom.operators.incremental import high_water_mark, stamp, temporal_union, window_filter
 from starloom.operators.merge import merge_all, merge_keep_stamp
 from starloom.sources.sinks import merge_into
+from starloom.sources.staging import stage
 from starloom.sources.tables import ensure_table, extract_sql, read_jdbc
 
 
@@ -59,10 +60,12 @@ def load_table(
     last = high_water_mark(target)
     current = read(extract_sql(name, columns))
     if name in TEMPORAL_TABLES:
-        rows = extract_temporal(current, read(extract_sql(name, columns, archive=True)), load_time, last)
+        archive = read(extract_sql(name, columns, archive=True))
+        # Written once: the source is read a single time however often the merge reads its rows.
+        rows = stage(extract_temporal(current, archive, load_time, last), f"load-{name}")
         merge_into(spark, target_name, rows, [key, "ValidFrom"], columns, **options)
     else:
-        rows = extract_regular(current, load_time, last)
+        rows = stage(extract_regular(current, load_time, last), f"load-{name}")
         merge_into(spark, target_name, rows, [key], rows.columns, **options)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.constants import SAMPLE_ORDER
 from starloom.operators.merge import merge_upsert
 from starloom.sources.staging import staging_folder
 from starloom.sources.tables import read_table
@@ -172,3 +173,10 @@ def export_sample(df: DataFrame, path: str, order_by, rows: int = 100) -> None:
     first = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)).limit(rows)
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     first.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, **keep)
+
+
+def export_samples(tables: dict[str, DataFrame], root: str, rows: int = 100) -> None:
+    """A sample of each source table, in its own folder; ties are settled by the first column."""
+    for name, df in tables.items():
+        order = SAMPLE_ORDER.get(name, [])
+        export_sample(df, table_path(root, name), [*order, *[c for c in df.columns[:1] if c not in order]], rows)

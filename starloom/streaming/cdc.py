@@ -10,6 +10,7 @@ from starloom.functions import as_names, epoch_days, epoch_millis
 from starloom.operators.dedup import latest_per_key
 from starloom.operators.incremental import stamp
 from starloom.sources.sinks import merge_into
+from starloom.sources.staging import stage
 
 # The change-event envelope.
 ENVELOPE = """
@@ -119,9 +120,10 @@ def upsert_batch(
     extra = [F.col("EventTime")] if time_guard else []
     if deletes == "apply":
         extra.append((F.col("op") == "d").alias("IsDeleted"))
-    rows = stamp(latest.select(*kept, *extra), load_time) if load_time else latest.select(
-        *kept, *extra, F.current_timestamp().alias("LoadDatetime")
-    )
+    rows = latest.select(*kept, *extra)
+    rows = stamp(rows, load_time) if load_time else rows.withColumn("LoadDatetime", F.current_timestamp())
+    # Written once: the merge reads its source several times, the stream should be read once.
+    rows = stage(rows, f"batch-{name}")
     guard = F.col("source.EventTime") >= F.col("target.EventTime") if time_guard else None
     options = {} if native else {"guard": guard, "check": False}
     merge_into(
@@ -151,6 +153,34 @@ def upsert_stream(stream: DataFrame, name: str, keys, checkpoint: str, trigger:
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def upsert_streams(
+    streams: dict[str, DataFrame],
+    schemas: dict[str, T.StructType | str],
+    target_schema: str,
+    checkpoint_root: str,
+    keys: dict[str, list[str]] | None = None,
+    **options,
+) -> dict:
+    """One running query per table: messages of ``streams[name]`` into ``target_schema.name``.
+
+    The key of a table is its first column unless ``keys`` names others.
+    ``LoadDatetime`` in a declared schema is the stamp and not part of a message.
+    """
+    running = {}
+    for name, stream in streams.items():
+        declared = schemas[name]
+        declared = T.StructType.fromDDL(declared) if isinstance(declared, str) else declared
+        image = T.StructType([f for f in declared.fields if f.name != "LoadDatetime"])
+        running[name] = upsert_stream(
+            changes(stream, image, deletes=options.get("deletes", "ignore")),
+            f"{target_schema}.{name}",
+            (keys or {}).get(name, [image.fields[0].name]),
+            f"{checkpoint_root.rstrip('/')}/{name}",
+            **options,
+        )
+    return running
+
+
 def schema_from_ddl(df: DataFrame, value_col: str = "value") -> DataFrame:
     """The latest declared columns of each table, from a table of DDL-change messages.
 

@@ -100,6 +100,16 @@ def test_sample_export_round_trip(spark, tmp_path):
     assert [(r.id, r.v) for r in back] == [(i, None if i % 2 == 0 else "t\tab\n") for i in range(10)]
 
 
+def test_samples_of_several_tables(spark, tmp_path):
+    cities = spark.range(50).selectExpr("50 - id AS CityID", "'x' AS CityName")
+    people = spark.range(9).selectExpr("id AS PersonID", "id % 2 = 0 AS IsPermittedToLogon")
+    sinks.export_samples({"Application_Cities": cities, "Application_People": people}, str(tmp_path), 3)
+    read = read_tsv(spark, str(tmp_path / "Application" / "Cities"), "CityID bigint, CityName string")
+    assert [r.CityID for r in read.collect()] == [1, 2, 3]
+    read = read_tsv(spark, str(tmp_path / "Application" / "People"), "PersonID bigint, IsPermittedToLogon boolean")
+    assert [r.PersonID for r in read.collect()] == [1, 3, 5]
+
+
 def test_sample_export_plan_keeps_first_rows_per_task(spark):
     plan = spark.range(1000).orderBy("id").limit(10).coalesce(1)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

@@ -4,7 +4,7 @@ import uuid
 
 from starloom.sources.changes import event_hub_name, event_hubs_options, kafka_options, read_changes
 from starloom.sources.tables import read_table
-from starloom.streaming.cdc import changes, latest_images, parse_envelope, row_image, schema_from_ddl, upsert_stream
+from starloom.streaming.cdc import changes, latest_images, parse_envelope, row_image, schema_from_ddl, upsert_stream, upsert_streams
 
 ROW = "id int, name string, price decimal(18,2), at timestamp, day date"
 MS = 1_577_836_800_123  # 2020-01-01 00:00:00.123
@@ -99,6 +99,21 @@ def test_deletes_can_be_kept_as_tombstones(spark, tmp_path):
     assert {(r.id, r.IsDeleted) for r in table.collect()} == {(1, True), (2, False)}
 
 
+def test_one_query_per_table(spark, tmp_path):
+    schema = f"cdc_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    streams = {}
+    for table, who in (("Sales_Orders", "a"), ("Application_Cities", "b")):
+        write(tmp_path / table, 1, [message("c", 1, image(1, who)), message("u", 2, image(1, who * 2))])
+        streams[table] = read_changes(spark, "text", {}, path=str(tmp_path / table))
+    schemas = dict.fromkeys(streams, f"{ROW}, LoadDatetime timestamp")
+    running = upsert_streams(streams, schemas, schema, str(tmp_path / "cp"), root=str(tmp_path / "root"))
+    for q in running.values():
+        q.awaitTermination()
+    assert [r.name for r in read_table(spark, f"{schema}.Sales_Orders").collect()] == ["aa"]
+    assert read_table(spark, f"{schema}.Application_Cities").columns == ["id", "name", "price", "at", "day", "LoadDatetime"]
+
+
 def test_schema_from_ddl(spark):
     def ddl(ts, columns, keys=("Id",)):
         table = {"primaryKeyColumnNames": list(keys), "columns": columns}

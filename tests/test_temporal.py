@@ -110,6 +110,22 @@ def test_as_of_join_against_brute_force(spark, closed, how, method, hot_rows):
     assert sorted(got, key=lambda x: x[0]) == expected
 
 
+@pytest.mark.parametrize("closed", ["left", "right"])
+def test_overlapping_versions_find_one_or_all(spark, closed):
+    """The last started version counts; only the plain join returns every match."""
+    dim = versions(spark, [(1, 0, 20, 1), (1, 5, 10, 2), (1, 5, 12, 3), (1, 30, 40, 4)])
+    fact = spark.createDataFrame([(1, day(n)) for n in (3, 5, 7, 12, 15, 35)], "id int, at timestamp")
+    found = {}
+    for method in ("broadcast", "merge", "join"):
+        rows = as_of_join(fact, dim, "id", "at", {"f": "v"}, "left", closed, method=method).collect()
+        found[method] = sorted((r.at, r.f or 0) for r in rows)
+    assert found["broadcast"] == found["merge"]
+    at5, at12 = (3, 0) if closed == "left" else (1, 3)
+    expected = [(3, 1), (5, at5), (7, 3), (12, at12), (15, 0), (35, 4)]
+    assert found["merge"] == [(day(n), v) for n, v in expected]
+    assert len(found["join"]) > 6
+
+
 def test_pit_lookup_default_and_earliest(spark):
     dim = versions(spark, [(1, 0, 10, 11), (1, 10, 20, 12), (1, 20, 30, 13)])
     fact = spark.createDataFrame([(1, day(15)), (1, day(25)), (2, day(1)), (1, day(99))], "who int, at timestamp")
