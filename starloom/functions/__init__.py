@@ -7,6 +7,7 @@ from starloom.functions.scalars import (
     literal_like,
     not_null,
     pairs,
+    row_bytes,
     wkt_point,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "literal_like",
     "not_null",
     "pairs",
+    "row_bytes",
     "wkt_point",
 ]

@@ -36,6 +36,15 @@ def not_null(column: Column, dtype: T.DataType) -> Column:
     return F.coalesce(column, F.lit(zero).cast(dtype))
 
 
+def row_bytes(df: DataFrame, columns) -> Column:
+    """Rough size of ``columns`` in a row: the length of texts, 16 bytes for anything else."""
+    size = F.lit(0).cast("bigint")
+    for name in columns:
+        texts = isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(name), F.lit(0)) if texts else F.lit(16))
+    return size
+
+
 def wkt_point(column: Column) -> tuple[Column, Column]:
     """(longitude, latitude) of a ``POINT (lon lat)`` text; NULL where it is not one."""
     parts = F.split(F.regexp_replace(column, r"[()]", ""), " ")

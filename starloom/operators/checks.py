@@ -39,11 +39,11 @@ def star_equal(actual: dict[str, DataFrame], expected: dict[str, DataFrame]) ->
 def key_range(df: DataFrame, key: str) -> DataFrame:
     """One row: first key, last key, rows, distinct keys, and whether they are gap-free."""
     # Counting per key first keeps the distinct count exact with map-side combining.
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     summary = per_key.agg(
         F.min(key).alias("first_key"),
         F.max(key).alias("last_key"),
-        F.sum("n").alias("n_rows"),
+        F.sum("_n").alias("n_rows"),
         F.count(key).alias("n_keys"),
     )
     dense = (F.col("n_rows") == F.col("n_keys")) & (F.col("last_key") - F.col("first_key") + 1 == F.col("n_rows"))

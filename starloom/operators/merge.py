@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions import as_names
+from starloom.functions import as_names, row_bytes
 
 BROADCAST_SOURCE_ROWS = 200_000  # changes that may be sent to every executor
+BROADCAST_SOURCE_BYTES = 128 << 20  # and their size
 
 
 class MergeConflict(Exception):
@@ -23,7 +24,7 @@ def _all(conditions):
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Keys that several source rows share and that exist in the target."""
     keys = as_names(keys)
-    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     return repeated.join(target.select(*keys).distinct(), keys, "left_semi")
 
 
@@ -45,7 +46,7 @@ def merge_upsert(
     match must also meet to be updated.  Repeated source keys that match raise
     ``MergeConflict``.
 
-    ``auto`` counts the source, which is read two or three times, so stage it
+    ``auto`` measures the source, which is read two or three times, so stage it
     first if it is costly.  A small one is broadcast: the target is then
     only scanned, never shuffled.  A larger one takes a full outer join, with
     NULL keys kept out so they cannot pile up in one partition.
@@ -60,13 +61,15 @@ def merge_upsert(
 
     keyed = _all([F.col(k).isNotNull() for k in keys])
     if check or method == "auto":
-        # One pass over the source keys gives its size and whether any key repeats.
-        per_key = source.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        rows, most = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        # One pass over the source gives its size and whether any key repeats.
+        size = row_bytes(source, columns)
+        per_key = source.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_bytes"))
+        rows, volume, most = [v or 0 for v in per_key.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n")).first()]
         if check and most > 1 and not ambiguous_keys(target, source.where(keyed), keys).isEmpty():
             raise MergeConflict(f"several source rows match one target row on {keys}")
         if method == "auto":
-            method = "broadcast" if rows <= BROADCAST_SOURCE_ROWS else "outer"
+            small = rows <= BROADCAST_SOURCE_ROWS and volume <= BROADCAST_SOURCE_BYTES
+            method = "broadcast" if small else "outer"
 
     def inserted(rows: DataFrame) -> DataFrame:
         return rows.select(

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.constants import VALID_TO
-from starloom.functions import as_names, literal_like, pairs
+from starloom.functions import as_names, literal_like, pairs, row_bytes
 from starloom.operators.dedup import dedup_by
 from starloom.operators.hot import HOT_ROWS, find_hot, with_slices
 from starloom.sources.staging import stage
 
 BROADCAST_ROWS = 1_000_000  # versions that may be sent to every executor
+BROADCAST_BYTES = 256 << 20  # and their size
 SCAN_VERSIONS = 1_000  # versions of one id that one lookup may compare
 SALTS = 8  # ways the lookups of one slice of a hot id are split
 
@@ -113,25 +114,28 @@ def _contains(at: Column, start: Column, end: Column, closed: str) -> Column:
     raise ValueError("closed must be 'left' or 'right'")
 
 
-def lookup_methods(histories: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, str]:
+def lookup_methods(histories: dict[str, tuple[DataFrame, list[str], list[str]]]) -> dict[str, str]:
     """``broadcast`` for each history that is small and shallow, else ``merge``.
 
-    One job counts the versions per id of all of them, so the choice rests on
-    counted rows and not on estimates.
+    A history comes with its key columns and the columns taken from it.  One
+    job counts rows, bytes and the versions per id of all histories, so the
+    choice rests on measured sizes and not on estimates.
     """
     measured = None
-    for name, (history, keys) in histories.items():
-        versions = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        row = versions.agg(F.sum("n").alias("total"), F.max("n").alias("deepest")).select(F.lit(name), "*")
+    for name, (history, keys, take) in histories.items():
+        size = row_bytes(history, [*keys, *take])
+        versions = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_bytes"))
+        row = versions.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n")).select(F.lit(name), "*")
         measured = row if measured is None else measured.unionAll(row)
+    limits = (BROADCAST_ROWS, BROADCAST_BYTES, SCAN_VERSIONS)
     return {
-        name: "broadcast" if (total or 0) <= BROADCAST_ROWS and (deepest or 0) <= SCAN_VERSIONS else "merge"
-        for name, total, deepest in measured.collect()  # one row per history
+        name: "broadcast" if all((v or 0) <= limit for v, limit in zip(values, limits)) else "merge"
+        for name, *values in measured.collect()  # one row per history
     }
 
 
-def lookup_method(history: DataFrame, keys: list[str]) -> str:
-    return lookup_methods({"it": (history, keys)})["it"]
+def lookup_method(history: DataFrame, keys: list[str], take: list[str]) -> str:
+    return lookup_methods({"it": (history, keys, take)})["it"]
 
 
 def as_of_join(
@@ -176,7 +180,7 @@ def as_of_join(
         *[F.col(source).alias(name) for name, source in take.items()],
     )
     if method == "auto":
-        method = lookup_method(history, [h for _, h in keys])
+        method = lookup_method(history, [h for _, h in keys], list(take.values()))
     if method in ("broadcast", "join"):
         if method == "broadcast":
             # A version ends when the next one starts, so at most one matches.  The
@@ -390,7 +394,7 @@ def overlap_join(
         *[F.col(source).alias(name) for name, source in take.items()],
     )
     if method == "auto":
-        method = lookup_method(right, [r for _, r in keys])
+        method = lookup_method(right, [r for _, r in keys], list(take.values()))
     if method == "broadcast":
         side = F.broadcast(side)
     bins = bin_unit if method == "merge" else None

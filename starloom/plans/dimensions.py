@@ -53,7 +53,12 @@ def city(
     states = as_of_load(state_provinces, to).withColumn("_state_from", F.col("ValidFrom"))
     nations = as_of_load(countries, to).withColumn("_country_from", F.col("ValidFrom"))
     staging = as_of_load(cities, to).withColumn("_city_from", F.col("ValidFrom"))
-    methods = lookup_methods({"state": (states, ["StateProvinceID"]), "country": (nations, ["CountryID"])})
+    methods = lookup_methods(
+        {
+            "state": (states, ["StateProvinceID"], ["StateProvinceName", "SalesTerritory"]),
+            "country": (nations, ["CountryID"], ["CountryName", "Continent", "Region", "Subregion"]),
+        }
+    )
     staging = intersect_join(
         staging,
         states,
@@ -174,7 +179,7 @@ def customer(
         (2, "_group", buying_groups, "BuyingGroupID", "BuyingGroupName", "BuyingGroup"),
         (3, "_contact", people, "PersonID", "FullName", "PrimaryContact"),
     ]
-    methods = lookup_methods({ref: (history, [member_id]) for _, ref, history, member_id, _, _ in roles})
+    methods = lookup_methods({ref: (history, [member_id], [name]) for _, ref, history, member_id, name, _ in roles})
     staging = _customer_feeds(customers, customer_categories, buying_groups, people, methods)
     complete = F.lit(True)
     for feed, ref, history, member_id, name, out in roles:
@@ -279,7 +284,12 @@ def stock_item(
     joins the item's last groups, which repeats a version per group in force.
     """
     staging = stock_items
-    methods = lookup_methods({"package": (package_types, ["PackageTypeID"]), "color": (colors, ["ColorID"])})
+    methods = lookup_methods(
+        {
+            "package": (package_types, ["PackageTypeID"], ["PackageTypeName"]),
+            "color": (colors, ["ColorID"], ["ColorName"]),
+        }
+    )
     for ref, out in (("UnitPackageID", "SellingPackage"), ("OuterPackageID", "BuyingPackage")):
         staging = as_of_join(
             staging,
@@ -343,7 +353,10 @@ def supplier(
     """Supplier versions with every category and contact version they overlap."""
     categories, contacts = as_of_load(supplier_categories, to), as_of_load(people, to)
     methods = lookup_methods(
-        {"category": (categories, ["SupplierCategoryID"]), "contact": (contacts, ["PersonID"])}
+        {
+            "category": (categories, ["SupplierCategoryID"], ["SupplierCategoryName"]),
+            "contact": (contacts, ["PersonID"], ["FullName"]),
+        }
     )
     staging = overlap_join(
         as_of_load(suppliers, to),

@@ -61,7 +61,7 @@ def _finish(
     """
     order = ["_line", "_item", "Quantity", "UnitPrice", "TaxRate", "_at"]
     # Several roles of one dimension share its measurement.
-    methods = lookup_methods({r.key: (r.dim, [r.member]) for r in roles})
+    methods = lookup_methods({r.key: (r.dim, [r.member], [r.key, "ValidFrom", "ValidTo"]) for r in roles})
     open_roles = roles
     if grain == "item":
         items = [r for r in roles if r.out == "StockItemKey"]

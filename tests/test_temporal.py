@@ -8,6 +8,7 @@ from starloom.operators.temporal import (
     as_of_join,
     close_out,
     intersect_join,
+    lookup_methods,
     overlap_join,
     pit_lookup,
     running_min,
@@ -166,6 +167,15 @@ def test_overlap_and_intersection_against_brute_force(spark, method, bin_unit):
     assert got == sorted(want)
 
 
+def test_lookup_method_rests_on_measured_size(spark):
+    small = spark.range(100).selectExpr("id", "'name' AS n")
+    deep = spark.range(2_000).selectExpr("id % 1 AS id", "'name' AS n")
+    wide = spark.range(300).selectExpr("id", "repeat('x', 1000000) AS n")
+    methods = lookup_methods({"s": (small, ["id"], ["n"]), "d": (deep, ["id"], ["n"]), "w": (wide, ["id"], ["n"])})
+    assert methods == {"s": "broadcast", "d": "merge", "w": "merge"}
+    assert lookup_methods({"w": (wide, ["id"], [])})["w"] == "broadcast"
+
+
 def test_works_on_timestamps_without_zone(spark):
     dim = versions(spark, [(1, 0, 10, 11)]).withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("ValidFrom", "ValidTo")}
