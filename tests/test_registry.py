@@ -5,6 +5,7 @@ import __spark_entry__ as entry
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 FOLDER = "/root/testdata/sf0.001"
 
