@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, sharding, warc
+from starloom.llm import chat, jaccard_join, rp_forest, sharding, warc
 from starloom.llm.common import table
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among all documents."""
+    joined = jaccard_join.jaccard_join(table(spark, folder, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "kept")
+
+
+def op6_rp_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among all embeddings of a label."""
+    return rp_forest.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Write a record per page, read the archives back."""
     manifest = warc.write_archives(table(spark, folder, "pages").select("page_id", "url", "html"))
@@ -49,6 +60,8 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_rp_forest": op6_rp_forest,
     "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
     "op10_chat": op10_chat,

@@ -195,7 +195,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                             rows = []
                     yield _frame(rows)
 
-    files = manifest.select("path").repartition("path")
+    # As many tasks as files: a count keeps adaptive execution from merging these short rows.
+    files = manifest.select("path").repartition(max(1, manifest.count()))
     return files.mapInPandas(read, _RECORDS)
 
 
