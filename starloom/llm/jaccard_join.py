@@ -69,7 +69,9 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 int.from_bytes(print_[8:], "little", signed=True),
                 signature(shingles).tobytes() if len(shingles) else None,
             ))
-        yield pd.DataFrame(rows, columns=["fa", "fb", "sig"]).assign(doc_id=batch["doc_id"].astype("Int64").array)
+        yield pd.DataFrame(rows, columns=["fa", "fb", "sig"]).assign(
+            doc_id=batch["doc_id"].astype("Int64").array, text_hash=batch["text_hash"].to_numpy()
+        )
 
 
 def _prefixes(depth: int):
@@ -151,12 +153,14 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
     ``doc_id`` stay and link with nothing.  A repeated row is a copy like any
     other.  Other columns of ``docs`` are ignored.  No documents, no rows.
 
-    Returns a row per document: ``doc_id, fa, fb`` (fingerprint), ``class_id``
-    (smallest doc_id reachable by links), ``n_links`` (other documents linked
-    directly) and ``kept`` (``doc_id = class_id``, or no id).
+    Returns a row per document: ``doc_id, text_hash`` (``xxhash64`` of the text),
+    ``class_id`` (smallest doc_id reachable by links), ``n_links`` (other documents
+    linked directly) and ``kept`` (``doc_id = class_id``, or no id).
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(text.mapInPandas(_sign, "fa long, fb long, sig binary, doc_id long"), "signatures")
+    # Ids as text: a nullable number would pass through a double.
+    sent = text.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    signed = stage(sent.mapInPandas(_sign, "fa long, fb long, sig binary, doc_id long, text_hash long"), "signatures")
     classes = stage(
         signed.where("doc_id IS NOT NULL")
         .groupBy("fa", "fb")
@@ -200,12 +204,11 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
     named = nodes.join(names, "root").select(
         "fa", "fb", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    found = signed.select("doc_id", "fa", "fb").join(named, ["fa", "fb"], "left")
+    found = signed.select("doc_id", "fa", "fb", "text_hash").join(named, ["fa", "fb"], "left")
     known = F.col("doc_id").isNotNull()
     return found.select(
         "doc_id",
-        "fa",
-        "fb",
+        "text_hash",
         F.when(known, F.col("class_id")).alias("class_id"),
         F.when(known, F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
         F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"),

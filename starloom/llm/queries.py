@@ -5,10 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, jaccard_join, rp_forest, sharding, warc
+from starloom.llm import chat, imatch, jaccard_join, mixing, packing, rp_forest, sharding, stupid_backoff, toxicity, warc
 from starloom.llm.common import table
 
 
+def word_bpe() -> str:
+    """The public word-piece vocabulary that the packing query fixes."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document, from a model of the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.toxicity_model(docs, table(spark, folder, "labels"))
+    graded = docs.select("doc_id", toxicity.severity(spark, model, F.col("text")).alias("_s"))
+    return graded.select("doc_id", "_s.*")
+
+
+def op2_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff scores of every document."""
+    return stupid_backoff.score_documents(table(spark, folder, "documents"))
+
+
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its calibrated weight, probability and decision."""
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "lang", "text"))
+    names = ["source", "lang", "topic", "tokens"]
+    return mixed.select(
+        "doc_id",
+        *[F.col(f"_mix_{c}").alias(c) for c in names],
+        (F.round(F.col("_mix_weight") * 1e9, 3)).alias("weight"),
+        F.round("_mix_probability", 6).alias("probability"),
+        F.col("_mix_kept").alias("kept"),
+    )
+
+
+def op4_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and its edited text."""
+    return imatch.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near duplicates among all documents."""
     joined = jaccard_join.jaccard_join(table(spark, folder, "documents"))
@@ -35,6 +73,11 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed to the mixture of their sources."""
+    return packing.pack(table(spark, folder, "documents"), word_bpe())
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations folded from their logs, rendered, and read back."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,10 +103,15 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_stupid_backoff": op2_stupid_backoff,
+    "op3_mixing": op3_mixing,
+    "op4_imatch": op4_imatch,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_rp_forest": op6_rp_forest,
     "op7_warc": op7_warc,
     "op8_sharding": op8_sharding,
+    "op9_packing": op9_packing,
     "op10_chat": op10_chat,
 }
 
