@@ -182,7 +182,7 @@ def fit(sample: list, rounds: int = 400) -> Model:
     return Model(terms[chosen], state[: len(chosen)], state[len(chosen)] + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
-def severity(spark, model: Model, text: Column, cut: float = 0.5) -> Column:
+def severity(spark, model: Model, text: Column, cut: float = 0.25) -> Column:
     """``RESULT`` of a text column: expected grade, P(toxic), likeliest grade, and P(toxic) >= ``cut``.
 
     A missing text is empty; a text without words has the score of no features.
