@@ -9,6 +9,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ LEAST = 2  # occurrences of a word of the vocabulary
 BUCKET_ROWS = 2_000_000
 _CHUNK = 500_000
 _FLUSH = 400_000
-_SENT = "kind string, bucket int, rids binary, keys binary, doc binary, n binary, own binary"
+_SENT = "bucket int, chunk long, rids binary, keys binary, doc binary, n binary, own binary"
 _UNIT = 1e6  # log scores are summed in whole millionths, so that sums do not depend on order
 
 
@@ -86,6 +87,10 @@ def bigrams(ids: np.ndarray):
     return keys, n, own_v, own_w
 
 
+def _pack(packer, numbers: np.ndarray) -> bytes:
+    return packer.compress(np.ascontiguousarray(numbers).tobytes())
+
+
 def _mix(keys: np.ndarray) -> np.ndarray:
     x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
@@ -102,14 +107,15 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     1. Words are counted over all documents.  Those with a fixed share of the
        tokens are the vocabulary, whose size that share bounds; it is broadcast.
-    2. Every task explodes its documents into distinct bigrams with their counts
-       and sends them, packed, to the bucket of the bigram's hash.  A bigram
-       has one row per document.  Bigrams of two head words, the only ones that
-       can hold more than HEAD of all bigrams, are summed in the task instead;
-       their table has at most (1 / HEAD + 1) ** 2 numbers and is broadcast.
-    3. A bucket sums its counts, joins them to its rows and returns one partial
-       score per document.  Head bigrams are scored where the document is.
-    4. Partial scores, whole millionths, are summed per document.
+    2. Bigrams of two head words, the only ones that can hold more than HEAD of
+       all bigrams, are summed where they are read; their table has at most
+       (1 / HEAD + 1) ** 2 numbers and is broadcast.
+    3. Every task explodes its documents into the other distinct bigrams with
+       their counts and sends them, packed by chunks of documents, to the bucket
+       of the bigram's hash.  A bigram has one entry per document.
+    4. A bucket sums its counts, joins them to its entries and returns partial
+       scores, packed by chunk.  Head bigrams are scored where the document is.
+    5. Partial scores, whole millionths, are summed per document.
 
     A missing text is empty and has score 0 and mean 0.  A row repeated with
     its id and text is a document of its own and gets the same score.  Rows
@@ -124,12 +130,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
     buckets = max(math.ceil(words.total / BUCKET_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(words)
 
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        v = shared.value
+        head = np.zeros((v.head, v.head), np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                ids = v.ids(text)
+                both = (ids[:-1] < v.head) & (ids[1:] < v.head)
+                np.add.at(head, (ids[:-1][both], ids[1:][both]), 1)
+        left, right = np.nonzero(head)
+        yield pd.DataFrame({"key": (left << 32) | right, "n": head[left, right]})
+
+    common = rows.select("text").mapInPandas(heads, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    table = np.zeros((words.head, words.head), np.int64)
+    for r in common.collect():  # at most words.head ** 2 rows
+        table[r.key >> 32, r.key & 0xFFFFFFFF] = r.n
+
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v, packer = shared.value, zstandard.ZstdCompressor(level=1)
-        head, held, size = np.zeros((v.head, v.head), np.int64), [], 0
+        held, size = [], 0
 
         def chunk() -> pd.DataFrame:
             rid = np.array([h[0] for h in held], np.int64)
+            name = xxhash.xxh64_intdigest(rid.tobytes()) >> 1
             doc = np.repeat(np.arange(len(held), dtype=np.uint32), [len(h[1]) for h in held])
             keys, n, own_v, own_w = (np.concatenate([h[k] for h in held]) for k in range(1, 5))
             place = (_mix(keys) % np.uint64(buckets)).astype(np.int64)
@@ -137,25 +160,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
             place, keys, doc = place[order], keys[order], doc[order]
             counts = np.stack([n[order], own_v[order], own_w[order]]).astype(np.uint32)
             cuts = np.flatnonzero(np.diff(place)) + 1
-            out = []
+            # The ids of the chunk's documents go along once; elsewhere a document is its number in the chunk.
+            out = [(name % buckets, name, rid.tobytes(), None, None, None, None)]
             for low, high in zip([0, *cuts], [*cuts, len(place)], strict=True):
-                used, doc_at = np.unique(doc[low:high], return_inverse=True)
                 step = np.diff(keys[low:high], prepend=0)
-                pack = lambda a: packer.compress(np.ascontiguousarray(a).tobytes())
                 out.append((
-                    "tail", int(place[low]), pack(rid[used]), pack(step), pack(doc_at.astype(np.uint32)),
-                    pack(counts[0, low:high]), pack(counts[1:, low:high]),
+                    int(place[low]), name, None, _pack(packer, step), _pack(packer, doc[low:high]),
+                    _pack(packer, counts[0, low:high]), _pack(packer, counts[1:, low:high]),
                 ))
             return pd.DataFrame(out, columns=[c.split()[0] for c in _SENT.split(", ")])
 
         for batch in batches:
             for rid, text in zip(batch["rid"], batch["text"], strict=True):
-                ids = v.ids(text)
-                keys, n, own_v, own_w = bigrams(ids)
-                left, right = keys >> 32, keys & 0xFFFFFFFF
-                both = (left < v.head) & (right < v.head)
-                np.add.at(head, (left[both], right[both]), n[both])
-                rest = ~both
+                keys, n, own_v, own_w = bigrams(v.ids(text))
+                rest = ((keys >> 32) >= v.head) | ((keys & 0xFFFFFFFF) >= v.head)
                 if rest.any():
                     held.append((rid, keys[rest], n[rest], own_v[rest], own_w[rest]))
                     size += int(rest.sum())
@@ -164,45 +182,49 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         if held:
             yield chunk()
-        some = np.argwhere(head > 0)
-        if len(some):
-            pack = lambda a: packer.compress(np.ascontiguousarray(a).tobytes())
-            yield pd.DataFrame([("head", -1, None, pack((some[:, 0] << 32) | some[:, 1]), None, pack(head[head > 0]), None)], columns=[c.split()[0] for c in _SENT.split(", ")])
-
-    sent = stage(rows.select("rid", "text").mapInPandas(explode, _SENT), "bigrams")
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        opener = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for keys, n in zip(batch["keys"], batch["n"], strict=True):
-                yield pd.DataFrame({"key": np.frombuffer(opener.decompress(keys), np.int64), "n": np.frombuffer(opener.decompress(n), np.int64)})
 
-    common = sent.where("kind = 'head'").select("keys", "n").mapInPandas(heads, "key long, n long")
-    table = np.zeros((words.head, words.head), np.int64)
-    for r in common.groupBy("key").agg(F.sum("n").alias("n")).collect():  # at most words.head ** 2 rows
-        table[r.key >> 32, r.key & 0xFFFFFFFF] = r.n
+    sent = rows.select("rid", "text").mapInPandas(explode, _SENT)
     shared_table = spark.sparkContext.broadcast(table)
 
     def bucket(frame: pd.DataFrame) -> pd.DataFrame:
-        v, opener = shared.value, zstandard.ZstdDecompressor()
+        v, opener, packer = shared.value, zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        get = lambda data, kind: np.frombuffer(opener.decompress(data), kind)
+        out = [(r.chunk, r.rids, None, None, None) for r in frame.itertuples(index=False) if r.rids is not None]
+        parts = [r for r in frame.itertuples(index=False) if r.rids is None]
+        if parts:
+            keys = np.concatenate([np.cumsum(get(r.keys, np.int64)) for r in parts])
+            n = np.concatenate([get(r.n, np.uint32) for r in parts]).astype(np.int64)
+            _, place = np.unique(keys, return_inverse=True)
+            others = np.bincount(place, weights=n).astype(np.int64)[place] - n
+            del place
+            own = np.concatenate([get(r.own, np.uint32).reshape(2, -1) for r in parts], axis=1)
+            score = v.log_scores(keys >> 32, keys & 0xFFFFFFFF, others, own[0], own[1]) * n
+            seen = np.where(others > 0, n, 0)
+            low = 0
+            for r in parts:
+                doc = get(r.doc, np.uint32)
+                used, place = np.unique(doc, return_inverse=True)
+                sums = np.zeros((2, len(used)), np.int64)
+                np.add.at(sums[0], place, score[low : low + len(doc)])
+                np.add.at(sums[1], place, seen[low : low + len(doc)])
+                low += len(doc)
+                out.append((r.chunk, None, _pack(packer, np.diff(used, prepend=np.uint32(0))), _pack(packer, sums[0]), _pack(packer, sums[1])))
+        return pd.DataFrame(out, columns=["chunk", "rids", "doc", "score", "seen"])
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        opener = zstandard.ZstdDecompressor()
         get = lambda data, kind: np.frombuffer(opener.decompress(data), kind)
-        rid, keys, n, own = [], [], [], []
+        rid = np.frombuffer(next(r for r in frame["rids"] if r is not None), np.int64)
+        sums = np.zeros((2, len(rid)), np.int64)
         for r in frame.itertuples(index=False):
-            rid.append(get(r.rids, np.int64)[get(r.doc, np.uint32)])
-            keys.append(np.cumsum(get(r.keys, np.int64)))
-            n.append(get(r.n, np.uint32).astype(np.int64))
-            own.append(get(r.own, np.uint32).reshape(2, -1))
-        rid, keys, n, own = np.concatenate(rid), np.concatenate(keys), np.concatenate(n), np.concatenate(own, axis=1)
-        _, place = np.unique(keys, return_inverse=True)
-        others = np.bincount(place, weights=n).astype(np.int64)[place] - n
-        score = v.log_scores(keys >> 32, keys & 0xFFFFFFFF, others, own[0], own[1]) * n
-        docs_, place = np.unique(rid, return_inverse=True)
-        sums = np.zeros(len(docs_), np.int64)
-        np.add.at(sums, place, score)
-        seen = np.bincount(place, weights=n * (others > 0)).astype(np.int64)
-        return pd.DataFrame({"rid": docs_, "score": sums, "seen": seen})
-
-    tail = sent.where("kind = 'tail'").drop("kind").groupBy("bucket").applyInPandas(bucket, "rid long, score long, seen long")
+            if r.rids is None:
+                doc = np.cumsum(get(r.doc, np.uint32))
+                sums[0, doc] += get(r.score, np.int64)
+                sums[1, doc] += get(r.seen, np.int64)
+        return pd.DataFrame({"rid": rid, "score": sums[0], "seen": sums[1]})
+
+    partial = sent.groupBy("bucket").applyInPandas(bucket, "chunk long, rids binary, doc binary, score binary, seen binary")
+    tail = partial.groupBy("chunk").applyInPandas(merge, "rid long, score long, seen long")
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v, counts = shared.value, shared_table.value
