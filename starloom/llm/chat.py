@@ -58,7 +58,9 @@ def fold_events(log: DataFrame) -> DataFrame:
         ),
         "",
     )
-    role = F.coalesce(F.element_at(F.filter(F.transform("_events", lambda e: e["role"]), lambda r: r.isNotNull()), -1), F.lit(""))
+    role = F.coalesce(
+        F.try_element_at(F.filter(F.transform("_events", lambda e: e["role"]), lambda r: r.isNotNull()), F.lit(-1)), F.lit("")
+    )
     return (
         kept.withColumn("_known", known)
         .withColumn("_reset", reset)
