@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +24,13 @@ def literal_like(df: DataFrame, column: str, value) -> Column:
 
     Validity columns may be ``timestamp`` or ``timestamp_ntz``; a sentinel has
     to take the same type or the comparison would go through the session zone.
+    A local time is passed as text: as a Python value it would be zoned by the
+    driver's process.
     """
-    return F.lit(value).cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType) and isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(" ")
+    return F.lit(value).cast(kind)
 
 
 def not_null(column: Column, dtype: T.DataType) -> Column:

@@ -14,21 +14,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.sources.staging import stage
+
 HOT_ROWS = 1_000_000  # rows of one key that one task may still take
-MOST_HOT = 10_000  # bound of the broadcast below
 
 
 def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The keys with more than ``hot_rows`` rows, ``None`` if there are none.
 
-    At most the ``MOST_HOT`` most frequent ones: any key beyond them has fewer
-    than ``rows / MOST_HOT`` rows, so leaving it whole is safe.  One aggregate
+    All of them, as a written table that stays on the executors.  One aggregate
     over the key columns of ``df``; stage ``df`` first if it is costly.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = counts.orderBy(F.desc("_rows"), *keys).limit(MOST_HOT).drop("_rows")
-    rows = found.collect()  # bounded by MOST_HOT
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    found = stage(counts.drop("_rows"), "hot")
+    return None if found.isEmpty() else found
 
 
 def time_slice(at: Column, unit: str) -> Column:
@@ -40,8 +39,8 @@ def with_slices(df: DataFrame, hot: DataFrame, keys: list[str], at: str, unit: s
     """Add ``_slice``: the time slice for hot keys, NULL for all others."""
     marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_is_hot"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    # At most MOST_HOT rows by construction, hence the hint.
-    sliced = df.join(F.broadcast(marked), same, "left")
+    # No hint: the table's written size tells Catalyst whether to broadcast it.
+    sliced = df.join(marked, same, "left")
     return sliced.withColumn("_slice", F.when(F.col("_is_hot"), time_slice(F.col(at), unit))).drop(
         "_is_hot", *[f"_hot_{k}" for k in keys]
     )

@@ -11,7 +11,9 @@ from starloom.sources.staging import stage
 _ROW_BITS = 33  # monotonically_increasing_id(): partition number above, row number below
 
 
-def number_rows(df: DataFrame, order_by, key: str, offset: int = 0, key_first: bool = True) -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by, key: str, offset: int = 0, key_first: bool = True, key_type: str = "int"
+) -> DataFrame:
     """Number all rows ``offset, offset + 1, ...`` in the order of ``order_by``.
 
     Equal to ``row_number() OVER (ORDER BY ...)`` without pulling the table into
@@ -20,7 +22,8 @@ def number_rows(df: DataFrame, order_by, key: str, offset: int = 0, key_first: b
     say) is split by the columns after it.  The placed rows are written once;
     each file's row count then gives the first number of the next one.  That
     table of starts has one row per partition, which bounds its broadcast.
-    Rows equal in ``order_by`` are ordered by a hash of their contents.
+    Rows equal in ``order_by`` are ordered by a hash of their contents.  Beyond
+    two thousand million rows take ``key_type="bigint"``.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in ([order_by] if isinstance(order_by, str) else order_by)]
     order.append(F.xxhash64(*df.columns))
@@ -34,7 +37,7 @@ def number_rows(df: DataFrame, order_by, key: str, offset: int = 0, key_first: b
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     row = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    number = F.coalesce((F.col("_start") + row + offset).cast("int"), F.lit(offset))
+    number = F.coalesce((F.col("_start") + row + offset).cast(key_type), F.lit(offset).cast(key_type))
     numbered = placed.join(F.broadcast(starts), part == F.col("_part"), "inner").withColumn(key, number)
     columns = [key, *df.columns] if key_first else [*df.columns, key]
     return numbered.select(*columns)

@@ -347,10 +347,16 @@ def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
     meets = (F.col(lf) <= F.col(rt)) & (F.col(rf) <= F.col(lt))
     if bin_unit is None:
         return left.join(right, _all([*same, meets]), "inner")
+    # Intervals that end before they start have no bins; they are few and joined by the predicate alone.
+    odd_left, odd_right = left.where(F.col(lf) > F.col(lt)), right.where(F.col(rf) > F.col(rt))
+    straight = left.where(F.col(lf) <= F.col(lt))
+    odd = odd_left.join(right, _all([*same, meets]), "inner").unionAll(
+        straight.join(odd_right, _all([*same, meets]), "inner")
+    )
     # A pair meets first at the later of its two starts.  No start is later than
     # `horizon`, so an open interval needs bins up to there only.
     latest = left.agg(F.max(lf).alias("m")).unionAll(right.agg(F.max(rf).alias("m")))
-    horizon = F.lit(latest.agg(F.max("m")).first()[0])
+    horizon = literal_like(left, lf, latest.agg(F.max("m")).first()[0])
 
     def binned(df, start, end, name):
         first = F.date_trunc(bin_unit, start)
@@ -364,7 +370,7 @@ def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
         _all([*same, F.col("_lbin") == F.col("_rbin"), meets, F.col("_lbin") == anchor]),
         "inner",
     )
-    return joined.drop("_lbin", "_rbin")
+    return joined.drop("_lbin", "_rbin").unionAll(odd)
 
 
 def overlap_join(

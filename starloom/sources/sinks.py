@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.constants import SAMPLE_ORDER
 from starloom.operators.merge import merge_upsert
-from starloom.sources.staging import staging_folder
 from starloom.sources.tables import read_table
 
-_SLOT = "starloom.slot"
 _BATCH = "starloom.batch"
 
 
@@ -45,22 +45,24 @@ def _property(spark: SparkSession, name: str, key: str) -> str | None:
     return None
 
 
-def replace_snapshot(spark: SparkSession, name: str, df: DataFrame, root: str, batch: str | None = None) -> None:
+def replace_snapshot(
+    spark: SparkSession, name: str, df: DataFrame, root: str, batch: str | None = None, writer: str = ""
+) -> None:
     """Make ``df`` the contents of the parquet table ``name``, which ``df`` may read.
 
-    The rows go to the one of two folders that the table does not point to,
-    then the table is repointed.  A failure before that leaves the old
-    snapshot in force, and a repeated ``batch`` number is recognised.
+    The rows go to a new folder, then the table is repointed.  A failure before
+    that leaves the old snapshot in force; one after it leaves the new one in
+    force and at most repeats an upsert that changes nothing.  Old folders stay
+    for running readers, until their owner deletes them.
     """
-    exists = spark.catalog.tableExists(name)
-    slot = "b" if exists and _property(spark, name, _SLOT) == "a" else "a"
-    path = f"{root.rstrip('/')}/{name}/slot-{slot}"
-    df.write.mode("overwrite").parquet(path)
-    if exists:
+    path = f"{root.rstrip('/')}/{name}/snapshot-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
         spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_SLOT}'='{slot}', '{_BATCH}'='{batch or ''}')")
+    if batch is not None:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BATCH}.{writer}'='{batch}')")
     spark.catalog.refreshTable(name)
 
 
@@ -72,17 +74,24 @@ def merge_into(
     update_cols=None,
     root: str | None = None,
     batch: str | None = None,
+    writer: str = "",
     native: bool = False,
     **options,
 ) -> None:
     """Upsert ``source`` into the table ``name``, created if missing.
 
+    The table is kept under ``root``, by default the warehouse folder.  A
+    ``batch`` that ``writer`` (a streaming query) merged last is not merged again;
+    batches of different writers do not touch each other's marks.
+
     ``native`` uses the table format's own MERGE (Delta, Iceberg, ...), which
     rewrites touched files only.  Otherwise the merged snapshot is written anew.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if native and options.get("guard") is not None:
+        raise ValueError("a guard is not passed on to the table format's own MERGE")
     if native and spark.catalog.tableExists(name):
-        update = update_cols or [c for c in source.columns if c not in keys]
+        update = update_cols if update_cols is not None else [c for c in source.columns if c not in keys]
         same = None
         for k in keys:
             one = F.col(f"{name}.{k}") == F.col(f"changes.{k}")
@@ -97,14 +106,14 @@ def merge_into(
             .merge()
         )
         return
-    root = root or f"{staging_folder(spark)}/starloom/tables"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/starloom-tables"
     if not spark.catalog.tableExists(name):
-        replace_snapshot(spark, name, source, root, batch)
+        replace_snapshot(spark, name, source, root, batch, writer)
         return
-    if batch is not None and _property(spark, name, _BATCH) == str(batch):
+    if batch is not None and _property(spark, name, f"{_BATCH}.{writer}") == str(batch):
         return
     merged = merge_upsert(read_table(spark, name), source, keys, update_cols, **options)
-    replace_snapshot(spark, name, merged, root, batch)
+    replace_snapshot(spark, name, merged, root, batch, writer)
 
 
 def save(df: DataFrame, name: str, mode: str, keys=None, **options) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,6 +109,7 @@ def upsert_batch(
     time_guard: bool = False,
     load_time=None,
     native: bool = False,
+    writer: str = "",
 ) -> None:
     """Merge one micro-batch of row images into the table ``name``.
 
@@ -125,7 +128,7 @@ def upsert_batch(
     # Written once: the merge reads its source several times, the stream should be read once.
     rows = stage(rows, f"batch-{name}")
     guard = F.col("source.EventTime") >= F.col("target.EventTime") if time_guard else None
-    options = {} if native else {"guard": guard, "check": False}
+    options = {"guard": guard} if native else {"guard": guard, "check": False}
     merge_into(
         batch.sparkSession,
         name,
@@ -134,6 +137,7 @@ def upsert_batch(
         update_cols=rows.columns,
         root=root,
         batch=str(batch_id),
+        writer=writer,
         native=native,
         **options,
     )
@@ -143,14 +147,16 @@ def upsert_stream(stream: DataFrame, name: str, keys, checkpoint: str, trigger:
     """Start the query that merges a stream of row images into the table ``name``.
 
     With ``checkpoint`` on shared storage a restarted query continues after the
-    last batch; a batch repeated after a failure is recognised by its number.
+    last batch; a batch repeated after a failure is recognised by its number and
+    the checkpoint, so several queries may write one table.
     """
+    writer = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, name, keys, **options)
+        upsert_batch(batch, batch_id, name, keys, writer=writer, **options)
 
-    writer = stream.writeStream.foreachBatch(merge_batch).outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    query = stream.writeStream.foreachBatch(merge_batch).outputMode("append").option("checkpointLocation", checkpoint)
+    return query.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def upsert_streams(
@@ -190,15 +196,21 @@ def schema_from_ddl(df: DataFrame, value_col: str = "value") -> DataFrame:
     column = "struct<name: string, typeName: string, length: int, scale: int>"
     message = f"""payload struct<
         source: struct<schema: string, table: string, ts_ms: bigint, commit_lsn: string>,
-        tableChanges: array<struct<table: struct<
+        tableChanges: array<struct<id: string, table: struct<
             primaryKeyColumnNames: array<string>, columns: array<{column}>>>>>"""
     parsed = df.select(F.from_json(F.col(value_col).cast("string"), message).alias("m")).select(
-        F.concat_ws("_", "m.payload.source.schema", "m.payload.source.table").alias("table_name"),
+        F.concat_ws("_", "m.payload.source.schema", "m.payload.source.table").alias("named"),
         F.col("m.payload.source.ts_ms").alias("ts_ms"),
         F.col("m.payload.source.commit_lsn").alias("commit_lsn"),
-        F.get("m.payload.tableChanges", F.lit(0)).getField("table").alias("t"),
+        F.posexplode("m.payload.tableChanges").alias("change", "c"),
+    )
+    # A change is named by the last two quoted parts of its id, or else by the message's source.
+    part = lambda n: F.regexp_extract("c.id", r'"([^"]*)"\."([^"]*)"$', n)
+    own = F.when(part(2) != "", F.concat_ws("_", part(1), part(2)))
+    parsed = parsed.select(
+        F.coalesce(own, "named").alias("table_name"), "ts_ms", "commit_lsn", "change", F.col("c.table").alias("t")
     )
-    latest = latest_per_key(parsed.where("t IS NOT NULL"), "table_name", ["ts_ms", "commit_lsn"])
+    latest = latest_per_key(parsed.where("t IS NOT NULL"), "table_name", ["ts_ms", "commit_lsn", "change"])
     load = F.struct(
         F.lit("LoadDatetime").alias("name"),
         F.lit("datetime2").alias("typeName"),
@@ -211,9 +223,10 @@ def schema_from_ddl(df: DataFrame, value_col: str = "value") -> DataFrame:
         F.posexplode(F.concat("t.columns", F.array(load.cast(column)))).alias("position", "c"),
     )
     kind = F.col("c.typeName")
-    spark_type = F.when(
-        kind.isin(DECIMAL_NAMES), F.format_string("decimal(%d,%d)", "c.length", F.coalesce("c.scale", F.lit(0)))
-    )
+    money = F.when(kind == "money", 19).when(kind == "smallmoney", 10)  # fixed precisions, 4 places
+    length = F.coalesce("c.length", money, F.lit(18))
+    scale = F.coalesce("c.scale", F.when(money.isNotNull(), 4), F.lit(0))
+    spark_type = F.when(kind.isin(DECIMAL_NAMES), F.format_string("decimal(%d,%d)", length, scale))
     for source, target in TYPE_NAMES.items():
         spark_type = spark_type.when(kind == source, target)
     return rows.select(

@@ -6,36 +6,39 @@ from pyspark.sql import functions as F
 from starloom.operators.dedup import dedup_by, keep_max_rows, latest_per_key
 from starloom.operators.keys import number_rows, with_unknown_member
 
-PEOPLE = [
-    (1, "James", dt.datetime(2020, 5, 17, 12)),
-    (2, "Michael", dt.datetime(2020, 5, 17, 13)),
-    (34, "Robert", dt.datetime(2020, 5, 17, 15)),
-    (57, "Maria", dt.datetime(2020, 5, 17, 13)),
-    (56, "Jen", dt.datetime(2020, 5, 17, 16)),
+HARBOURS = [  # two share a berth time, one has none
+    ("Lerwick", 7, dt.datetime(1999, 1, 1)),
+    ("Ystad", 3, dt.datetime(1999, 1, 1)),
+    ("Calvi", 11, None),
+    ("Sines", 2, dt.datetime(2004, 2, 29, 23, 59, 59)),
 ]
 
 
 @pytest.fixture()
-def people(spark):
-    return spark.createDataFrame(PEOPLE, "id int, name string, ValidFrom timestamp")
+def harbours(spark):
+    return spark.createDataFrame(HARBOURS, "town string, piers int, ValidFrom timestamp")
 
 
-def test_key_position(people):
-    assert number_rows(people, ["ValidFrom", "id"], "K").columns[0] == "K"
-    assert number_rows(people, ["ValidFrom", "id"], "K", key_first=False).columns[-1] == "K"
+def numbered(df):
+    return {r.town: r.Nr for r in df.collect()}
 
 
-def test_key_order(people):
-    rows = number_rows(people, "id", "K").orderBy("K").select("id").collect()
-    assert [r.id for r in rows] == [1, 2, 34, 56, 57]
+def test_the_key_column_goes_first_or_last(harbours):
+    assert number_rows(harbours, "town", "Nr").columns == ["Nr", *harbours.columns]
+    assert number_rows(harbours, "town", "Nr", key_first=False).columns == [*harbours.columns, "Nr"]
 
 
-@pytest.mark.parametrize("offset", [0, 1, 5, 10])
-def test_key_offset(people, offset):
-    keys = sorted(r.K for r in number_rows(people, ["ValidFrom", "id"], "K", offset).collect())
-    assert keys == list(range(offset, offset + 5))
-    schema = number_rows(people, "id", "K", offset).schema
-    assert schema["K"].dataType.simpleString() == "int" and not schema["K"].nullable
+def test_missing_values_come_first_and_ties_follow_the_next_column(harbours):
+    rows = number_rows(harbours.repartition(3), ["ValidFrom", "piers"], "Nr")
+    assert numbered(rows) == {"Calvi": 0, "Ystad": 1, "Lerwick": 2, "Sines": 3}
+    down = number_rows(harbours, [F.desc("piers")], "Nr", offset=40)
+    assert numbered(down) == {"Calvi": 40, "Lerwick": 41, "Ystad": 42, "Sines": 43}
+
+
+def test_type_of_the_key(harbours):
+    small, large = number_rows(harbours, "town", "Nr"), number_rows(harbours, "town", "Nr", 3_000_000_000, key_type="bigint")
+    assert (small.schema["Nr"].dataType.simpleString(), small.schema["Nr"].nullable) == ("int", False)
+    assert sorted(numbered(large).values()) == [3_000_000_000 + k for k in range(4)]
 
 
 def test_keys_equal_global_row_number_with_a_hot_value(spark):
@@ -61,18 +64,13 @@ def test_number_rows_keeps_nullability(spark):
     assert [f.nullable for f in out.fields] == [False, False, False, True]
 
 
-def test_unknown_member(people):
+def test_unknown_member(harbours):
     out = with_unknown_member(
-        number_rows(people, ["ValidFrom", "id"], "K", 1),
-        "K",
-        {"id": 0, "name": "Unknown"},
-        "2013-01-01 00:00:00",
-        "2038-01-19 03:14:07.999999",
+        number_rows(harbours, "town", "Nr", 1), "Nr", {"town": "Nowhere", "piers": -1}, "1990-06-01", "9999-12-31"
     )
-    first = out.orderBy("K").first()
-    assert (first.K, first.id, first.name) == (0, 0, "Unknown")
-    assert first.ValidFrom == dt.datetime(2013, 1, 1)
-    assert sorted(r.K for r in out.collect()) == list(range(6))
+    zero = out.where("Nr = 0").first()
+    assert (zero.town, zero.piers, zero.ValidFrom) == ("Nowhere", -1, dt.datetime(1990, 6, 1))
+    assert numbered(out) == {"Nowhere": 0, "Calvi": 1, "Lerwick": 2, "Sines": 3, "Ystad": 4}
 
 
 def test_dedup_is_deterministic_and_prunes_before_the_shuffle(spark):

@@ -59,10 +59,10 @@ def test_overwrite_append_read(spark, rows, tmp_path):
 def test_merge_into_creates_then_merges(spark, rows, tmp_path):
     t = name()
     sinks.save(rows, t, "merge", ["id"], root=str(tmp_path))
-    for n in range(3):  # both folders get reused
+    for n in range(3):  # every snapshot has a folder of its own
         sinks.save(spark.createDataFrame([(1, f"a{n}"), (10 + n, "new")], rows.schema), t, "merge", ["id"], root=str(tmp_path))
     assert got(spark.read.table(t)) == [(1, "a2"), (2, "b"), (3, "c"), (10, "new"), (11, "new"), (12, "new")]
-    assert len(list((tmp_path / t).glob("slot-*"))) == 2
+    assert len(list((tmp_path / t).glob("snapshot-*"))) == 4
 
 
 def test_repeated_batch_is_applied_once(spark, tmp_path):
@@ -74,6 +74,40 @@ def test_repeated_batch_is_applied_once(spark, tmp_path):
     assert got(spark.read.table(t)) == [(1, 2)]
 
 
+def test_two_writers_do_not_take_each_others_batches_for_repeats(spark, tmp_path):
+    t = name()
+    for key, writer in ((1, "one"), (2, "two")):
+        source = spark.createDataFrame([(key, key)], "id int, v int")
+        sinks.merge_into(spark, t, source, "id", root=str(tmp_path), batch="0", writer=writer)
+    assert got(spark.read.table(t)) == [(1, 1), (2, 2)]
+
+
+def test_a_crash_after_repointing_loses_nothing(spark, tmp_path, monkeypatch):
+    t = name()
+    start = spark.createDataFrame([(1, 1)], "id int, v int")
+    sinks.merge_into(spark, t, start, "id", root=str(tmp_path), batch="0")
+    whole = spark.sql
+
+    def broken(text, *args, **kw):
+        if "TBLPROPERTIES" in text and "ALTER" in text:
+            raise RuntimeError("lost driver")
+        return whole(text, *args, **kw)
+
+    monkeypatch.setattr(spark, "sql", broken)
+    more = spark.createDataFrame([(2, 2)], "id int, v int")
+    with pytest.raises(RuntimeError):
+        sinks.merge_into(spark, t, more, "id", root=str(tmp_path), batch="1")
+    monkeypatch.undo()
+    spark.catalog.refreshTable(t)
+    sinks.merge_into(spark, t, more, "id", root=str(tmp_path), batch="1")
+    assert got(spark.read.table(t)) == [(1, 1), (2, 2)]
+
+
+def test_a_guard_is_refused_where_it_would_be_dropped(spark, rows):
+    with pytest.raises(ValueError):
+        sinks.merge_into(spark, name(), rows, "id", native=True, guard=F.lit(True))
+
+
 def test_unknown_modes_are_refused(rows):
     with pytest.raises(sinks.UnsupportedSaveMode):
         sinks.save(rows, name(), "upsert")

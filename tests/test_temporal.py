@@ -185,3 +185,38 @@ def test_works_on_timestamps_without_zone(spark):
         rows = pit_lookup(fact, dim, [("who", "id")], "at", "v", "k", method=method, hot_rows=0).collect()
         assert rows[0].k == 11
     assert close_out(dim, "id", None).schema["ValidTo"].dataType.simpleString() == "timestamp_ntz"
+
+
+@pytest.mark.parametrize("method", ["broadcast", "join", "merge"])
+def test_overlap_is_the_same_predicate_in_every_method(spark, method):
+    d = lambda month, day: dt.datetime(2020, month, day)
+    left = spark.createDataFrame(
+        [(1, d(1, 20), d(1, 10)), (1, d(3, 1), d(3, 5)), (1, d(5, 1), None), (2, d(1, 1), d(12, 31))],
+        "id int, ValidFrom timestamp_ntz, ValidTo timestamp_ntz",
+    )
+    right = spark.createDataFrame(
+        [(1, d(1, 1), d(3, 1), "a"), (1, d(3, 4), d(3, 2), "b"), (2, d(6, 1), d(6, 1), "c")],
+        "id int, ValidFrom timestamp_ntz, ValidTo timestamp_ntz, name string",
+    )
+    got = overlap_join(left, right, "id", {"name": "name"}, method=method).collect()
+    assert sorted((r.ValidFrom, r.name) for r in got) == [
+        (d(1, 1), "c"), (d(1, 20), "a"), (d(3, 1), "a"),
+    ] + [(d(3, 1), "b")] * (d(3, 1) <= d(3, 2) and d(3, 4) <= d(3, 5))
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Los_Angeles"])
+def test_local_times_do_not_pass_through_the_process_zone(spark, monkeypatch, zone):
+    import time
+
+    from starloom.operators.incremental import between, high_water_mark
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        rows = spark.sql("SELECT explode(array(timestamp_ntz'2020-01-01 00:00:00', timestamp_ntz'2020-01-02 05:00:00')) AS t")
+        top = high_water_mark(rows, "t")
+        assert rows.where(between(rows, "t", None, top)).count() == 2
+        assert rows.where(between(rows, "t", top, None)).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
