@@ -341,36 +341,75 @@ def running_min(
 # --------------------------------------------------------------------------
 
 
+def _bin_number(column, unit: str):
+    """Number of the ``unit`` a time or date lies in; never falls as time goes on."""
+    day = F.unix_date(column.cast("date")).cast("long")
+    if unit == "day":
+        return day
+    if unit == "week":
+        return F.floor(day / 7)
+    year = F.year(column).cast("long")
+    if unit == "month":
+        return year * 12 + F.month(column)
+    if unit == "year":
+        return year
+    raise ValueError(f"bins are days, weeks, months or years, not {unit!r}")
+
+
+def _above(at, levels: int):
+    """The nodes above bin ``at``, itself included: one per level of a binary tree over the bins."""
+    return F.array(*[F.shiftright(at, n) * 64 + n for n in range(levels + 1)])
+
+
+def _cover(first, last, levels: int):
+    """The fewest nodes whose bins are ``first`` to ``last``: two per level at most."""
+    nodes = []
+    for n in range(levels + 1):
+        low, high = F.shiftright(first + (2**n - 1), n), F.shiftright(last + 1, n)
+        some = low < high
+        nodes.append(F.when(some & (low % 2 == 1), low * 64 + n))
+        nodes.append(F.when(some & (high % 2 == 1), (high - 1) * 64 + n))
+    return F.array_compact(F.array(*nodes))
+
+
 def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
     """Pairs of ``left`` and ``right`` (columns already distinct) whose closed intervals meet."""
     (lf, lt), (rf, rt) = l_valid, r_valid
     meets = (F.col(lf) <= F.col(rt)) & (F.col(rf) <= F.col(lt))
     if bin_unit is None:
         return left.join(right, _all([*same, meets]), "inner")
-    # Intervals that end before they start have no bins; they are few and joined by the predicate alone.
+    # Intervals that end before they start cover no bins; they are few and joined by the predicate alone.
     odd_left, odd_right = left.where(F.col(lf) > F.col(lt)), right.where(F.col(rf) > F.col(rt))
-    straight = left.where(F.col(lf) <= F.col(lt))
+    straight, r_straight = left.where(F.col(lf) <= F.col(lt)), right.where(F.col(rf) <= F.col(rt))
     odd = odd_left.join(right, _all([*same, meets]), "inner").unionAll(
         straight.join(odd_right, _all([*same, meets]), "inner")
     )
-    # A pair meets first at the later of its two starts.  No start is later than
-    # `horizon`, so an open interval needs bins up to there only.
-    latest = left.agg(F.max(lf).alias("m")).unionAll(right.agg(F.max(rf).alias("m")))
-    horizon = literal_like(left, lf, latest.agg(F.max("m")).first()[0])
-
-    def binned(df, start, end, name):
-        first = F.date_trunc(bin_unit, start)
-        final = F.date_trunc(bin_unit, F.least(F.col(end), horizon.cast(df.schema[end].dataType)))
-        step = F.expr(f"INTERVAL 1 {bin_unit}")
-        return df.where(F.col(start) <= F.col(end)).withColumn(name, F.explode(F.sequence(first, final, step)))
-
-    anchor = F.date_trunc(bin_unit, F.greatest(lf, rf))
-    joined = binned(left, lf, lt, "_lbin").join(
-        binned(right, rf, rt, "_rbin"),
-        _all([*same, F.col("_lbin") == F.col("_rbin"), meets, F.col("_lbin") == anchor]),
-        "inner",
+    # Two intervals meet when one holds the other's start.  No start is later than
+    # the last one, so an open interval is covered up to there only.
+    starts = straight.select(_bin_number(F.col(lf), bin_unit).alias("b")).unionAll(
+        r_straight.select(_bin_number(F.col(rf), bin_unit).alias("b"))
+    )
+    base, final = starts.agg(F.coalesce(F.min("b"), F.lit(0)), F.coalesce(F.max("b"), F.lit(0))).first()
+    levels = (final - base).bit_length()
+
+    def bin_of(column):
+        return F.least(_bin_number(F.col(column), bin_unit), F.lit(final)) - F.lit(base)
+
+    def spans(df, start, end, name):
+        return df.withColumn(name, F.explode(_cover(bin_of(start), bin_of(end), levels)))
+
+    def points(df, start, name):
+        return df.withColumn(name, F.explode(_above(bin_of(start), levels)))
+
+    # A bin has one node above it in a cover, if any, so a pair is found once.
+    here = [*same, F.col("_lbin") == F.col("_rbin")]
+    started = spans(straight, lf, lt, "_lbin").join(
+        points(r_straight, rf, "_rbin"), _all([*here, F.col(rf) >= F.col(lf), F.col(rf) <= F.col(lt)]), "inner"
+    )
+    running = points(straight, lf, "_lbin").join(
+        spans(r_straight, rf, rt, "_rbin"), _all([*here, F.col(lf) > F.col(rf), F.col(lf) <= F.col(rt)]), "inner"
     )
-    return joined.drop("_lbin", "_rbin").unionAll(odd)
+    return started.unionAll(running).drop("_lbin", "_rbin").unionAll(odd)
 
 
 def overlap_join(
@@ -386,10 +425,12 @@ def overlap_join(
     """Inner join of versions whose intervals overlap; touching ends count.
 
     ``broadcast`` sends the right side to all executors, which ``auto`` does
-    only for a counted, small one.  ``merge`` cuts both sides at ``bin_unit``
-    and joins on (key, bin), so an id with very many versions compares
-    neighbours in time only; each pair is kept once, in the bin where it first
-    meets.  ``join`` leaves it to Spark.
+    only for a counted, small one.  ``merge`` matches the starts of each side to
+    the intervals of the other, which a binary tree over bins of ``bin_unit``
+    (day, week, month, year) covers: an interval or a start is copied a few times
+    per level, so copies grow with the logarithm of the time spanned, and an id
+    with very many versions compares those that meet or share a bin.  ``join``
+    leaves it to Spark.
     """
     keys = pairs(on)
     r_from, r_to = right_valid or valid
