@@ -36,6 +36,17 @@ def star_equal(actual: dict[str, DataFrame], expected: dict[str, DataFrame]) ->
     return True
 
 
+def star_diff(actual: dict[str, DataFrame], expected: dict[str, DataFrame]) -> DataFrame:
+    """Per differing table of a star and side, the number of surplus rows; a missing table counts as empty."""
+    out = None
+    for name, table in expected.items():
+        diff = table_diff(actual.get(name, table.limit(0)), table)
+        one = diff.groupBy("only_in").agg(F.sum("copies").alias("n_rows"))
+        one = one.select(F.lit(name).alias("target"), "only_in", "n_rows")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 def key_range(df: DataFrame, key: str) -> DataFrame:
     """One row: first key, last key, rows, distinct keys, and whether they are gap-free."""
     # Counting per key first keeps the distinct count exact with map-side combining.

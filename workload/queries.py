@@ -11,7 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.checks import ambiguous_names, invalid_intervals, key_range, table_diff
+from starloom.constants import TARGETS
+from starloom.operators.checks import (
+    ambiguous_names,
+    invalid_intervals,
+    key_range,
+    star_diff,
+    star_equal,
+    table_diff,
+)
 from starloom.operators.dedup import dedup_by, keep_max_rows, latest_per_key
 from starloom.operators.incremental import (
     high_water_mark,
@@ -34,11 +42,11 @@ from starloom.operators.temporal import (
 from starloom.plans import dimensions, facts, reports
 from starloom.plans.calendar import calendar_between
 from starloom.plans.raw_load import load_regular, load_temporal
-from starloom.plans.star import build_dimensions, build_facts
+from starloom.plans.star import build_dimensions, build_facts, build_star, save_star
 from starloom.sources.changes import read_changes
-from starloom.sources.sinks import append, export_sample, merge_into, overwrite
+from starloom.sources.sinks import append, export_sample, merge_into, overwrite, overwrite_path
 from starloom.sources.staging import stage, staging_path
-from starloom.sources.tables import extract_columns, read_table, read_tsv
+from starloom.sources.tables import ensure_table, extract_columns, read_table, read_tsv
 from starloom.streaming.cdc import changes, latest_images, schema_from_ddl, upsert_stream
 from workload import sql
 from workload.sources import BEGIN, LOAD_TO, OPEN_END, Sources, money, saved
@@ -214,6 +222,74 @@ def star_summary(src):
     return out
 
 
+_KEYED = {
+    "city": ("dim_city", "CityKey"),
+    "employee": ("dim_employee", "EmployeeKey"),
+    "customer": ("dim_customer", "CustomerKey"),
+    "stock_item": ("dim_item", "StockItemKey"),
+    "supplier": ("dim_supplier", "SupplierKey"),
+}
+_AS_OF = "2018-06-01"
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS target, count(*) AS n_rows, CAST(max("{key}") AS INTEGER) AS last_key FROM {table}"""
+        for name, (table, key) in _KEYED.items()
+    )
+    + f"""
+    UNION ALL SELECT 'payment_method', count(DISTINCT o_orderpriority) + 1, CAST(count(DISTINCT o_orderpriority) AS INTEGER)
+    FROM orders
+    UNION ALL SELECT 'transaction_type', count(*) + 1, CAST(count(*) AS INTEGER)
+    FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) FROM events
+          GROUP BY event_type, CAST(ts AS DATE), user_id % 2 HAVING max(ts) <= {sql.LOAD_TO})
+    UNION ALL SELECT 'calendar', CAST(last_day(DATE '{_AS_OF}') + INTERVAL 12 MONTH AS DATE) - DATE '2013-01-01', NULL
+    UNION ALL SELECT 'sale', count(*), CAST(nullif(count(*), 0) - 1 AS INTEGER) FROM sale_single WHERE loaded <= {sql.LOAD_TO}
+    UNION ALL SELECT 'order', count(*), CAST(nullif(count(*), 0) - 1 AS INTEGER) FROM order_single WHERE loaded <= {sql.LOAD_TO}
+    UNION ALL SELECT 'stock_holding', count(*), CAST(nullif(count(*), 0) - 1 AS INTEGER)
+    FROM (SELECT l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_partkey
+          HAVING max(l_shipdate + INTERVAL 18 YEAR) <= {sql.LOAD_TO})
+    """
+)
+def star_build(src):
+    """All targets built and saved, read back by name and compared with what was built."""
+    schema = f"star_{uuid.uuid4().hex}"
+    src.spark.sql(f"CREATE DATABASE {schema}")
+    star = build_star(src.spark, src, "2013-01-01", _AS_OF, to=LOAD_TO)
+    star = {name: stage(table, f"star-{name}") for name, table in star.items()}
+    save_star(star, schema, to=LOAD_TO)
+    back = {name: read_table(src.spark, f"{schema}.{TARGETS[name][0]}") for name in star}
+    star_equal(back, star)
+    out = None
+    for name, table in back.items():
+        key = TARGETS[name][1]
+        last = F.max(key) if key else F.lit(None)
+        row = table.agg(F.count(F.lit(1)).alias("n_rows"), last.cast("int").alias("last_key"))
+        row = row.select(F.lit(name).alias("target"), "n_rows", "last_key")
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
+@query(
+    """
+    SELECT 'customer' AS target, 'expected' AS only_in, CAST(count(*) AS BIGINT) AS n_rows
+    FROM dim_customer WHERE "CustomerKey" % 7 = 3 HAVING count(*) > 0
+    UNION ALL SELECT 'stock_item', 'actual', CAST(count(*) AS BIGINT) FROM dim_item
+    """
+)
+def star_check(src):
+    """Lost customers and repeated items are reported, equal tables are not."""
+    names = ["city", "employee", "customer", "stock_item", "supplier"]
+    expected = dict(zip(names, _dims(src, *names)))
+    items = expected["stock_item"]
+    actual = {
+        **expected,
+        "customer": expected["customer"].where("CustomerKey % 7 <> 3"),
+        "stock_item": items.unionByName(items),
+    }
+    return star_diff(actual, expected)
+
+
 # ---------------------------------------------------------------------------
 # Dimensions and calendar
 # ---------------------------------------------------------------------------
@@ -510,6 +586,49 @@ def intersect_join_(src):
     )
 
 
+def _uneven_sql(table: str) -> str:
+    return f"""
+    SELECT event_id, user_id, event_type, CASE WHEN event_id % 11 = 0 THEN vt ELSE vf END AS vf,
+           CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 11 = 0 THEN vf ELSE vt END AS vt
+    FROM {table}
+    """
+
+
+_UNEVEN = """
+    SELECT a.event_id, a.user_id, a.event_type, a.vf AS "ValidFrom", a.vt AS "ValidTo", b.event_id AS other_id
+    FROM uneven_a a JOIN uneven_b b ON a.user_id = b.user_id AND a.vf <= b.vt AND b.vf <= a.vt
+"""
+_UNEVEN_PARTS = {"uneven_a": _uneven_sql("history_a"), "uneven_b": _uneven_sql("history_b")}
+
+
+def _uneven(src, kinds: list[str]) -> DataFrame:
+    """A user's versions, some inverted, some without an end."""
+    inverted, endless = F.col("event_id") % 11 == 0, F.col("event_id") % 13 == 0
+    start = F.when(inverted, F.col("ValidTo")).otherwise(F.col("ValidFrom"))
+    end = F.when(endless, None).when(inverted, F.col("ValidFrom")).otherwise(F.col("ValidTo"))
+    return src.user_history(kinds).select("event_id", "user_id", "event_type", start.alias("ValidFrom"), end.alias("ValidTo"))
+
+
+def _uneven_overlap(src, method: str) -> DataFrame:
+    left, right = _uneven(src, ["view", "click"]), _uneven(src, ["signup", "error"])
+    return overlap_join(left, right, "user_id", {"other_id": "event_id"}, method=method, bin_unit="day")
+
+
+@query(_UNEVEN, _UNEVEN_PARTS)
+def overlap_join_plain(src):
+    return _uneven_overlap(src, "join")
+
+
+@query(_UNEVEN, _UNEVEN_PARTS)
+def overlap_join_broadcast(src):
+    return _uneven_overlap(src, "broadcast")
+
+
+@query(_UNEVEN, _UNEVEN_PARTS)
+def overlap_join_merge(src):
+    return _uneven_overlap(src, "merge")
+
+
 # ---------------------------------------------------------------------------
 # Incremental loading
 # ---------------------------------------------------------------------------
@@ -744,6 +863,26 @@ def table_upsert(src):
     return read_table(src.spark, name)
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def overwrite_by_path(src):
+    """A folder written twice holds the second table alone."""
+    orders, root = src.read("orders"), staging_path(src.spark, "root")
+    overwrite_path(orders.select("o_orderkey", "o_custkey"), root, "Sales_Orders")
+    path = overwrite_path(orders.select("o_orderkey", "o_orderstatus"), root, "Sales_Orders")
+    return src.spark.read.parquet(path)
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def empty_table_filled(src):
+    """A table created empty from a declared schema, then filled twice over without being made anew."""
+    parts, name = src.read("part").select("p_partkey", "p_name"), f"declared_{uuid.uuid4().hex}"
+    half = F.col("p_partkey") % 2 == 0
+    for rows in (parts.where(half), parts.where(~half)):
+        ensure_table(src.spark, name, parts.schema)
+        append(rows, name)
+    return read_table(src.spark, name)
+
+
 # ---------------------------------------------------------------------------
 # Change data capture
 # ---------------------------------------------------------------------------
@@ -824,6 +963,20 @@ def cdc_stream_upsert(src):
     return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
 
 
+@query(_LATEST)
+def cdc_two_streams(src):
+    """Two streams with checkpoints of their own into one table: neither batch 0 is taken for the other's."""
+    name, messages = f"cdc_{uuid.uuid4().hex}", _messages(src, False)
+    first = F.xxhash64("value") % 2 == 0
+    for part in (first, ~first):
+        folder = staging_path(src.spark, "messages")
+        messages.where(part).write.text(folder)
+        stream = read_changes(src.spark, "text", {}, path=folder)
+        checkpoint = staging_path(src.spark, "checkpoint")
+        upsert_stream(changes(stream, _ROW), name, "user_id", checkpoint, time_guard=True).awaitTermination()
+    return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
+
+
 @query(
     """
     SELECT table_name, CAST(position AS INTEGER) AS position, column_name, spark_type,
