@@ -123,6 +123,45 @@ for _old, _new in [(e, "&amp;" + e[1:]) for e in ("&amp;", "&lt;", "&#91;", "&#1
     _ESCAPED = f"replace({_ESCAPED}, '{_old}', '{_new}')"
 
 ORACLE = {
+    # Sixty rounds of the three dimensions, one dimension a step.
+    "op3_mixing": """
+WITH RECURSIVE named AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+    CASE WHEN contains(text, 'Licensed under') OR contains(text, 'Copyright') THEN 'licence'
+      WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '@') THEN 'contact'
+      WHEN length(text) >= 2000 THEN 'long prose' ELSE 'short prose' END AS topic,
+    coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r]+')), 0)::BIGINT AS tokens
+  FROM documents
+), cells AS (
+  SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM named GROUP BY ALL HAVING sum(tokens) > 0
+), s AS (
+  SELECT source, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) OVER () AS share FROM cells GROUP BY source
+), l AS (
+  SELECT lang, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) OVER () AS share FROM cells GROUP BY lang
+), t AS (
+  SELECT topic, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) OVER () AS share FROM cells GROUP BY topic
+), rake AS (
+  SELECT 0 AS step, c.*, s.share AS s, l.share AS l, t.share AS t, 1.0::DOUBLE AS weight
+  FROM cells c JOIN s USING (source) JOIN l USING (lang) JOIN t USING (topic)
+  UNION ALL
+  SELECT step + 1, source, lang, topic, tokens, s, l, t, weight * CASE step % 3
+      WHEN 0 THEN s / sum(tokens * weight) OVER (PARTITION BY source)
+      WHEN 1 THEN l / sum(tokens * weight) OVER (PARTITION BY lang)
+      ELSE t / sum(tokens * weight) OVER (PARTITION BY topic) END
+  FROM rake WHERE step < 180
+), raked AS (
+  SELECT source, lang, topic, weight,
+    least(1.0, weight * least(0.9 * sum(tokens) OVER (), 1 / max(weight) OVER ())) AS probability
+  FROM rake WHERE step = 180
+), m AS (
+  SELECT n.*, CASE WHEN n.tokens > 0 THEN weight ELSE 0.0 END AS weight,
+    CASE WHEN n.tokens > 0 THEN probability ELSE 1.0 END AS probability
+  FROM named n LEFT JOIN raked USING (source, lang, topic)
+)
+SELECT doc_id, source, lang, topic, tokens, round(weight * 1e9, 3) AS weight, round(probability, 6) AS probability,
+  ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 < probability AS kept
+FROM m
+""",
     "op7_warc": f"""
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -139,6 +178,29 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, true AS verified
 FROM g
+""",
+    "op8_sharding": """
+WITH RECURSIVE crc_table(n, k, c) AS (
+  SELECT n, 0, n FROM (SELECT unnest(range(256)) AS n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_table WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY n) AS t FROM crc_table WHERE k = 8
+), d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc
+), p AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto,
+    sum(size) OVER () AS whole FROM d
+), s AS (
+  SELECT *, least((2 * upto - size) * 8 // (2 * whole), 7)::INT AS shard FROM p
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM s
 """,
     "op10_chat": f"""
 WITH t AS (
