@@ -157,7 +157,7 @@ class Sources(Tables):
             (key - key % 10 + 1).cast("int").alias("BillToCustomerID"),
             F.ascii("c_mktsegment").alias("CustomerCategoryID"),
             F.when(key % 11 != 0, F.col("c_nationkey") % 3 + 1).alias("BuyingGroupID"),
-            (key % 97 + 1).cast("int").alias("PrimaryContactPersonID"),
+            F.expr("c_custkey div 15 + 1").cast("int").alias("PrimaryContactPersonID"),
             (key + 1).cast("int").alias("DeliveryCityID"),
             (F.col("n") + 90000).cast("string").alias("DeliveryPostalCode"),
             *self.VALIDITY,
@@ -339,7 +339,8 @@ class Sources(Tables):
             {
                 "LastEditedWhen": F.expr("o_at + INTERVAL 12 HOURS"),
                 "LoadDatetime": F.expr("CAST(trunc(o_at, 'MM') AS timestamp_ntz) + INTERVAL 1 MONTH"),
-                "SalespersonPersonID": (F.col("o_orderkey") % 32 * 3 + 2).cast("int"),
+                # references reach every member, however many there are
+                "SalespersonPersonID": F.expr("o_custkey div 45 * 3 + 2").cast("int"),
                 "CustomerID": (F.col("o_custkey") + 1).cast("int"),
             }
         )
@@ -369,7 +370,7 @@ class Sources(Tables):
             (key + 1).cast("int").alias("OrderID"),
             "CustomerID",
             "SalespersonPersonID",
-            F.when(key % 5 != 0, F.col("o_custkey") % 89 + 1).cast("int").alias("PickedByPersonID"),
+            F.when(key % 5 != 0, F.expr("o_custkey div 15 + 1")).cast("int").alias("PickedByPersonID"),
             F.when(F.col("o_orderstatus") == "P", key).cast("int").alias("BackorderOrderID"),
             F.col("o_at").cast("date").alias("OrderDate"),
             "LastEditedWhen",

@@ -76,7 +76,7 @@ CTES["x_countries"] = f"""
 CTES["x_customers"] = """
     SELECT c_custkey + 1 AS id, c_name || ' v' || n AS name, c_custkey - c_custkey % 10 + 1 AS bill_to,
            ascii(c_mktsegment) AS category, CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey % 3 + 1 END AS grp,
-           c_custkey % 97 + 1 AS contact, c_custkey + 1 AS city, CAST(n + 90000 AS VARCHAR) AS postal, vf, vt, loaded
+           c_custkey // 15 + 1 AS contact, c_custkey + 1 AS city, CAST(n + 90000 AS VARCHAR) AS postal, vf, vt, loaded
     FROM customer_years JOIN customer ON m = c_custkey
 """
 CTES["x_categories"] = f"""
@@ -126,8 +126,8 @@ CTES["x_supplier_categories"] = f"""
     FROM (SELECT DISTINCT s_nationkey % 5 + 1 AS k FROM supplier), {_cuts([BEGIN, "TIMESTAMP '2016-06-01 00:00:00'"])}
 """
 CTES["x_headers"] = """
-    SELECT o_orderkey + 1 AS id, o_custkey + 1 AS customer, o_orderkey % 32 * 3 + 2 AS seller,
-           CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 89 + 1 END AS picker,
+    SELECT o_orderkey + 1 AS id, o_custkey + 1 AS customer, o_custkey // 45 * 3 + 2 AS seller,
+           CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey // 15 + 1 END AS picker,
            CASE WHEN o_orderstatus = 'P' THEN o_orderkey END AS backorder,
            o_custkey - o_custkey % 10 + 1 AS bill_to, o_orderstatus AS status,
            o_orderdate + INTERVAL 18 YEAR AS moment,
