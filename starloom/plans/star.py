@@ -93,8 +93,14 @@ def build_star(
     return {**dims, **days, **build_facts(sources, dims, to, targets, **options)}
 
 
-def save_star(star: dict[str, DataFrame], schema: str, to=None, rekey: bool = False) -> None:
-    """Dimensions are overwritten; facts are merged when loaded up to ``to``, else overwritten."""
+def save_star(
+    star: dict[str, DataFrame], schema: str, to=None, rekey: bool = False, buckets: int | None = None
+) -> None:
+    """Dimensions are overwritten; facts are merged when loaded up to ``to``, else overwritten.
+
+    Facts that a merge creates with ``buckets`` are kept in that many partitions
+    by their merge keys; later merges rewrite the touched ones only.
+    """
     for name, table in star.items():
         target, key, merge_keys = TARGETS[name]
         if name in FACTS and to is not None:
@@ -102,6 +108,6 @@ def save_star(star: dict[str, DataFrame], schema: str, to=None, rekey: bool = Fa
             update = [c for c in table.columns if c not in kept]
             # Written once: the merge counts its source before it joins it.
             table = stage(table, f"fact-{name}")
-            save(table, f"{schema}.{target}", "merge", merge_keys, update_cols=update)
+            save(table, f"{schema}.{target}", "merge", merge_keys, update_cols=update, buckets=buckets)
         else:
             save(table, f"{schema}.{target}", "overwrite")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.constants import SAMPLE_ORDER
 from starloom.operators.merge import merge_upsert
-from starloom.sources.tables import read_table
+from starloom.sources.tables import BUCKET, read_table
 
 _BATCH = "starloom.batch"
+_BUCKETS = "starloom.buckets"
 
 
 class UnsupportedSaveMode(Exception):
@@ -76,6 +78,7 @@ def merge_into(
     batch: str | None = None,
     writer: str = "",
     native: bool = False,
+    buckets: int | None = None,
     **options,
 ) -> None:
     """Upsert ``source`` into the table ``name``, created if missing.
@@ -85,7 +88,9 @@ def merge_into(
     batches of different writers do not touch each other's marks.
 
     ``native`` uses the table format's own MERGE (Delta, Iceberg, ...), which
-    rewrites touched files only.  Otherwise the merged snapshot is written anew.
+    rewrites touched files only.  Otherwise the merged snapshot is written anew,
+    or, for a table created with ``buckets``, only the buckets that hold a key of
+    the source (see ``merge_buckets``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if native and options.get("guard") is not None:
@@ -107,15 +112,68 @@ def merge_into(
         )
         return
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/starloom-tables"
-    if not spark.catalog.tableExists(name):
-        replace_snapshot(spark, name, source, root, batch, writer)
+    exists = spark.catalog.tableExists(name)
+    kept = int(_property(spark, name, _BUCKETS) or 0) if exists else buckets
+    if exists and buckets is not None and buckets != kept:
+        raise ValueError(f"{name} is kept in {kept or 'no'} buckets")
+    if exists and batch is not None and _property(spark, name, f"{_BATCH}.{writer}") == str(batch):
+        return
+    if kept:
+        merge_buckets(spark, name, source, keys, kept, root, update_cols, **options)
+        if batch is not None:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BATCH}.{writer}'='{batch}')")
         return
-    if batch is not None and _property(spark, name, f"{_BATCH}.{writer}") == str(batch):
+    if not exists:
+        replace_snapshot(spark, name, source, root, batch, writer)
         return
     merged = merge_upsert(read_table(spark, name), source, keys, update_cols, **options)
     replace_snapshot(spark, name, merged, root, batch, writer)
 
 
+def merge_buckets(
+    spark: SparkSession, name: str, source: DataFrame, keys: list[str], buckets: int, root: str, update_cols=None, **options
+) -> None:
+    """Upsert into a table partitioned by a hash of its keys; other partitions are not read or written.
+
+    The touched partitions are written to a new folder, then the catalog's
+    partitions are repointed one by one, so a failure in between leaves some
+    buckets merged and some not: repeat the same source, which merges to the
+    same rows.  A load that is derived from the state of its own target should
+    be written first and that copy repeated.  Rows without a whole key match
+    nothing; those of a load get a partition of their own, numbered below zero.
+    """
+    exists = spark.catalog.tableExists(name)
+    table = spark.read.table(name) if exists else source.withColumn(BUCKET, F.lit(0))
+    schema = table.schema
+    source = source.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in table.columns if c != BUCKET])
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    known: set[int] = set()
+    keyed = source.where(whole)
+    if exists:
+        spark.catalog.refreshTable(name)
+        known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        touched = [r[0] for r in keyed.select(number).distinct().collect()]  # at most ``buckets`` numbers
+        old = spark.read.table(name).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        keyed = merge_upsert(old, keyed, keys, update_cols, **options)
+    keyless = source.where(~whole).withColumn(BUCKET, F.lit(min(known | {0}) - 1))
+    rows = keyed.withColumn(BUCKET, number).unionByName(keyless)
+    path = f"{root.rstrip('/')}/{name}/buckets-{uuid.uuid4().hex}"
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+    written = [r[0] for r in spark.read.schema(rows.schema).parquet(path).select(BUCKET).distinct().collect()]
+    if not exists:
+        empty = spark.createDataFrame([], rows.schema)
+        made = empty.writeTo(name).using("parquet").partitionedBy(F.col(BUCKET)).tableProperty(_BUCKETS, str(buckets))
+        made.option("path", f"{root.rstrip('/')}/{name}/base-{uuid.uuid4().hex}").create()
+    place = lambda k: f"PARTITION ({BUCKET}={k})"
+    fresh = [f"{place(k)} LOCATION '{path}/{BUCKET}={k}'" for k in written if k not in known]
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(fresh)}")
+    for k in known.intersection(written):
+        spark.sql(f"ALTER TABLE {name} {place(k)} SET LOCATION '{path}/{BUCKET}={k}'")
+    spark.catalog.refreshTable(name)
+
+
 def save(df: DataFrame, name: str, mode: str, keys=None, **options) -> None:
     """``overwrite``, ``append`` or ``merge`` into a catalog table."""
     if mode == "overwrite":

@@ -11,17 +11,20 @@ from pyspark.sql import types as T
 
 from starloom.constants import GEOGRAPHY_COLUMNS
 
+BUCKET = "starloom_bucket"  # partition column of tables that are merged by bucket
+
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table by name, or files by path.
 
     The table may have been repointed by another session, a running stream
-    say, so what this session remembers of it is dropped first.
+    say, so what this session remembers of it is dropped first.  The partition
+    column of a table kept in buckets is left out.
     """
     if "/" in name_or_path:
         return spark.read.format(fmt).load(name_or_path)
     spark.catalog.refreshTable(name_or_path)
-    return spark.read.table(name_or_path)
+    return spark.read.table(name_or_path).drop(BUCKET)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:

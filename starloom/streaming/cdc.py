@@ -110,9 +110,13 @@ def upsert_batch(
     load_time=None,
     native: bool = False,
     writer: str = "",
+    buckets: int | None = None,
 ) -> None:
     """Merge one micro-batch of row images into the table ``name``.
 
+    With ``buckets`` the table is kept in that many partitions by key, and a
+    batch rewrites only those that hold one of its keys.
+
     ``deletes="apply"`` keeps a tombstone column ``IsDeleted`` instead of
     dropping the change.  ``time_guard`` keeps an ``EventTime`` column and
     lets no older event overwrite a newer one; the default, like a plain
@@ -139,6 +143,7 @@ def upsert_batch(
         batch=str(batch_id),
         writer=writer,
         native=native,
+        buckets=buckets,
         **options,
     )
 

@@ -103,6 +103,54 @@ def test_a_crash_after_repointing_loses_nothing(spark, tmp_path, monkeypatch):
     assert got(spark.read.table(t)) == [(1, 1), (2, 2)]
 
 
+def test_merge_leaves_other_buckets_alone(spark, tmp_path):
+    t = name()
+    start = spark.range(200).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v"))
+    sinks.merge_into(spark, t, start, "id", root=str(tmp_path), buckets=8)
+    before = set(spark.read.table(t).inputFiles())
+    more = spark.createDataFrame([(3, "b"), (None, "no key"), (None, "no key")], "id long, v string")
+    sinks.merge_into(spark, t, more, "id", root=str(tmp_path))
+    after = set(spark.read.table(t).inputFiles())
+    bucket = lambda files: {f.rsplit("/", 2)[1] for f in files}
+    assert len(bucket(before)) == 8 and len(bucket(before - after)) == 1
+    assert bucket(after - before) == bucket(before - after) | {"starloom_bucket=-1"}
+    out = read_table(spark, t)
+    assert out.columns == ["id", "v"] and out.count() == 202
+    assert got(out.where("v <> 'a'").fillna(-1)) == [(-1, "no key"), (-1, "no key"), (3, "b")]
+    with pytest.raises(ValueError):
+        sinks.merge_into(spark, t, more, "id", root=str(tmp_path), buckets=4)
+
+
+def test_a_bucket_merge_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
+    t = name()
+    start = spark.range(50).select("id", F.lit(0).alias("v"))
+    sinks.merge_into(spark, t, start, "id", root=str(tmp_path), buckets=4, batch="0")
+    whole, moved = spark.sql, []
+
+    def broken(text, *args, **kw):
+        if "SET LOCATION" in text:
+            moved.append(text)
+            if len(moved) == 3:
+                raise RuntimeError("lost driver")
+        return whole(text, *args, **kw)
+
+    monkeypatch.setattr(spark, "sql", broken)
+    more = spark.range(25, 75).select("id", F.lit(1).alias("v"))
+    with pytest.raises(RuntimeError):
+        sinks.merge_into(spark, t, more, "id", root=str(tmp_path), batch="1")
+    monkeypatch.undo()
+    sinks.merge_into(spark, t, more, "id", root=str(tmp_path), batch="1")
+    assert got(read_table(spark, t)) == [(k, int(k >= 25)) for k in range(75)]
+
+
+def test_a_bucket_merge_of_nothing_creates_an_empty_table(spark, rows, tmp_path):
+    t = name()
+    sinks.merge_into(spark, t, rows.where("false"), "id", root=str(tmp_path), buckets=4)
+    assert got(read_table(spark, t)) == []
+    sinks.merge_into(spark, t, rows, "id", root=str(tmp_path), check=False)
+    assert got(read_table(spark, t)) == got(rows)
+
+
 def test_a_guard_is_refused_where_it_would_be_dropped(spark, rows):
     with pytest.raises(ValueError):
         sinks.merge_into(spark, name(), rows, "id", native=True, guard=F.lit(True))

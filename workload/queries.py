@@ -863,6 +863,18 @@ def table_upsert(src):
     return read_table(src.spark, name)
 
 
+@query(_merged_sql("o_orderkey + 1000001", "o_orderdate"))
+def merge_partitions(src):
+    """A table kept in partitions by key, merged in two loads that each touch some of the partitions."""
+    target, source = _slices(src)
+    name = f"buckets_{uuid.uuid4().hex}"
+    merge_into(src.spark, name, target, "o_orderkey", buckets=16)
+    even = F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == 0
+    for load in (source.where(even), source.where(~even)):
+        merge_into(src.spark, name, load, "o_orderkey", ["key", "price"])
+    return read_table(src.spark, name)
+
+
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
 def overwrite_by_path(src):
     """A folder written twice holds the second table alone."""
@@ -965,7 +977,7 @@ def cdc_stream_upsert(src):
 
 @query(_LATEST)
 def cdc_two_streams(src):
-    """Two streams with checkpoints of their own into one table: neither batch 0 is taken for the other's."""
+    """Two streams with checkpoints of their own into one table kept in buckets: neither batch 0 is taken for the other's."""
     name, messages = f"cdc_{uuid.uuid4().hex}", _messages(src, False)
     first = F.xxhash64("value") % 2 == 0
     for part in (first, ~first):
@@ -973,7 +985,7 @@ def cdc_two_streams(src):
         messages.where(part).write.text(folder)
         stream = read_changes(src.spark, "text", {}, path=folder)
         checkpoint = staging_path(src.spark, "checkpoint")
-        upsert_stream(changes(stream, _ROW), name, "user_id", checkpoint, time_guard=True).awaitTermination()
+        upsert_stream(changes(stream, _ROW), name, "user_id", checkpoint, time_guard=True, buckets=4).awaitTermination()
     return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
 
 
