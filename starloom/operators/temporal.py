@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,28 +115,49 @@ def _contains(at: Column, start: Column, end: Column, closed: str) -> Column:
     raise ValueError("closed must be 'left' or 'right'")
 
 
-def lookup_methods(histories: dict[str, tuple[DataFrame, list[str], list[str]]]) -> dict[str, str]:
+class Lookup(NamedTuple):
+    """How a history is best looked up, and whether versions of an id overlap in it."""
+
+    method: str
+    disjoint: bool
+
+
+def lookup_methods(
+    histories: dict[str, tuple[DataFrame, list[str], list[str]]], valid: tuple[str, str] = ("ValidFrom", "ValidTo")
+) -> dict[str, Lookup]:
     """``broadcast`` for each history that is small and shallow, else ``merge``.
 
     A history comes with its key columns and the columns taken from it.  One
     job counts rows, bytes and the versions per id of all histories, so the
-    choice rests on measured sizes and not on estimates.
+    choice rests on measured sizes and not on estimates.  Versions of an id
+    overlap somewhere if one that is not empty ends after the next one starts.
     """
+    start, end = valid
     measured = None
     for name, (history, keys, take) in histories.items():
-        size = row_bytes(history, [*keys, *take])
-        versions = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_bytes"))
-        row = versions.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n")).select(F.lit(name), "*")
+        ids = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+        narrow = history.select(
+            *ids, row_bytes(history, [*keys, *take]).alias("_size"), F.col(start).alias("_from"), F.col(end).alias("_to")
+        )
+        by_id = [f"_k{i}" for i in range(len(keys))]
+        real = F.col("_from") < F.col("_to")
+        following = F.lead("_from").over(Window.partitionBy(*by_id, real).orderBy("_from"))
+        versions = (
+            narrow.withColumn("_meets", F.coalesce(real & (following < F.col("_to")), F.lit(False)))
+            .groupBy(*by_id)
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"), F.max("_meets").alias("_meets"))
+        )
+        row = versions.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n"), F.max("_meets")).select(F.lit(name), "*")
         measured = row if measured is None else measured.unionAll(row)
     limits = (BROADCAST_ROWS, BROADCAST_BYTES, SCAN_VERSIONS)
     return {
-        name: "broadcast" if all((v or 0) <= limit for v, limit in zip(values, limits)) else "merge"
-        for name, *values in measured.collect()  # one row per history
+        name: Lookup("broadcast" if all((v or 0) <= m for v, m in zip(sizes, limits)) else "merge", not meets)
+        for name, *sizes, meets in measured.collect()  # one row per history
     }
 
 
-def lookup_method(history: DataFrame, keys: list[str], take: list[str]) -> str:
-    return lookup_methods({"it": (history, keys, take)})["it"]
+def lookup_method(history: DataFrame, keys: list[str], take: list[str], valid=("ValidFrom", "ValidTo")) -> Lookup:
+    return lookup_methods({"it": (history, keys, take)}, valid)["it"]
 
 
 def as_of_join(
@@ -148,9 +170,11 @@ def as_of_join(
     closed: str = "left",
     valid_from: str = "ValidFrom",
     valid_to: str = "ValidTo",
-    method: str = "auto",
+    method: str | Lookup = "auto",
     hot_rows: int = HOT_ROWS,
     unit: str = "day",
+    matches: str = "last",
+    disjoint: bool | None = None,
 ) -> DataFrame:
     """Add columns of the version of ``history`` in force at ``left[at]``.
 
@@ -159,13 +183,17 @@ def as_of_join(
     ``from < at <= to``; the two are used in different places on purpose.
     ``how`` is ``inner`` or ``left``.
 
+    Should versions of an id overlap, ``matches="last"`` takes the one in force
+    that started last (ties by end, then by the columns taken) and adds no
+    rows; ``"all"`` returns a row for every version in force.  ``disjoint`` says
+    that no versions overlap; where it is not given it is measured.
+
     Methods: ``broadcast`` sends the history to all executors (``auto`` takes
     it only for a counted, small one); ``merge`` sorts rows and versions of a
     key together and carries the last version along, which stays linear however
-    many versions an id has and splits hot ids.  Both find one version at most:
-    should versions of an id overlap, the one that started last counts.
-    ``join`` is the plain equi-join with a range condition and returns every
-    match.
+    many versions an id has and splits hot ids; ``join`` is the plain equi-join
+    with a range condition.  All give the same rows.  What ``lookup_methods``
+    returns for a history can be given as ``method``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -179,21 +207,62 @@ def as_of_join(
         F.col(valid_to).alias("_to"),
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    if method == "auto":
-        method = lookup_method(history, [h for _, h in keys], list(take.values()))
+    if matches not in ("last", "all"):
+        raise ValueError("matches must be 'last' or 'all'")
+    if isinstance(method, Lookup):
+        method, disjoint = method
+    if method == "auto" or disjoint is None:
+        measured = lookup_method(history, [h for _, h in keys], list(take.values()), (valid_from, valid_to))
+        method = measured.method if method == "auto" else method
+        disjoint = measured.disjoint if disjoint is None else disjoint
+    ks = [f"_k{i}" for i in range(len(keys))]
+    if not disjoint and matches == "last":
+        versions = _flatten(versions, ks, list(take))
+    if not disjoint and matches == "all" and method == "merge":
+        return _every_match(left, versions, keys, at, list(take), how, closed)
     if method in ("broadcast", "join"):
         if method == "broadcast":
-            # A version ends when the next one starts, so at most one matches.  The
-            # history is shallow here, hence no need to look for hot ids.
-            by_start = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_from", "_to", *take)
-            ends = F.least("_to", F.lead("_from").over(by_start))
-            versions = F.broadcast(versions.withColumn("_to", ends).where("_from < _to"))
+            versions = F.broadcast(versions)
         same = [F.col(name) == F.col(f"_k{i}") for i, (name, _) in enumerate(keys)]
         matched = left.join(versions, _all([*same, _contains(F.col(at), F.col("_from"), F.col("_to"), closed)]), how)
         return matched.select(*left.columns, *take)
     return _merge_lookup(left, versions, keys, at, list(take), how, closed, hot_rows, unit)
 
 
+def _in_force(points: DataFrame, versions: DataFrame, ks: list[str], closed: str) -> DataFrame:
+    """Every point (``ks``, ``_t``) with every version in force then, met in a binary tree over days."""
+    first, last = -719_162, 2_932_896  # the days of years 1 to 9999
+    levels = (last - first).bit_length()
+
+    def bin_of(column: str) -> Column:
+        return F.greatest(F.least(_bin_number(F.col(column), "day"), F.lit(last)), F.lit(first)) - F.lit(first)
+
+    asked = points.select(*ks, "_t", F.explode(_above(bin_of("_t"), levels)).alias("_bin"))
+    held = versions.withColumn("_bin", F.explode(_cover(bin_of("_from"), bin_of("_to"), levels)))
+    return asked.join(held, [*ks, "_bin"]).where(_contains(F.col("_t"), F.col("_from"), F.col("_to"), closed)).drop("_bin")
+
+
+def _flatten(versions: DataFrame, ks: list[str], take: list[str]) -> DataFrame:
+    """Versions without overlap: between two neighbouring bounds of an id, the one in force that started last."""
+    bounds = versions.select(*ks, F.col("_from").alias("_t")).union(versions.select(*ks, F.col("_to").alias("_t"))).distinct()
+    winner = F.max(F.struct("_from", "_to", *take)).alias("_won")
+    won = _in_force(bounds, versions, ks, "left").groupBy(*ks, "_t").agg(winner)
+    until = F.lead("_t").over(Window.partitionBy(*ks).orderBy("_t"))
+    # The bound after the last version has no winner but ends the piece before it.
+    pieces = bounds.withColumn("_until", until).join(won, [*ks, "_t"])
+    return pieces.select(*ks, F.col("_t").alias("_from"), F.col("_until").alias("_to"), *[F.col(f"_won.{n}") for n in take])
+
+
+def _every_match(left, versions, keys, at, take, how, closed):
+    """Distinct (id, time) pairs meet the versions; the rows are joined back to what their pair found."""
+    ks = [f"_k{i}" for i in range(len(keys))]
+    types = {n: versions.schema[n].dataType for n in [*ks, "_from"]}
+    asked = [F.col(name).cast(types[k]) for (name, _), k in zip(keys, ks)] + [F.col(at).cast(types["_from"])]
+    points = left.select(*[c.alias(n) for c, n in zip(asked, [*ks, "_t"])]).dropna().distinct()
+    found = _in_force(points, versions, ks, closed)
+    return left.join(found, _all([c == F.col(n) for c, n in zip(asked, [*ks, "_t"])]), how).select(*left.columns, *take)
+
+
 def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
     ks = [f"_k{i}" for i in range(len(keys))]
     findable = _all([F.col(name).isNotNull() for name, _ in keys] + [F.col(at).isNotNull()])
@@ -419,7 +488,7 @@ def overlap_join(
     take: dict[str, str],
     valid: tuple[str, str] = ("ValidFrom", "ValidTo"),
     right_valid: tuple[str, str] | None = None,
-    method: str = "auto",
+    method: str | Lookup = "auto",
     bin_unit: str = "month",
 ) -> DataFrame:
     """Inner join of versions whose intervals overlap; touching ends count.
@@ -441,7 +510,9 @@ def overlap_join(
         *[F.col(source).alias(name) for name, source in take.items()],
     )
     if method == "auto":
-        method = lookup_method(right, [r for _, r in keys], list(take.values()))
+        method = lookup_method(right, [r for _, r in keys], list(take.values()), (r_from, r_to))
+    if isinstance(method, Lookup):
+        method = method.method
     if method == "broadcast":
         side = F.broadcast(side)
     bins = bin_unit if method == "merge" else None

@@ -306,7 +306,7 @@ def stock_item(
     if strict_reference:
         groups = last_stock_groups(as_of_load(stock_groups, to), stock_item_stock_groups)
         staging = as_of_join(
-            staging, groups, "StockItemID", "ValidFrom", {"_group": "StockGroupName"}, "left", method="join"
+            staging, groups, "StockItemID", "ValidFrom", {"_group": "StockGroupName"}, "left", matches="all"
         )
     staging = as_of_load(staging, to)
 

@@ -11,7 +11,7 @@ from starloom.constants import LINEAGE
 from starloom.operators.dedup import dedup_by, latest_per_key
 from starloom.operators.incremental import fact_window
 from starloom.operators.keys import number_rows
-from starloom.operators.temporal import as_of_join, earliest_keys, latest_version, lookup_methods
+from starloom.operators.temporal import Lookup, as_of_join, earliest_keys, latest_version, lookup_methods
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class Role:
     earliest: bool = True
 
 
-def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[str, str]) -> DataFrame:
+def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[str, Lookup]) -> DataFrame:
     for role in roles:
         take = {role.out: role.key, f"_m{role.out}": role.member, f"_s{role.out}": "ValidFrom"}
         staging = as_of_join(

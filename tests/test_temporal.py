@@ -112,19 +112,24 @@ def test_as_of_join_against_brute_force(spark, closed, how, method, hot_rows):
 
 
 @pytest.mark.parametrize("closed", ["left", "right"])
-def test_overlapping_versions_find_one_or_all(spark, closed):
-    """The last started version counts; only the plain join returns every match."""
-    dim = versions(spark, [(1, 0, 20, 1), (1, 5, 10, 2), (1, 5, 12, 3), (1, 30, 40, 4)])
-    fact = spark.createDataFrame([(1, day(n)) for n in (3, 5, 7, 12, 15, 35)], "id int, at timestamp")
-    found = {}
-    for method in ("broadcast", "merge", "join"):
+def test_overlapping_versions_alike_in_every_method(spark, closed):
+    """The version in force that started last, or all of them; none is lost to a shorter one inside it."""
+    history = [(1, 0, 20, 1), (1, 5, 10, 2), (1, 5, 12, 3), (1, 30, 40, 4), (1, 35, 35, 5), (2, 0, 9, 6), (2, 3, 5, 7)]
+    asks = [(k, n) for k in (1, 2, 3) for n in range(-1, 42)]
+    dim = versions(spark, history)
+    fact = spark.createDataFrame([(k, day(n)) for k, n in [*asks, (1, 7)]], "id int, at timestamp")
+
+    def held(k, n):
+        inside = [(a, b, v) for i, a, b, v in history if i == k and a < b and (a <= n < b if closed == "left" else a < n <= b)]
+        return [v for _, _, v in sorted(inside)]
+
+    for method in ("auto", "broadcast", "merge", "join"):
         rows = as_of_join(fact, dim, "id", "at", {"f": "v"}, "left", closed, method=method).collect()
-        found[method] = sorted((r.at, r.f or 0) for r in rows)
-    assert found["broadcast"] == found["merge"]
-    at5, at12 = (3, 0) if closed == "left" else (1, 3)
-    expected = [(3, 1), (5, at5), (7, 3), (12, at12), (15, 0), (35, 4)]
-    assert found["merge"] == [(day(n), v) for n, v in expected]
-    assert len(found["join"]) > 6
+        last = [(k, day(n), (held(k, n) or [0])[-1]) for k, n in [*asks, (1, 7)]]
+        assert sorted((r.id, r.at, r.f or 0) for r in rows) == sorted(last)
+        rows = as_of_join(fact, dim, "id", "at", {"f": "v"}, "inner", closed, method=method, matches="all").collect()
+        every = [(k, day(n), v) for k, n in [*asks, (1, 7)] for v in held(k, n)]
+        assert sorted((r.id, r.at, r.f) for r in rows) == sorted(every)
 
 
 def test_pit_lookup_default_and_earliest(spark):
@@ -171,9 +176,13 @@ def test_lookup_method_rests_on_measured_size(spark):
     small = spark.range(100).selectExpr("id", "'name' AS n")
     deep = spark.range(2_000).selectExpr("id % 1 AS id", "'name' AS n")
     wide = spark.range(300).selectExpr("id", "repeat('x', 1000000) AS n")
+    start, end = F.col("id").cast("timestamp"), (F.col("id") + 1).cast("timestamp")
+    small, deep, wide = (df.withColumns({"ValidFrom": start, "ValidTo": end}) for df in (small, deep, wide))
     methods = lookup_methods({"s": (small, ["id"], ["n"]), "d": (deep, ["id"], ["n"]), "w": (wide, ["id"], ["n"])})
-    assert methods == {"s": "broadcast", "d": "merge", "w": "merge"}
-    assert lookup_methods({"w": (wide, ["id"], [])})["w"] == "broadcast"
+    assert methods == {"s": ("broadcast", True), "d": ("merge", False), "w": ("merge", True)}
+    assert lookup_methods({"w": (wide, ["id"], [])})["w"] == ("broadcast", True)
+    nested = versions(spark, [(1, 0, 9, 1), (1, 3, 4, 2), (2, 0, 1, 3)])
+    assert not lookup_methods({"n": (nested, ["id"], ["v"])})["n"].disjoint
 
 
 def test_works_on_timestamps_without_zone(spark):

@@ -536,6 +536,53 @@ def as_of_merge(src):
     )
 
 
+_SPANS = {
+    "spans": """SELECT event_id, user_id, event_type, ts AS vf, ts + to_days(CAST(event_id % 5 * 4 + 1 AS INTEGER)) AS vt
+                FROM events WHERE event_type <> 'purchase'"""
+}
+
+
+def _long_spans(src) -> DataFrame:
+    """Versions of one to seventeen days each, so that those of a user overlap."""
+    end = F.expr("ts + make_dt_interval(cast(event_id % 5 * 4 + 1 AS int))")
+    return src.events.where("event_type <> 'purchase'").select(
+        "event_id", "user_id", "event_type", F.col("ts").alias("ValidFrom"), end.alias("ValidTo")
+    )
+
+
+@query(
+    """
+    SELECT * EXCLUDE (nth) FROM (
+        SELECT e.event_id, e.user_id, e.ts AS at, CAST(e.value AS DECIMAL(18,2)) AS value,
+               v.event_id AS version_id, v.event_type AS state,
+               row_number() OVER (PARTITION BY e.event_id ORDER BY v.vf DESC, v.vt DESC, v.event_id DESC) AS nth
+        FROM events e LEFT JOIN spans v ON v.user_id = e.user_id AND v.vf < e.ts AND e.ts <= v.vt
+        WHERE e.event_type = 'purchase')
+    WHERE nth = 1
+    """,
+    _SPANS,
+)
+def as_of_overlapping(src):
+    """Of overlapping versions the one in force that started last."""
+    return as_of_join(
+        src.purchases, _long_spans(src), "user_id", "at", _STATE, how="left", closed="right", method="merge"
+    )
+
+
+@query(
+    """
+    SELECT e.event_id, e.user_id, e.ts AS at, CAST(e.value AS DECIMAL(18,2)) AS value,
+           v.event_id AS version_id, v.event_type AS state
+    FROM events e JOIN spans v ON v.user_id = e.user_id AND v.vf <= e.ts AND e.ts < v.vt
+    WHERE e.event_type = 'purchase'
+    """,
+    _SPANS,
+)
+def as_of_every_match(src):
+    """All versions in force, found as for large histories."""
+    return as_of_join(src.purchases, _long_spans(src), "user_id", "at", _STATE, method="merge", matches="all")
+
+
 @query(
     """
     SELECT *, CASE WHEN k IS NULL THEN 0 ELSE min(k) OVER (PARTITION BY user_id ORDER BY vf) END AS version_key
