@@ -26,19 +26,27 @@ class Role:
     earliest: bool = True
 
 
-def _look_up(staging: DataFrame, roles: list[Role], at: str, methods: dict[str, Lookup]) -> DataFrame:
+def _look_up(
+    staging: DataFrame, roles: list[Role], at: str, methods: dict[str, Lookup], row: str | None = None
+) -> DataFrame:
+    """Add the key, member and start of the version of each role in force at ``at``.
+
+    With a ``row`` key, a history too large to send around is looked up with
+    narrow rows (key, member, time); what they found is joined back by the
+    key, so full rows are shuffled once for all such roles.
+    """
+    whole, narrow = staging, []
     for role in roles:
         take = {role.out: role.key, f"_m{role.out}": role.member, f"_s{role.out}": "ValidFrom"}
-        staging = as_of_join(
-            staging,
-            role.dim,
-            [(role.ref, role.member)],
-            at,
-            take,
-            "left",
-            closed="right",
-            method=methods[role.key],
-        )
+        options = {"how": "left", "closed": "right", "method": methods[role.key]}
+        on = [(role.ref, role.member)]
+        if row is None or methods[role.key].method == "broadcast":
+            staging = as_of_join(staging, role.dim, on, at, take, **options)
+        else:
+            asked = whole.select(row, role.ref, at)
+            narrow.append(as_of_join(asked, role.dim, on, at, take, **options).select(row, *take))
+    for found in narrow:
+        staging = staging.join(found, row)
     return staging
 
 
@@ -52,6 +60,7 @@ def _finish(
     columns: list[str],
     key: str,
     offset: int,
+    key_type: str,
 ) -> DataFrame:
     """Bring the lines to the grain, number them, look the dimensions up.
 
@@ -69,8 +78,8 @@ def _finish(
         staging = dedup_by(_look_up(staging, items, "_at", methods), [document, "StockItemKey"], order)
     elif grain != "line":
         raise ValueError("grain must be 'line' or 'item'")
-    lines = number_rows(staging, [document, *order], key, offset)
-    found = _look_up(lines, open_roles, "_at", methods)
+    lines = number_rows(staging, [document, *order], key, offset, key_type=key_type)
+    found = _look_up(lines, open_roles, "_at", methods, key)
     if earliest_key:
         found = earliest_keys(found, [(r.out, f"_m{r.out}", f"_s{r.out}") for r in roles if r.earliest])
     known = {out: F.coalesce(F.col(out), F.lit(0)) for out in [*[r.out for r in roles], *others]}
@@ -91,6 +100,7 @@ def order(
     offset: int = 0,
     grain: str = "line",
     earliest_key: bool = False,
+    key_type: str = "int",
 ) -> DataFrame:
     """Order lines with the dimension versions in force when they were last modified.
 
@@ -99,7 +109,8 @@ def order(
     keeps every line.  ``grain="item"`` keeps one row per (order, stock item
     key), where items without a version count as one; the fact's merge keys
     need that.  ``earliest_key`` replaces each as-of key by the smallest key of
-    the same member seen up to that version.
+    the same member seen up to that version.  Beyond two thousand million rows
+    take ``key_type="bigint"``.
     """
     header = fact_window(sales_orders, since, to)
     package = latest_version(package_types.select("PackageTypeID", "PackageTypeName", "ValidFrom"), "PackageTypeID")
@@ -149,7 +160,7 @@ def order(
         "WWIOrderID", "WWIBackorderID", "Description", "Package", "Quantity", "UnitPrice", "TaxRate",
         "TotalExcludingTax", "TaxAmount", "TotalIncludingTax", "LineageKey", "RawDataLoadDatetime",
     ]
-    return _finish(staging, roles, [], "WWIOrderID", grain, earliest_key, columns, "OrderKey", offset)
+    return _finish(staging, roles, [], "WWIOrderID", grain, earliest_key, columns, "OrderKey", offset, key_type)
 
 
 def sale(
@@ -167,6 +178,7 @@ def sale(
     offset: int = 0,
     grain: str = "line",
     earliest_key: bool = False,
+    key_type: str = "int",
 ) -> DataFrame:
     """Invoice lines; as ``order``, but the city is looked up without a time: its first version."""
     header = fact_window(invoices, since, to)
@@ -226,7 +238,7 @@ def sale(
         "TotalExcludingTax", "TaxAmount", "Profit", "TotalIncludingTax", "TotalDryItems", "TotalChillerItems",
         "LineageKey", "RawDataLoadDatetime",
     ]
-    return _finish(staging, roles, ["CityKey"], "WWIInvoiceID", grain, earliest_key, columns, "SaleKey", offset)
+    return _finish(staging, roles, ["CityKey"], "WWIInvoiceID", grain, earliest_key, columns, "SaleKey", offset, key_type)
 
 
 def stock_holding(

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators import temporal
 from starloom.operators.checks import intervals_valid, keys_contiguous, name_identifies_id, tables_equal
 from starloom.plans import dimensions, facts, reports
 from starloom.plans.calendar import calendar
@@ -395,6 +396,14 @@ def test_sale_fact(src, dims):
     assert payer.WWICustomerID == 1
 
 
+@pytest.mark.parametrize("options", [{}, {"grain": "item", "earliest_key": True}])
+def test_facts_with_histories_too_large_to_send_around(src, dims, monkeypatch, options):
+    want = by_key(facts.order(*order_args(src, dims), **options), "OrderKey")
+    monkeypatch.setattr(temporal, "BROADCAST_ROWS", 0)
+    out = facts.order(*order_args(src, dims), key_type="bigint", **options)
+    assert by_key(out, "OrderKey") == want and out.schema["OrderKey"].dataType.simpleString() == "bigint"
+
+
 def test_stock_holding(src, dims):
     out = facts.stock_holding(src["warehouse_stockitemholdings"], dims["stock_item"])
     rows = by_key(out, "StockHoldingKey")
