@@ -2,13 +2,14 @@
 
 Ordered work per key (next version, version in force at a time) is a window
 partitioned by the key, which sends one key's rows to one task.  Keys above
-``HOT_ROWS`` rows are found first and cut into slices of time; the operators
-carry what crosses a slice border as extra rows.  Without such keys the plan is
-the plain window.
+``HOT_ROWS`` rows are found first and cut into slices of time that hold about
+equally many rows, wherever in time they lie; the operators carry what crosses
+a slice border as extra rows.  Without such keys the plan is the plain window.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,28 +20,48 @@ from starloom.sources.staging import stage
 HOT_ROWS = 1_000_000  # rows of one key that one task may still take
 
 
-def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` rows, ``None`` if there are none.
+def find_hot(df: DataFrame, keys: list[str], at: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows and ``_cuts``, times that cut their rows evenly; ``None`` if there are none.
 
     All of them, as a written table that stays on the executors.  One aggregate
-    over the key columns of ``df``; stage ``df`` first if it is costly.
+    over the key columns of ``df``, and a second one over the rows of hot keys;
+    stage ``df`` first if it is costly.  Rows of one instant are never cut apart.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = stage(counts.drop("_rows"), "hot")
-    return None if found.isEmpty() else found
+    found = stage(counts, "hot")
+    most = found.agg(F.max("_rows")).first()[0]
+    if most is None:
+        return None
+    slices = math.ceil(2 * most / max(hot_rows, 1))
+    at_rows = df.select(*keys, F.col(at).alias("_at"))
+    steps = [n / slices for n in range(1, slices)] or [0.5]
+    cuts = F.array_distinct(F.percentile_approx("_at", steps, max(10_000, 20 * slices)))
+    cut = _named(at_rows, found, keys, "left_semi").groupBy(*keys).agg(F.coalesce(cuts, F.array()).alias("_cuts"))
+    return stage(cut, "hot-cuts")
 
 
-def time_slice(at: Column, unit: str) -> Column:
-    """Slice number of a hot row, NULL times first."""
-    return F.coalesce(F.unix_micros(F.date_trunc(unit, at).cast("timestamp")), F.lit(-(1 << 62)))
+def _named(df: DataFrame, hot: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``df`` joined to ``hot``, whose keys are renamed; missing keys match."""
+    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], *[c for c in hot.columns if c not in keys])
+    # No hint: the table's written size tells Catalyst whether to broadcast it.
+    return df.join(marked, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]), how)
 
 
-def with_slices(df: DataFrame, hot: DataFrame, keys: list[str], at: str, unit: str) -> DataFrame:
-    """Add ``_slice``: the time slice for hot keys, NULL for all others."""
-    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_is_hot"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    # No hint: the table's written size tells Catalyst whether to broadcast it.
-    sliced = df.join(marked, same, "left")
-    return sliced.withColumn("_slice", F.when(F.col("_is_hot"), time_slice(F.col(at), unit))).drop(
-        "_is_hot", *[f"_hot_{k}" for k in keys]
-    )
+def _cuts_up_to(cuts: Column, at: Column) -> Column:
+    """How many of the ascending ``cuts`` are not after ``at``: a binary search."""
+    powers = F.array(*[F.lit(1 << n) for n in reversed(range(24))])
+
+    def step(below: Column, more: Column) -> Column:
+        further = below + more
+        # The index stays valid where it is not used.
+        reached = F.try_element_at(cuts, further) <= at
+        return F.when(F.coalesce((further <= F.size(cuts)) & reached, F.lit(False)), further).otherwise(below)
+
+    return F.aggregate(powers, F.lit(0), step)
+
+
+def with_slices(df: DataFrame, hot: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Add ``_slice``: the number of the time slice for hot keys, rows without a time first; NULL for all others."""
+    number = F.when(F.col(at).isNull(), -1).otherwise(_cuts_up_to(F.col("_cuts"), F.col(at)))
+    sliced = _named(df, hot, keys, "left").withColumn("_slice", F.when(F.col("_cuts").isNotNull(), number))
+    return sliced.drop("_cuts", *[f"_hot_{k}" for k in keys])

@@ -17,7 +17,6 @@ from starloom.sources.staging import stage
 BROADCAST_ROWS = 1_000_000  # versions that may be sent to every executor
 BROADCAST_BYTES = 256 << 20  # and their size
 SCAN_VERSIONS = 1_000  # versions of one id that one lookup may compare
-SALTS = 8  # ways the lookups of one slice of a hot id are split
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -34,17 +33,17 @@ def _lead(at: str, *partition) -> Column:
     return F.lead(F.struct(F.col(at).alias("at"))).over(window)
 
 
-def with_next(df: DataFrame, keys, at: str, hot_rows: int = HOT_ROWS, unit: str = "day") -> DataFrame:
+def with_next(df: DataFrame, keys, at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``_next``: a struct with the following ``at`` of the key, NULL on the newest row.
 
     If some keys are hot, their rows are windowed per time slice; each slice
     also gets one marker row holding the first time of the next slice.
     """
     keys = as_names(keys)
-    hot = find_hot(df, keys, hot_rows)
+    hot = find_hot(df, keys, at, hot_rows)
     if hot is None:
         return df.withColumn("_next", _lead(at, *keys))
-    sliced = with_slices(df, hot, keys, at, unit)
+    sliced = with_slices(df, hot, keys, at)
     firsts = sliced.where("_slice IS NOT NULL").groupBy(*keys, "_slice").agg(F.min(at).alias("_first"))
     following = F.lead(F.struct("_first")).over(Window.partitionBy(*keys).orderBy("_slice"))
     marks = firsts.withColumn("_follow", following).where("_follow IS NOT NULL")
@@ -61,7 +60,6 @@ def version_timeline(
     valid_to: str = "ValidTo",
     default_end=None,
     hot_rows: int = HOT_ROWS,
-    unit: str = "day",
 ) -> DataFrame:
     """Close each version at the start of the next one of the same id.
 
@@ -69,7 +67,7 @@ def version_timeline(
     id should differ in ``at``; dedup first, or equal times give empty intervals.
     """
     end = F.when(F.col("_next").isNotNull(), F.col("_next.at")).otherwise(literal_like(events, at, default_end))
-    return with_next(events, id_col, at, hot_rows, unit).withColumn(valid_to, end).drop("_next")
+    return with_next(events, id_col, at, hot_rows).withColumn(valid_to, end).drop("_next")
 
 
 def close_out(
@@ -82,7 +80,6 @@ def close_out(
     newest_to: str | None = None,
     strict_reference: bool = False,
     hot_rows: int = HOT_ROWS,
-    unit: str = "day",
 ) -> DataFrame:
     """Settle the end of the newest version of each id as known at load time ``to``.
 
@@ -99,7 +96,7 @@ def close_out(
         load = literal_like(df, valid_to, to)
         newest = F.when(own > load, far).when((own < load) if strict_reference else (own <= load), own)
     closed = F.when(F.col("_next").isNull(), newest).otherwise(F.col(valid_to))
-    return with_next(df, id_col, valid_from, hot_rows, unit).withColumn(valid_to, closed).drop("_next")
+    return with_next(df, id_col, valid_from, hot_rows).withColumn(valid_to, closed).drop("_next")
 
 
 # --------------------------------------------------------------------------
@@ -172,7 +169,6 @@ def as_of_join(
     valid_to: str = "ValidTo",
     method: str | Lookup = "auto",
     hot_rows: int = HOT_ROWS,
-    unit: str = "day",
     matches: str = "last",
     disjoint: bool | None = None,
 ) -> DataFrame:
@@ -226,7 +222,7 @@ def as_of_join(
         same = [F.col(name) == F.col(f"_k{i}") for i, (name, _) in enumerate(keys)]
         matched = left.join(versions, _all([*same, _contains(F.col(at), F.col("_from"), F.col("_to"), closed)]), how)
         return matched.select(*left.columns, *take)
-    return _merge_lookup(left, versions, keys, at, list(take), how, closed, hot_rows, unit)
+    return _merge_lookup(left, versions, keys, at, list(take), how, closed, hot_rows)
 
 
 def _in_force(points: DataFrame, versions: DataFrame, ks: list[str], closed: str) -> DataFrame:
@@ -263,7 +259,7 @@ def _every_match(left, versions, keys, at, take, how, closed):
     return left.join(found, _all([c == F.col(n) for c, n in zip(asked, [*ks, "_t"])]), how).select(*left.columns, *take)
 
 
-def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
+def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows):
     ks = [f"_k{i}" for i in range(len(keys))]
     findable = _all([F.col(name).isNotNull() for name, _ in keys] + [F.col(at).isNotNull()])
     types = {n: versions.schema[n].dataType for n in [*ks, "_from"]}
@@ -281,11 +277,11 @@ def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
         F.lit(version_rank).alias("_rank"),
         F.struct("_to", *take).alias("_version"),
     )
-    hot = find_hot(rows.select(*ks).unionAll(starts.select(*ks)), ks, hot_rows)
+    hot = find_hot(rows.select(*ks, "_t").unionAll(starts.select(*ks, "_t")), ks, "_t", hot_rows)
     if hot is None:
         groups, both = ks, rows.unionByName(starts, allowMissingColumns=True)
     else:
-        groups, both = [*ks, "_slice", "_salt"], _split_hot(rows, starts, hot, ks, unit)
+        groups, both = [*ks, "_slice", "_salt"], _split_hot(rows, starts, hot, ks, hot_rows)
 
     so_far = (
         Window.partitionBy(*groups)
@@ -303,34 +299,39 @@ def _merge_lookup(left, versions, keys, at, take, how, closed, hot_rows, unit):
     return matched.unionAll(absent)
 
 
-def _split_hot(rows: DataFrame, starts: DataFrame, hot: DataFrame, ks: list[str], unit: str) -> DataFrame:
+def _split_hot(rows: DataFrame, starts: DataFrame, hot: DataFrame, ks: list[str], hot_rows: int) -> DataFrame:
     """Rows and versions with the groups of hot keys cut by time slice and salt.
 
     Each slice a hot key is asked for in also gets the version in force when it
-    begins: the last one of an earlier slice.  The rows of a slice are spread
-    over the salts, its versions are repeated in each.
+    begins: the last one of an earlier slice.  A slice that still has too many
+    rows, at one instant say, is spread over as many salts as its rows call for;
+    its versions are repeated in each.
     """
-    rows = with_slices(rows, hot, ks, "_t", unit)
-    starts = with_slices(starts, hot, ks, "_t", unit)
+    rows = with_slices(rows, hot, ks, "_t")
+    starts = with_slices(starts, hot, ks, "_t")
     last = (
         starts.where("_slice IS NOT NULL")
         .groupBy(*ks, "_slice")
         .agg(F.max_by(F.struct("_t", "_rank", "_version"), F.struct("_t", F.col("_version._to"))).alias("_last"))
     )
-    used = rows.where("_slice IS NOT NULL").select(*ks, "_slice").distinct()
+    asked = F.ceil(F.count(F.lit(1)) / F.lit(max(hot_rows, 1))).cast("int").alias("_salts")
+    used = stage(rows.where("_slice IS NOT NULL").groupBy(*ks, "_slice").agg(asked), "hot-slices")
     earlier = Window.partitionBy(*ks).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        used.unionByName(last, allowMissingColumns=True)
+        used.drop("_salts")
+        .unionByName(last, allowMissingColumns=True)
         .groupBy(*ks, "_slice")
         .agg(F.first("_last", ignorenulls=True).alias("_last"))
         .withColumn("_last", F.last("_last", ignorenulls=True).over(earlier))
         .where("_last IS NOT NULL")
         .select(*ks, "_last._t", "_last._rank", "_last._version", "_slice")
     )
-    salts = F.when(F.col("_slice").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salt = F.when(F.col("_slice").isNotNull(), F.pmod(F.xxhash64("_row"), F.lit(SALTS))).otherwise(0).cast("int")
-    salted = starts.unionByName(carried).withColumn("_salt", F.explode(salts))
-    return rows.withColumn("_salt", salt).unionByName(salted, allowMissingColumns=True)
+    split, salts = used.where("_salts > 1"), F.coalesce("_salts", F.lit(1))
+    salt = F.pmod(F.xxhash64("_row"), salts).cast("int")
+    salted = starts.unionByName(carried).join(split, [*ks, "_slice"], "left")
+    salted = salted.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    rows = rows.join(split, [*ks, "_slice"], "left").withColumn("_salt", salt).drop("_salts")
+    return rows.unionByName(salted, allowMissingColumns=True)
 
 
 def pit_lookup(
@@ -362,7 +363,7 @@ def pit_lookup(
 
 
 def earliest_keys(
-    found: DataFrame, roles: list[tuple[str, str, str]], hot_rows: int = HOT_ROWS, unit: str = "day"
+    found: DataFrame, roles: list[tuple[str, str, str]], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """For each (key, member, since): replace the key by its running minimum per member, in order of ``since``.
 
@@ -376,7 +377,7 @@ def earliest_keys(
     for i, (key, member, since) in enumerate(roles):
         used = found.where(F.col(key).isNotNull()).groupBy(member, since).agg(F.min(key).alias("_key"))
         m, s, first = f"_em{i}", f"_es{i}", f"_earliest{i}"
-        firsts = running_min(used, member, since, "_key", first, hot_rows, unit)
+        firsts = running_min(used, member, since, "_key", first, hot_rows)
         firsts = firsts.select(F.col(member).alias(m), F.col(since).alias(s), first)
         joined = joined.join(firsts, (F.col(member) == F.col(m)) & (F.col(since) == F.col(s)), "left")
         settled[key] = F.col(first)
@@ -384,13 +385,13 @@ def earliest_keys(
 
 
 def running_min(
-    df: DataFrame, member: str, at: str, value: str, out: str, hot_rows: int = HOT_ROWS, unit: str = "day"
+    df: DataFrame, member: str, at: str, value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add the smallest ``value`` of a member up to ``at``; hot members are cut into time slices."""
-    hot = find_hot(df, [member], hot_rows)
+    hot = find_hot(df, [member], at, hot_rows)
     if hot is None:
         return df.withColumn(out, F.min(value).over(Window.partitionBy(member).orderBy(at)))
-    sliced = with_slices(df, hot, [member], at, unit)
+    sliced = with_slices(df, hot, [member], at)
     earlier = Window.partitionBy("_m").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     per_slice = (
         sliced.where("_slice IS NOT NULL")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from starloom.operators.incremental import high_water_mark, stamp, temporal_unio
 from starloom.operators.merge import merge_all, merge_keep_stamp
 from starloom.sources.sinks import merge_into
 from starloom.sources.staging import stage
-from starloom.sources.tables import ensure_table, extract_sql, read_jdbc
+from starloom.sources.tables import empty_table, ensure_table, extract_sql, load_schemas, read_jdbc
 
 
 def extract_regular(source: DataFrame, load_time, last_load=None) -> DataFrame:
@@ -54,9 +55,12 @@ def load_table(
     ``LoadDatetime`` last; the key is its first column unless named.
     """
     target_name = f"{target_schema}.{name}"
-    target = ensure_table(spark, target_name, schema)
     columns = [f.name for f in schema.fields if f.name != "LoadDatetime"]
     key = key or columns[0]
+    if options.get("buckets") and not spark.catalog.tableExists(target_name):
+        merge_keys = [key, "ValidFrom"] if name in TEMPORAL_TABLES else [key]
+        merge_into(spark, target_name, empty_table(spark, schema), merge_keys, **options)
+    target = ensure_table(spark, target_name, schema)
     last = high_water_mark(target)
     current = read(extract_sql(name, columns))
     if name in TEMPORAL_TABLES:
@@ -69,7 +73,25 @@ def load_table(
         merge_into(spark, target_name, rows, [key], rows.columns, **options)
 
 
-def load_tables(spark, url: str, schemas: dict[str, T.StructType], load_time, target_schema: str, **options) -> None:
-    """Copy the changes of all tables in ``schemas`` over JDBC."""
-    for name, schema in schemas.items():
-        load_table(spark, name, schema, load_time, lambda sql: read_jdbc(spark, url, sql), target_schema, **options)
+def load_tables(
+    spark: SparkSession,
+    url: str,
+    schemas: dict[str, T.StructType] | str,
+    load_time,
+    target_schema: str,
+    splits: dict[str, dict] | None = None,
+    **options,
+) -> None:
+    """Copy the changes of all tables in ``schemas`` over JDBC.
+
+    ``schemas`` maps table names to declared schemas or names the folder of
+    their JSON files.  ``splits[name]`` has the column, bounds and number of the
+    concurrent reads of a table (see ``jdbc_options``); others are read by one task.
+    """
+    for name, schema in (load_schemas(schemas) if isinstance(schemas, str) else schemas).items():
+        read = partial(_read_source, spark, url, (splits or {}).get(name))
+        load_table(spark, name, schema, load_time, read, target_schema, **options)
+
+
+def _read_source(spark: SparkSession, url: str, split: dict | None, sql: str) -> DataFrame:
+    return read_jdbc(spark, url, sql, split=split)

@@ -37,6 +37,11 @@ def load_schema(path: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(Path(path).read_text()))
 
 
+def load_schemas(folder: str) -> dict[str, T.StructType]:
+    """The declared schemas of all tables: ``Schema_Table.json`` files anywhere below a folder."""
+    return {path.stem: load_schema(str(path)) for path in sorted(Path(folder).rglob("*.json"))}
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

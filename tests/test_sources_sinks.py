@@ -17,6 +17,7 @@ from starloom.operators.checks import (
     table_diff,
     tables_equal,
 )
+from starloom.plans import raw_load
 from starloom.plans.raw_load import load_table
 from starloom.sources import sinks
 from starloom.sources.staging import stage, staging_folder
@@ -230,8 +231,8 @@ def test_jdbc_options():
     assert options["partitionColumn"] == "OrderID" and options["numPartitions"] == "8" and options["fetchsize"] == "1000"
 
 
-@pytest.mark.parametrize("table", ["Sales_Orders", "Application_Cities"])
-def test_raw_load_of_both_kinds(spark, tmp_path, table):
+@pytest.mark.parametrize("table,buckets", [("Sales_Orders", None), ("Application_Cities", None), ("Application_Cities", 4)])
+def test_raw_load_of_both_kinds(spark, tmp_path, table, buckets):
     schema = f"raw_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {schema}")
     time = "LastEditedWhen timestamp" if table == "Sales_Orders" else "ValidFrom timestamp, ValidTo timestamp"
@@ -248,8 +249,8 @@ def test_raw_load_of_both_kinds(spark, tmp_path, table):
         old = [] if stage_ == 1 else [(1, "a", d(1), d(8))]
         return lambda sql: spark.createDataFrame(old if "_Archive" in sql else now, "id int, v string, ValidFrom timestamp, ValidTo timestamp")
 
-    load_table(spark, table, declared, d(5), source(1), schema, root=str(tmp_path))
-    load_table(spark, table, declared, d(10), source(2), schema, root=str(tmp_path))
+    load_table(spark, table, declared, d(5), source(1), schema, root=str(tmp_path), buckets=buckets)
+    load_table(spark, table, declared, d(10), source(2), schema, root=str(tmp_path), buckets=buckets)
     out = sorted((r.id, r.v, r.LoadDatetime) for r in spark.read.table(f"{schema}.{table}").collect())
     if table == "Sales_Orders":
         assert out == [(1, "a2", d(10)), (2, "b", d(5)), (3, "c", d(10))]
@@ -257,6 +258,26 @@ def test_raw_load_of_both_kinds(spark, tmp_path, table):
         assert out == [(1, "a", d(5)), (1, "b", d(10))]
 
 
+def test_raw_load_takes_schemas_from_a_folder_and_splits_reads(spark, tmp_path, monkeypatch):
+    declared = T.StructType.fromDDL("OrderID int, LastEditedWhen timestamp, LoadDatetime timestamp")
+    (tmp_path / "regular").mkdir()
+    (tmp_path / "regular" / "Sales_Orders.json").write_text(json.dumps(declared.jsonValue()))
+    schema, asked = f"raw_{uuid.uuid4().hex}", []
+    spark.sql(f"CREATE DATABASE {schema}")
+
+    def read(spark, url, sql, split=None):
+        asked.append((url, sql, split))
+        return spark.createDataFrame([(1, dt.datetime(2020, 1, 1))], "OrderID int, LastEditedWhen timestamp")
+
+    monkeypatch.setattr(raw_load, "read_jdbc", read)
+    split = {"column": "OrderID", "lower": 1, "upper": 9, "partitions": 2}
+    raw_load.load_tables(
+        spark, "url", str(tmp_path), dt.datetime(2020, 1, 5), schema, {"Sales_Orders": split}, root=str(tmp_path / "t")
+    )
+    assert asked == [("url", "SELECT OrderID, LastEditedWhen FROM Sales.Orders", split)]
+    assert spark.read.table(f"{schema}.Sales_Orders").count() == 1
+
+
 def test_stage_uses_the_shared_folder(spark, rows):
     assert staging_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     staged = stage(rows, "x")

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators.hot import find_hot, with_slices
 from starloom.operators.temporal import (
     as_of_join,
     close_out,
@@ -45,7 +46,7 @@ def test_timeline_closes_at_next_version(spark, hot_rows):
     rng = random.Random(1)
     rows = [(i, d) for i in range(6) for d in sorted(rng.sample(range(400), 12 if i else 40))]
     events = spark.createDataFrame([(i, day(d)) for i, d in rows], "id int, at timestamp")
-    out = version_timeline(events, "id", "at", default_end="2099-01-01 00:00:00", hot_rows=hot_rows, unit="month")
+    out = version_timeline(events, "id", "at", default_end="2099-01-01 00:00:00", hot_rows=hot_rows)
     got = sorted((r.id, r.at, r.ValidTo) for r in out.collect())
     expected = []
     for i in range(6):
@@ -92,7 +93,7 @@ def test_as_of_join_against_brute_force(spark, closed, how, method, hot_rows):
     left = spark.createDataFrame([(n, i, day(d)) for n, i, d in asks], "n int, who int, at timestamp")
     out = as_of_join(
         left, versions(spark, history), [("who", "id")], "at", {"found": "v"}, how, closed,
-        method=method, hot_rows=hot_rows, unit="week",
+        method=method, hot_rows=hot_rows,
     )
     assert out.columns == ["n", "who", "at", "found"]
 
@@ -146,7 +147,7 @@ def test_running_min(spark, hot_rows):
     rng = random.Random(5)
     rows = [(i, d, rng.randint(0, 99)) for i in range(4) for d in rng.sample(range(200), 30 if i == 0 else 3)]
     df = spark.createDataFrame([(i, day(d), v) for i, d, v in rows], "id int, at timestamp, v int")
-    got = sorted((r.id, r.at, r.m) for r in running_min(df, "id", "at", "v", "m", hot_rows, "week").collect())
+    got = sorted((r.id, r.at, r.m) for r in running_min(df, "id", "at", "v", "m", hot_rows).collect())
     assert got == sorted((i, day(d), min(w for j, e, w in rows if j == i and e <= d)) for i, d, _ in rows)
 
 
@@ -229,3 +230,18 @@ def test_local_times_do_not_pass_through_the_process_zone(spark, monkeypatch, zo
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_hot_ids_are_cut_by_rows_wherever_in_time_they_lie(spark):
+    """All versions of an id within one day, a third of them at one instant, some without a time."""
+    at = "CASE WHEN id % 3 = 0 THEN timestamp '2020-01-01 05:00:00' WHEN id % 101 = 0 THEN NULL ELSE timestamp_seconds(1577836800 + id) END"
+    rows = spark.range(3_000).selectExpr("id", "CAST(id % 2 AS int) AS k", f"{at} AS at").where("k = 0 OR id < 40")
+    hot = find_hot(rows, ["k"], "at", 100)
+    sliced = with_slices(rows, hot, ["k"], "at")
+    assert [r.k for r in hot.collect()] == [0] and sliced.where("k = 1 AND _slice IS NOT NULL").count() == 0
+    sizes = sliced.where("k = 0").groupBy("_slice").agg(F.count("*").alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
+    sizes = sizes.orderBy("_slice").collect()
+    assert sum(r.n for r in sizes) == 1_500 and sorted(r.n for r in sizes)[-2] <= 110 and sizes[0]._slice == -1
+    assert all(x.b < y.a for x, y in zip(sizes[1:], sizes[2:]))
+    closed = version_timeline(rows.dropDuplicates(["k", "at"]), "k", "at", hot_rows=100)
+    assert sorted(map(str, closed.collect())) == sorted(map(str, version_timeline(rows.dropDuplicates(["k", "at"]), "k", "at").collect()))
