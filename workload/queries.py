@@ -37,6 +37,7 @@ from starloom.operators.temporal import (
     intersect_join,
     overlap_join,
     pit_lookup,
+    running_min,
     version_timeline,
 )
 from starloom.plans import dimensions, facts, reports
@@ -482,9 +483,53 @@ def version_timeline_(src):
     return version_timeline(src.events.select("event_id", "user_id", "ts"), "user_id", "ts")
 
 
+# Seven of ten events belong to one id, and all of them to one day.
+_ONE_DAY = """SELECT event_id, CASE WHEN event_id % 10 < 7 THEN 0 ELSE user_id END AS k,
+                      TIMESTAMP '2024-01-01' + to_microseconds(event_id * 100) AS "at" FROM events"""
+
+
+def _one_day(src) -> DataFrame:
+    owner = F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id")).cast("long").alias("k")
+    at = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id * 100 / 1000000.0)")
+    return src.events.select("event_id", owner, at.alias("at"))
+
+
+@query(
+    f"""
+    SELECT event_id, CAST(k AS BIGINT) AS k, "at", lead("at") OVER (PARTITION BY k ORDER BY "at") AS "ValidTo"
+    FROM ({_ONE_DAY})
+    """
+)
+def version_timeline_hot(src):
+    """An id with most of the rows, all within a day, cut into slices of about equally many rows."""
+    return version_timeline(_one_day(src), "k", "at", hot_rows=500)
+
+
+@query(
+    f"""
+    SELECT event_id, CAST(k AS BIGINT) AS k, "at", CAST(min(event_id % 1000) OVER (PARTITION BY k ORDER BY "at") AS BIGINT) AS earliest
+    FROM ({_ONE_DAY})
+    """
+)
+def earliest_key_hot(src):
+    rows = _one_day(src).withColumn("key", (F.col("event_id") % 1000).cast("long"))
+    return running_min(rows, "k", "at", "key", "earliest", hot_rows=500).drop("key")
+
+
 _CLOSE = "TIMESTAMP '2024-01-30 00:00:00'"
 
 
+@query(
+    f"""
+    SELECT event_id, CAST(k AS BIGINT) AS k, "at" AS "ValidFrom", CASE WHEN nth > 1 THEN "end" ELSE {FAR} END AS "ValidTo"
+    FROM (SELECT *, "at" + INTERVAL 60 DAY AS "end", row_number() OVER (PARTITION BY k ORDER BY "at" DESC) AS nth FROM ({_ONE_DAY}))
+    """
+)
+def close_out_hot(src):
+    spans = _one_day(src).withColumn("ValidTo", F.expr("at + INTERVAL 60 DAY")).withColumnRenamed("at", "ValidFrom")
+    return close_out(spans, "k", "2024-01-30 00:00:00", hot_rows=500)
+
+
 @query(
     f"""
     SELECT event_id, user_id, ts AS "ValidFrom",
