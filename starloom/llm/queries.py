@@ -25,8 +25,8 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    """Stupid-backoff scores of every document."""
-    return stupid_backoff.score_documents(table(spark, folder, "documents"))
+    """Stupid-backoff scores of every document, every word counted."""
+    return stupid_backoff.score_documents(table(spark, folder, "documents"), whole=True)
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -89,6 +89,34 @@ def test_backoff_scores(docs, none):
     assert stupid_backoff.score_documents(none).count() == 0
 
 
+def test_backoff_counts_every_word(spark, monkeypatch, docs, none):
+    """The query's scores equal brute force over all words; words that no other document has score below prose."""
+    monkeypatch.setattr(stupid_backoff, "VOCABULARY", 5e-3)
+    monkeypatch.setattr(stupid_backoff, "HEAD", 5e-2)
+    odd = [(*d[:2],) for d in DOCS] + [(50 + k, prose(k % 5, 40 + k) + f" rare{k % 4} rarer{k} rare{k % 3} tail{k % 2}") for k in range(12)]
+    odd += [(70, " ".join(f"gibberish{k}" for k in range(50))), (71, "solitary"), (72, "rare1 rare1 rare1 rare2"), (73, "rare1")]
+    frame = spark.createDataFrame(odd, "doc_id long, text string").repartition(3)
+    words = [words_of(t) for _, t in odd]
+    total, pairs = collections.Counter(w for x in words for w in x), collections.Counter(b for x in words for b in zip(x, x[1:]))
+    n, expected = sum(total.values()), []
+    for (doc, _), x in zip(odd, words):
+        own, own2 = collections.Counter(x), collections.Counter(zip(x, x[1:]))
+        one = lambda w: (total[w] - own[w] or 0.4) / n  # noqa: B023, E731
+        score, seen = math.log(one(x[0])) if x else 0.0, 0
+        for v, w in zip(x, x[1:]):
+            c = pairs[v, w] - own2[v, w]
+            seen += c > 0
+            score += math.log(c / (total[v] - own[v])) if c else math.log(0.4 * one(w))
+        expected.append((doc or 0, len(x), score, seen / max(len(x) - 1, 1)))
+    rows = {(r.doc_id or 0): r for r in stupid_backoff.score_documents(frame, whole=True).collect()}
+    assert len(rows) == len({d or 0 for d, _ in odd})
+    for doc, size, score, seen in expected:
+        assert rows[doc].n_tokens == size and rows[doc].seen_share == pytest.approx(seen)
+        assert rows[doc].log_score == pytest.approx(score, abs=0.02)
+    assert rows[70].mean_log_score < min(r.mean_log_score for d, r in rows.items() if 50 <= d < 62)
+    assert stupid_backoff.score_documents(none, whole=True).count() == 0
+
+
 def test_raked_marginals_meet_their_targets(spark, docs, none):
     many = queries.table(spark, FOLDER, "documents")
     mixed = mixing.mix(many.select("doc_id", "source", "lang", "text")).toPandas()
