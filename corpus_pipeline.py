@@ -42,11 +42,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents drawn with the probabilities that meet the target marginals."""
+    """Operator 3: documents drawn to the target marginals; small cells that cannot meet theirs are kept whole."""
     prefix = "_mix_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = "_" + prefix
-    return mixing.mix(docs, prefix=prefix).where(F.col(f"{prefix}kept")).select(*docs.columns)
+    return mixing.mix(docs, prefix=prefix, clip=True).where(F.col(f"{prefix}kept")).select(*docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,13 +77,32 @@ def power_targets(cells: DataFrame, powers: dict[str, float]) -> dict[str, DataF
     return out
 
 
-def mixing_cells(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = KEEP) -> DataFrame:
+def clipped_scale(cells: DataFrame, keep: float) -> float:
+    """The scale at which ``least(1, weight * scale)`` keeps ``keep`` of all tokens.
+
+    Each round caps the cells that the last scale brings to 1 and solves for the
+    others.  Scales only grow, so it ends; one row comes back a round.
+    """
+    tokens = cells.agg(F.sum("tokens")).first()[0] or 0
+    scale, capped = float(keep * tokens), -1
+    while True:
+        full = F.col("weight") * F.lit(scale) >= 1
+        free = F.sum(F.when(~full, F.col("weight") * F.col("tokens")))
+        now, whole, rest = cells.agg(F.count(F.when(full, 1)), F.sum(F.when(full, F.col("tokens"))), free).first()
+        if now == capped or not rest:
+            return scale
+        capped, scale = now, max(scale, (keep * tokens - (whole or 0)) / rest)
+
+
+def mixing_cells(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = KEEP, clip: bool = False) -> DataFrame:
     """``source, lang, topic, tokens, weight, probability`` of every cell that has tokens.
 
     ``docs``: ``source, lang, topic, tokens``; missing values are "".  ``weight``
     times tokens is the cell's share of the target mixture.  Probabilities are
     proportional to weights and keep ``keep`` of all tokens, or less where a
-    cell would need more than it has.
+    cell would need more than it has.  With ``clip`` such cells are kept whole
+    and the others make up for them, so ``keep`` is met; ``unmet`` is then the
+    share of the kept tokens that a cell lacks (or, below 0, has too much).
     """
     powers = powers or DIMENSIONS
     names = list(powers)
@@ -94,6 +113,11 @@ def mixing_cells(docs: DataFrame, powers: dict[str, float] | None = None, keep:
         "cells",
     )
     raked = rake(cells, power_targets(cells, powers))
+    if clip:
+        chance = F.least(F.lit(1.0), F.col("weight") * F.lit(clipped_scale(raked, keep)))
+        clipped = stage(raked.withColumn("probability", chance), "mixture")
+        kept = clipped.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] or 1.0  # one number
+        return clipped.withColumn("unmet", F.col("tokens") * (F.col("weight") - F.col("probability") / F.lit(kept)))
     most, tokens = raked.agg(F.max("weight"), F.sum("tokens")).first()
     scale = min(keep * tokens, 1 / most) if most else 0.0
     return stage(raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale))), "mixture")
@@ -105,8 +129,8 @@ def with_cells(docs: DataFrame, cells: DataFrame, prefix: str) -> DataFrame:
     ``docs`` has ``<prefix>source`` and so on.  Documents without tokens are in
     no cell: weight 0, probability 1, they stay and weigh nothing.
     """
-    names = [c for c in cells.columns if c not in ("tokens", "weight", "probability")]
-    renamed = cells.drop("tokens").select(*[F.col(c).alias(f"_cell_{c}") for c in cells.columns if c != "tokens"])
+    names = [c for c in cells.columns if c not in ("tokens", "weight", "probability", "unmet")]
+    renamed = cells.select(*[F.col(c).alias(f"_cell_{c}") for c in (*names, "weight", "probability")])
     same = reduce(lambda a, b: a & b, [F.col(f"{prefix}{c}") == F.col(f"_cell_{c}") for c in names])
     joined = docs.join(renamed, same, "left").drop(*[f"_cell_{c}" for c in names])
     tokens = F.col(f"{prefix}tokens") > 0
@@ -119,12 +143,14 @@ def with_cells(docs: DataFrame, cells: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", prefix: str = "_mix_", seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", prefix: str = "_mix_", seed: str = "mix", clip: bool = False) -> DataFrame:
     """``docs`` with ``<prefix>`` columns: source, lang, topic, tokens, weight, probability, kept.
 
     Every document is drawn by itself with the probability of its cell, by a
     hash of its id, so equal input gives equal output.  Rows that repeat an id
-    are kept or left together, as are all rows without an id of one cell.
+    are kept or left together, as are all rows without an id of one cell.  With
+    ``clip`` (see ``mixing_cells``) the text is hashed with the id, and only
+    rows equal in both go together.
     ``docs`` needs ``source, lang, text`` and the id; all its columns come back,
     so ``prefix`` must be one that no column has.
     """
@@ -136,6 +162,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", prefix: str = "_mix_", seed: st
         F.coalesce(topic_of(text), F.lit("short prose")).alias(f"{prefix}topic"),
         tokens_of(text).alias(f"{prefix}tokens"),
     )
-    cells = mixing_cells(named.select(*[F.col(f"{prefix}{c}").alias(c) for c in (*DIMENSIONS, "tokens")]))
+    cells = mixing_cells(named.select(*[F.col(f"{prefix}{c}").alias(c) for c in (*DIMENSIONS, "tokens")]), clip=clip)
     chosen = with_cells(named, cells, prefix)
-    return chosen.withColumn(f"{prefix}kept", unit_interval(F.col(id_col), seed) < F.col(f"{prefix}probability"))
+    key = F.col(id_col)
+    if clip:
+        key = F.concat_ws(" ", F.xxhash64(text).cast("string"), key.cast("string"))
+    return chosen.withColumn(f"{prefix}kept", unit_interval(key, seed) < F.col(f"{prefix}probability"))

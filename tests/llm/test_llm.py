@@ -131,6 +131,24 @@ def test_raked_marginals_meet_their_targets(spark, docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_one_odd_document_takes_nothing_from_the_others(spark):
+    many = queries.table(spark, FOLDER, "documents").select("doc_id", "source", "lang", "text")
+    odd = spark.createDataFrame([(-1, "a new source", "a new language", "one two three four five")], many.schema)
+    tokens = F.sum(F.col("_mix_tokens") * F.col("_mix_probability")) / F.sum("_mix_tokens")
+    for docs in (many, many.union(odd)):
+        mixed = mixing.mix(docs, clip=True)
+        assert mixed.agg(tokens).first()[0] == pytest.approx(mixing.KEEP, abs=1e-6)
+    assert mixed.where("doc_id = -1").first()["_mix_probability"] == 1.0
+    parts = [F.col(f"_mix_{c}").alias(c) for c in ("source", "lang", "topic", "tokens")]
+    cells = mixing.mixing_cells(mixed.select(*parts), clip=True).toPandas()
+    free = cells[cells.probability < 1]
+    assert np.allclose(free.probability / free.weight, (free.probability / free.weight).iloc[0])
+    assert cells.unmet.sum() == pytest.approx(0, abs=1e-6) and cells.unmet[cells.source == "a new source"].item() > 0
+    nameless = many.withColumn("doc_id", F.lit(None).cast("long")).limit(150).withColumn("source", F.lit("s")).withColumn("lang", F.lit("l"))
+    drawn = mixing.mix(nameless, clip=True).groupBy("_mix_topic", "_mix_probability").agg(F.countDistinct("_mix_kept").alias("n"), F.count("*").alias("rows"))
+    assert all(r.n == 2 for r in drawn.collect() if r.rows > 50 and r["_mix_probability"] < 0.95)
+
+
 def test_fingerprints(docs, none):
     found = imatch.fingerprint_documents(docs).collect()
     rows = {(r.doc_id, r.n_chars): r for r in found}
