@@ -17,7 +17,6 @@ from starloom.sources.staging import stage
 
 SHINGLE = 5
 TREES, LEVELS = 12, 5  # signature values: one trie of LEVELS values per tree
-DEPTHS = (5, 4, 3)  # prefixes tried, longest first; 3 finds a pair at 0.8 with 0.9997
 BLOCK_ROWS = 128
 _COLUMNS = 4_096  # shingles hashed or compared at a time
 _MULTIPLIERS = np.random.RandomState(20).randint(1, 2**62, TREES * LEVELS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,6 +57,11 @@ def found_at(depth: int, likeness):
     return 1 - (1 - np.asarray(likeness, float) ** depth) ** TREES
 
 
+def depth_for(threshold: float, recall: float) -> int:
+    """The longest prefix that finds any pair at ``threshold`` with ``recall``; 1 if none does."""
+    return next((d for d in range(LEVELS, 1, -1) if found_at(d, threshold) >= recall), 1)
+
+
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -95,7 +99,7 @@ def _shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             (int.from_bytes(p[:8], "little", signed=True), int.from_bytes(p[8:], "little", signed=True)) == (a, b)
             for p, a, b in zip(prints, batch["fa"], batch["fb"], strict=True)
         ]
-        out = batch.assign(shingles=[s.tobytes() for s in made])[["node", "weight", "sig", "shingles"]]
+        out = batch.assign(shingles=[s.tobytes() for s in made])[["node", "weight", "grp", "shingles"]]
         yield out[np.array(same, bool)]
 
 
@@ -116,18 +120,13 @@ def overlap(sets: list[np.ndarray]) -> np.ndarray:
     return count
 
 
-def _verify(depth: int, threshold: float):
+def _verify(threshold: float):
     def compare(rows: pd.DataFrame):
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
         both = overlap(sets)
         size = np.array([len(s) for s in sets])
         likeness = both / np.maximum(size[:, None] + size[None, :] - both, 1)
-        linked = likeness >= threshold - 1e-12
-        sigs = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, TREES, LEVELS)
-        shared = np.zeros_like(linked)
-        for t in range(TREES):
-            shared |= (sigs[:, None, t, :depth] == sigs[None, :, t, :depth]).all(axis=2)
-        return linked, np.where(shared & linked, 1 / np.maximum(found_at(depth, likeness), 1e-9), 0.0)
+        return likeness >= threshold - 1e-12, None
 
     return compare
 
@@ -137,12 +136,11 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
 
     1. Documents with equal shingle sets form a class (128-bit fingerprint).
     2. Each class has a MinHash signature, ``TREES`` tries of ``LEVELS`` values.
-       Classes under one trie node at the current depth are linked to the
-       smallest of them; connected components of these stars are the candidates.
+       Classes under one trie node are linked to the smallest of them; connected
+       components of these stars are the candidates.  The nodes are at the depth
+       that finds a pair at ``threshold``, the least likely to be found, with
+       ``recall``: no pair depends on what else is in the table.
     3. Candidates are verified on their whole shingle sets, in blocks.
-    4. Every verified pair that shares a prefix counts 1 / p, p being the chance
-       of that at its likeness; found pairs over this total estimate the recall.
-       Below ``recall`` the prefixes get one value shorter, down to the shortest.
 
     Equal and nearly equal documents are never listed as pairs; a document's
     links are counted from class sizes.  Work on a group of near copies that
@@ -170,26 +168,17 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
     )
     trees = classes.where("sig IS NOT NULL").select("node", "sig")
 
-    def stars(depth: int) -> DataFrame:
-        keyed = stage(trees.mapInPandas(_prefixes(depth), "key long, node long"), "prefixes")
-        shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return keyed.join(shared.drop("n"), "key").where("node != low").select("node", "low")
-
-    # Shingles of everything that may become a candidate, made once.
-    widest = stage(stars(DEPTHS[-1]), "candidates")
-    maybe = widest.select("node").union(widest.select("low")).distinct()
-    wanted = classes.join(maybe, "node").select("node", "weight", "sig", "fa", "fb", F.col("rep").alias("doc_id"))
+    keyed = stage(trees.mapInPandas(_prefixes(depth_for(threshold, recall)), "key long, node long"), "prefixes")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stars = keyed.join(shared.drop("n"), "key").where("node != low").select("node", "low")
+    near = connected_components(stars)
+    wanted = classes.join(near.withColumnRenamed("id", "node"), "node").select(
+        "node", "weight", "fa", "fb", F.col("root").alias("grp"), F.col("rep").alias("doc_id")
+    )
     made = text.join(wanted, "doc_id").drop("doc_id")
-    sets = made.mapInPandas(_shingled, "node long, weight long, sig binary, shingles binary")
-    sets = stage(sets, "shingles").dropDuplicates(["node"])
-    for depth in DEPTHS:
-        near = connected_components(widest if depth == DEPTHS[-1] else stars(depth))
-        items = sets.join(near.select(F.col("id").alias("node"), F.col("root").alias("grp")), "node")
-        items = stage(items.withColumnRenamed("node", "item"), "near")
-        partial = stage(compare_groups(items, _verify(depth, threshold), BLOCK_ROWS), "verified")
-        seen, expected = partial.agg(F.sum("seen"), F.sum("expected")).first()
-        if not expected or seen / expected >= recall:
-            break
+    sets = made.mapInPandas(_shingled, "node long, weight long, grp long, shingles binary").dropDuplicates(["node"])
+    items = stage(sets.withColumnRenamed("node", "item"), "shingles")
+    partial = stage(compare_groups(items, _verify(threshold), BLOCK_ROWS), "verified")
 
     roots = connected_components(partial.where("item != root").select("item", "root"))
     links = partial.groupBy("item").agg(F.sum("links").alias("links"))

@@ -188,6 +188,21 @@ def test_jaccard_join_finds_every_link_of_a_table(spark):
     assert {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(docs).collect()} == dict(links)
 
 
+def test_a_group_of_copies_hides_no_lonely_pair(spark):
+    """100 texts at 0.9 and more with each other, and 400 pairs at exactly 0.8 that share nothing with others."""
+    texts = {}
+    for k in range(400):
+        words = [f"w{k}x{j}" for j in range(104)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(words[:94]), " ".join(words[:84] + words[94:])
+    common = [f"c{j}" for j in range(400)]
+    texts.update({1_000 + k: " ".join([*common[: 2 * k], f"own{k}", *common[2 * k + 1 :]]) for k in range(100)})
+    signs = {k: jaccard_join.signature(jaccard_join.shingles_of(t)) for k, t in texts.items()}
+    assert not all((signs[2 * k] == signs[2 * k + 1]).all(axis=1).any() for k in range(400))  # the longest prefixes lose some
+    got = {r.doc_id: r for r in jaccard_join.jaccard_join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert sum(got[2 * k + 1].class_id != 2 * k for k in range(400)) == 0
+    assert all(got[1_000 + k].n_links == 99 for k in range(100))
+
+
 def test_near_vectors(spark):
     rng = np.random.RandomState(3)
     base = rng.normal(size=(40, 16))
