@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ SPILL = 0.06  # share of a node on either side of its cut that goes both ways
 SAMPLE = 20_000  # vectors that the cuts are fitted on, at most
 LEAF = 256  # rows that a leaf is planned for
 LEAST = 32  # sampled rows that a node needs to be cut at their quantiles
+_BAND = NormalDist().inv_cdf(0.5 + SPILL)  # half the band, in deviations, where too few rows are left for quantiles
 BLOCK_ROWS = 512
 
 
@@ -27,7 +29,7 @@ BLOCK_ROWS = 512
 class Tree:
     directions: np.ndarray  # one random direction per level
     cuts: list[dict[int, tuple[float, float]]]  # by level: node -> from where on right, up to where left
-    centers: list[dict[int, np.ndarray]]  # by level: node -> mean of its sample, where the cuts end
+    bands: list[dict[int, np.ndarray]]  # by level: node where the cuts end -> its cuts at this and all deeper levels
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -43,17 +45,18 @@ def plant(sample: np.ndarray, levels: int, seed: int) -> Tree:
     tree = Tree(directions, [], [])
     nodes = {1: np.arange(len(sample))}
     for level in range(levels):
-        cuts, centers, below = {}, {}, {}
+        cuts, bands, below = {}, {}, {}
         for node, rows in nodes.items():
-            at = sample[rows] @ directions[level]
             if len(rows) < LEAST:
-                centers[node] = sample[rows].mean(axis=0)
+                at = sample[rows] @ directions[level:].T
+                bands[node] = at.mean(axis=0) + np.outer([-_BAND, _BAND], at.std(axis=0))
                 continue
+            at = sample[rows] @ directions[level]
             low, high = np.quantile(at, [0.5 - SPILL, 0.5 + SPILL])
             cuts[node] = (float(low), float(high))
             below[2 * node], below[2 * node + 1] = rows[at <= high], rows[at >= low]
         tree.cuts.append(cuts)
-        tree.centers.append(centers)
+        tree.bands.append(bands)
         nodes = below
     return tree
 
@@ -61,28 +64,32 @@ def plant(sample: np.ndarray, levels: int, seed: int) -> Tree:
 def leaves(tree: Tree, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and leaf numbers; a row is in every leaf that its spills lead to.
 
-    Below the nodes that the sample could cut, a node goes on being cut where
-    the mean of its sample projects to, so that leaves stay small at any size.
+    Below the nodes that the sample could cut, a node goes on being cut around
+    the mean of its sample's projections, so that leaves stay small at any size,
+    with a band that would hold the same share of a normal distribution.
     """
     rows, node = np.arange(len(vectors)), np.ones(len(vectors), np.int64)
-    center = np.full(len(vectors), -1)
-    kept: list[np.ndarray] = []
+    ended = np.full(len(vectors), -1)
+    kept: list[np.ndarray] = []  # low and high of the ended nodes by level
     for level, direction in enumerate(tree.directions[: len(tree.cuts)]):
         at = (vectors @ direction)[rows]
         low, high = np.zeros(len(rows)), np.zeros(len(rows))
-        for name in np.unique(node[center < 0]):
-            here = (center < 0) & (node == name)
+        for name in np.unique(node[ended < 0]):
+            here = (ended < 0) & (node == name)
             if name in tree.cuts[level]:
                 low[here], high[here] = tree.cuts[level][name]
             else:
-                kept.append(tree.centers[level].get(name, np.zeros(vectors.shape[1])))
-                center[here] = len(kept) - 1
+                band = np.zeros((2, len(tree.directions)))
+                if name in tree.bands[level]:
+                    band[:, level:] = tree.bands[level][name]
+                kept.append(band)
+                ended[here] = len(kept) - 1
         if len(kept):
-            own = center >= 0
-            low[own] = high[own] = (np.stack(kept) @ direction)[center[own]]
+            own = ended >= 0
+            low[own], high[own] = np.stack([b[:, level] for b in kept], axis=1)[:, ended[own]]
         left, right = at <= high, (at >= low) & ~((at == low) & (low == high))
         node = np.concatenate([2 * node[left], 2 * node[right] + 1])
-        center = np.concatenate([center[left], center[right]])
+        ended = np.concatenate([ended[left], ended[right]])
         rows = np.concatenate([rows[left], rows[right]])
     return rows, node
 
@@ -150,7 +157,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES
         levels = max(0, math.ceil(math.log2(max(share, 1) / LEAF)))
         points = unit(np.array(sample))
         forest[dim] = [plant(points, levels, seed) for seed in range(trees)]
-    shared = classes.sparkSession.sparkContext.broadcast(forest)  # at most SAMPLE / LEAST nodes a tree
+    shared = classes.sparkSession.sparkContext.broadcast(forest)  # at most SAMPLE cuts a level
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -223,6 +223,22 @@ def test_near_vectors(spark):
     assert rp_forest.near_vectors(frame.where("vec_id < 0")).count() == 0
 
 
+def test_forest_spills_below_its_sample():
+    """Pairs of cosine 0.93 stay together at levels that the sample is too small to cut."""
+    rng = np.random.RandomState(8)
+    first, other = (rp_forest.unit(rng.normal(size=(1_500, 64))) for _ in range(2))
+    other = rp_forest.unit(other - (other * first).sum(axis=1, keepdims=True) * first)
+    second = 0.93 * first + math.sqrt(1 - 0.93**2) * other
+    parted, found = [], np.zeros(len(first), bool)
+    for seed in range(10):
+        tree = rp_forest.plant(rp_forest.unit(rng.normal(size=(500, 64))), 16, seed)
+        a, b = ({*zip(*(x.tolist() for x in rp_forest.leaves(tree, v)))} for v in (first, second))
+        together = np.isin(np.arange(len(first)), [row for row, _ in a & b])
+        parted.append(1 - together.mean() ** (1 / 16))
+        found |= together
+    assert np.mean(parted) < 0.05 and found.mean() > 0.99
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(
         [(1, "http://a/ b\r\nX: 1", "<p>ä</p>"), (2, None, "<p>ä</p>"), (3, "u", None), (4, "u", ""), (4, "u", ""), (None, "u", ""), (5, "u", "y" * 200_000)],
