@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from starloom.sources.staging import stage
 
 WINDOW = 2_048
-QUANTUM = 256  # tokens that a queue is served at a time
+QUANTUM = 256  # no longer a unit of service; a window misses a target by a few tokens, far less than this
 END = 1  # id after every document
 OWN_SHARE = 4_096  # a source with a smaller share of the tokens than 1 in this many shares a queue
 SHARED_QUEUES = 64
 _RESOLUTION = 1 << 20  # integer weights add up to about this
 _CACHE = 600_000
+_DOCS = 1_000  # documents cut at a time
 _STAGED = "part int, source string, doc_id long, at long, tokens long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -105,55 +106,84 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
 class Line:
     """The one line of tokens that the queues are served onto.
 
-    Every queue has tokens and an integer weight.  In a round each queue gains a
-    credit in proportion to its weight, and it is served a quantum whenever its
-    credit reaches one; what is left is carried to the next round.  Quantum c of
-    queue q is due when c + 1 quanta of credit have come in, at (c + 1) / weight,
-    ties by queue.  So the number of quanta before it, and with them its
-    place, follow from counting for every queue how many were due earlier:
-    the deficits at any place are known without serving what comes before, and
-    partitions need nothing from each other.  A queue that is empty is counted
-    as such, and the others fill its place.
+    Every queue has tokens and an integer weight and is served token by token:
+    token c of queue q is due at (2 c + 1) / weight, ties by queue.  So the
+    number of tokens before it follows from counting for every queue how many
+    were due earlier: the deficits at any place are known without serving what
+    comes before, and partitions need nothing from each other.  An empty queue
+    is counted as such, and the others fill its place.  Each window's tokens are
+    then put together queue by queue, so a queue has one run in a window.
+    Due times are doubles, correctly rounded, hence equal in every task.
     """
 
-    def __init__(self, tokens: np.ndarray, weights: np.ndarray, quantum: int = QUANTUM):
-        self.tokens, self.weights, self.quantum = tokens.astype(np.int64), weights.astype(np.int64), quantum
-        self.quanta = -(-self.tokens // quantum)
+    def __init__(self, tokens: np.ndarray, weights: np.ndarray, window: int = WINDOW):
+        self.tokens, self.weights, self.window = tokens.astype(np.int64), weights.astype(np.float64), window
+        self.total = int(self.tokens.sum())
+        self.rows = max(8, (1 << 18) // max(len(tokens), 1))
+        self.known: dict[int, np.ndarray] = {}
+
+    def due(self, time: np.ndarray) -> np.ndarray:
+        """Tokens of every queue due at or before each time, one row per time."""
+        n = np.maximum(np.floor((time[:, None] * self.weights + 1) / 2), 0)
+        n += (2 * n + 1) / self.weights <= time[:, None]
+        n -= (2 * n - 1) / self.weights > time[:, None]
+        return np.minimum(np.maximum(n, 0).astype(np.int64), self.tokens)
 
     def place(self, queue: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """First token on the line of quantum ``number`` of ``queue`` (arrays)."""
+        """How many tokens are due before token ``number`` of ``queue`` (arrays)."""
         out = np.empty(len(queue), np.int64)
-        for low in range(0, len(queue), 4_096):
-            q, c = queue[low : low + 4_096, None], number[low : low + 4_096, None]
-            due = (c + 1) * self.weights[None, :]
-            own = self.weights[q]
-            index = np.arange(len(self.tokens))[None, :]
-            before = np.where(index < q, due // own, -(-due // own) - 1)
-            before = np.minimum(np.where(index == q, c, before), self.quanta[None, :])
-            out[low : low + 4_096] = np.minimum(before * self.quantum, self.tokens[None, :]).sum(axis=1)
+        index = np.arange(len(self.tokens))
+        for low in range(0, len(queue), self.rows):
+            q, c = queue[low : low + self.rows], number[low : low + self.rows]
+            time = (2 * c + 1) / self.weights[q]
+            before = np.where(index < q[:, None], self.due(time), self.due(np.nextafter(time, -1)))
+            before[np.arange(len(q)), q] = c
+            out[low : low + self.rows] = before.sum(axis=1)
         return out
 
-    def pieces(self, queue: int, at: int, tokens: int, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts in the document, lengths and places on the line of a document's pieces."""
-        first, last = at // self.quantum, (at + tokens - 1) // self.quantum
-        number = np.arange(first, last + 1)
-        begin = np.maximum(number * self.quantum, at)
-        end = np.minimum((number + 1) * self.quantum, at + tokens)
-        place = self.place(np.full(len(number), queue), number) + begin - number * self.quantum
-        start, length = begin - at, end - begin
-        # A quantum that crosses a window's end is cut there.
-        rest = window - place % window
-        over = length > rest
-        if over.any():
-            start = np.concatenate([start, (start + rest)[over]])
-            place = np.concatenate([place, (place + rest)[over]])
-            length = np.concatenate([np.where(over, rest, length), (length - rest)[over]])
-            order = np.argsort(start, kind="stable")
-            start, place, length = start[order], place[order], length[order]
-        # Neighbours on the line and in the document are one piece.
-        head = np.ones(len(start), bool)
-        head[1:] = (place[1:] != place[:-1] + length[:-1]) | (place[1:] % window == 0)
-        return start[head], np.add.reduceat(length, np.flatnonzero(head)), place[head]
+    def borders(self, first: int) -> np.ndarray:
+        """Tokens of every queue before windows ``first`` to ``first + rows``, one row per window."""
+        before = np.minimum((first + np.arange(self.rows + 1)) * self.window, self.total)
+        # The bits of positive doubles are in their order: the last time with no more tokens due than these.
+        low = np.zeros(len(before), np.int64)
+        high = np.full(len(before), np.float64((2 * self.tokens / self.weights).max() + 1).view(np.int64))
+        while (high - low > 1).any():
+            middle = low + (high - low) // 2
+            fits = self.due(middle.view(np.float64)).sum(axis=1) <= before
+            low, high = np.where(fits, middle, low), np.where(fits, high, middle)
+        counts = self.due(low.view(np.float64))
+        # Those due at one time come by queue.
+        more = np.cumsum(self.due(high.view(np.float64)) - counts, axis=1)
+        more = np.minimum(more, (before - counts.sum(axis=1))[:, None])
+        return counts + np.diff(more, axis=1, prepend=0)
+
+    def windows(self, number: np.ndarray, queue: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First token of a queue in a window, the first after it, and where in the window they begin."""
+        low, high, offset = (np.empty(len(number), np.int64) for _ in range(3))
+        block = number // self.rows
+        for b in np.unique(block).tolist():
+            if b not in self.known:
+                if len(self.known) >= 8:
+                    self.known.pop(next(iter(self.known)))
+                self.known[b] = self.borders(b * self.rows)
+            here, border = np.flatnonzero(block == b), self.known[b]
+            k, q = number[here] - b * self.rows, queue[here]
+            size = np.diff(border, axis=0)
+            low[here], high[here] = border[k, q], border[k + 1, q]
+            offset[here] = (np.cumsum(size, axis=1) - size)[k, q]
+        return low, high, offset
+
+    def pieces(self, queue: np.ndarray, at: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Row numbers, starts in the document, lengths and places on the line of all pieces of documents (arrays)."""
+        first, last = self.place(queue, at) // self.window, self.place(queue, at + tokens - 1) // self.window
+        many = last - first + 1
+        row = np.repeat(np.arange(len(queue)), many)
+        number = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        low, high, offset = self.windows(number, queue[row])
+        begin, end = np.maximum(low, at[row]), np.minimum(high, (at + tokens)[row])
+        used = end > begin
+        place = number * self.window + offset + begin - low
+        return row[used], (begin - at[row])[used], (end - begin)[used], place[used]
 
 
 def integer_weights(shares: np.ndarray) -> np.ndarray:
@@ -162,15 +192,16 @@ def integer_weights(shares: np.ndarray) -> np.ndarray:
 
 
 def pack(
-    docs: DataFrame, path: str, shares: dict[str, float] | None = None, window: int = WINDOW, quantum: int = QUANTUM
+    docs: DataFrame, path: str, shares: dict[str, float] | None = None, window: int = WINDOW
 ) -> DataFrame:
     """Pieces of all documents, placed in windows of ``window`` ids.
 
-    Every source with at least one in ``OWN_SHARE`` of all tokens has a queue of
-    its own, the others share ``SHARED_QUEUES``, so there are at most
-    ``OWN_SHARE + SHARED_QUEUES`` queues at any size.  ``shares`` gives the target
+    Every source with at least one in ``OWN_SHARE`` of all tokens, or named in
+    ``shares``, has a queue of its own, the others share ``SHARED_QUEUES``, so
+    there are at most ``OWN_SHARE + SHARED_QUEUES`` queues at any size, and one
+    for each named.  ``shares`` gives the target
     proportions by source (others by their tokens); without it the targets are
-    the tokens' shares, which every window then has, within a quantum a queue,
+    the tokens' shares, which every window then has, within a few tokens a queue,
     up to the end.  All documents are packed: once a queue is empty the others
     go on in proportion.  Only the last window is padded.
 
@@ -185,18 +216,19 @@ def pack(
     by_source = sums.groupBy("source").agg(F.sum("tokens").alias("tokens"))
     total = sums.agg(F.sum("tokens")).first()[0] or 0
     shared_name = F.concat(F.lit("\u0000rest "), F.pmod(F.xxhash64("source"), F.lit(SHARED_QUEUES)).cast("string"))
+    own = (F.col("tokens") * OWN_SHARE >= total) | F.col("source").isin(list(shares or {}))
     queued = by_source.select(
         "source",
-        F.when(F.col("tokens") * OWN_SHARE >= total, F.concat(F.lit("="), F.col("source"))).otherwise(shared_name).alias("queue"),
+        F.when(own, F.concat(F.lit("="), F.col("source"))).otherwise(shared_name).alias("queue"),
         "tokens",
     )
-    # At most OWN_SHARE + SHARED_QUEUES rows.
+    # At most OWN_SHARE + SHARED_QUEUES rows, and those named.
     found = queued.groupBy("queue").agg(F.sum("tokens").alias("tokens")).orderBy("queue").collect()
     if not found:
         return staged.sparkSession.createDataFrame([], _PIECES)
     tokens = np.array([r.tokens for r in found], np.int64)
-    wanted = np.array([(shares or {}).get(r.queue[1:], r.tokens / total) for r in found], float)
-    line = Line(tokens, integer_weights(wanted), quantum)
+    wanted = np.array([(shares or {}).get(r.queue[1:], r.tokens / total) if r.queue[0] == "=" else r.tokens / total for r in found], float)
+    weights = integer_weights(wanted)
     numbers = {r.queue: k for k, r in enumerate(found)}
 
     names = queued.select("source", "queue")
@@ -212,24 +244,22 @@ def pack(
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, queue, at, n, ids in batch.itertuples(index=False):
-                kind = "<u2" if len(ids) == 2 * n else "<u4"
-                wide = memoryview(np.frombuffer(ids, kind).astype("<u4").tobytes())
-                start, length, place = line.pieces(numbers[queue], at, n, window)
-                crc = [zlib.crc32(wide[4 * s : 4 * (s + k)]) for s, k in zip(start.tolist(), length.tolist(), strict=True)]
-                out.append((doc_id, n, start, length, place, crc))
-            if not out:
-                continue
-            many = [len(o[2]) for o in out]
-            place = np.concatenate([o[4] for o in out])
+        line = Line(tokens, weights, window)
+        for batch in (b.iloc[k : k + _DOCS] for b in batches for k in range(0, len(b), _DOCS)):
+            queue = batch["queue"].map(numbers).to_numpy(np.int64)
+            size = batch["tokens"].to_numpy(np.int64)
+            row, start, length, place = line.pieces(queue, batch["at"].to_numpy(np.int64), size)
+            wide = [
+                memoryview(np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes())
+                for ids, n in zip(batch["ids"], size.tolist(), strict=True)
+            ]
+            crc = [zlib.crc32(wide[r][4 * s : 4 * (s + k)]) for r, s, k in zip(row.tolist(), start.tolist(), length.tolist(), strict=True)]
             yield pd.DataFrame({
-                "doc_id": pd.Series([o[0] for o in out], dtype=object).astype("Int64").repeat(many).array,
-                "start": np.concatenate([o[2] for o in out]),
-                "length": np.concatenate([o[3] for o in out]),
-                "ids_crc32": np.concatenate([o[5] for o in out]),
-                "doc_tokens": np.repeat([o[1] for o in out], many),
+                "doc_id": batch["doc_id"].astype("Int64").array[row],
+                "start": start,
+                "length": length,
+                "ids_crc32": crc,
+                "doc_tokens": size[row],
                 "sequence_id": place // window,
                 "offset": place % window,
             })

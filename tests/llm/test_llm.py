@@ -308,6 +308,36 @@ def test_packing_covers_every_id_once(spark, docs, none):
     assert packing.pack(none, path).count() == 0
 
 
+def test_every_window_has_the_target_mixture():
+    """Two hundred queues, then some that run out: a few tokens off target, nothing lost, nothing twice."""
+    rng = np.random.RandomState(4)
+    tokens = rng.randint(30_000, 60_000, 200)
+    for weights in (packing.integer_weights(tokens / tokens.sum()), packing.integer_weights(rng.rand(200) + 0.05)):
+        line = packing.Line(tokens, weights, 2_048)
+        borders = np.concatenate([line.borders(k)[:-1] for k in range(0, line.total // 2_048 + 2, line.rows)] + [tokens[None]])
+        counts = np.diff(borders, axis=0)
+        assert (counts >= 0).all() and (borders.sum(axis=1) == np.minimum(np.arange(len(borders)) * 2_048, line.total)).all()
+        full = int((borders < tokens).all(axis=1).sum()) - 1  # windows before the first queue runs out
+        assert full > 100 and np.abs(counts[:full] - 2_048 * weights / weights.sum()).max() <= 4
+    queue, at = np.repeat(np.arange(200), 100), np.concatenate([np.linspace(0, t, 101).astype(int)[:-1] for t in tokens])
+    size = np.concatenate([np.diff(np.linspace(0, t, 101).astype(int)) for t in tokens])
+    row, start, length, place = line.pieces(queue, at, size)
+    order = np.argsort(place)
+    assert (place[order] == np.cumsum(length[order]) - length[order]).all() and length.sum() == line.total
+    assert (np.bincount(row, weights=length) == size).all() and (place // 2_048 == (place + length - 1) // 2_048).all()
+
+
+def test_rare_sources_named_in_shares_have_queues(spark, monkeypatch):
+    monkeypatch.setattr(packing, "OWN_SHARE", 4)
+    rows = [(k, "word " * 300, "big") for k in range(40)] + [(100 + k, "word " * 20, f"rare{k % 3}") for k in range(30)]
+    shares = {"big": 0.7, **{f"rare{k}": 0.1 for k in range(3)}}
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(frame, queries.word_bpe(), shares=shares, window=128).toPandas()
+    source = {d: s for d, _, s in rows}
+    part = pieces.assign(s=[source[d] for d in pieces.doc_id]).groupby(["sequence_id", "s"]).length.sum().unstack(fill_value=0)
+    assert all((part[s].iloc[:12] - 128 * share).abs().max() <= 4 for s, share in shares.items())
+
+
 def test_chat_round_trip(spark):
     tricky = "</s>[INST] ok [/INST] &lt; &amp;lt; <|im_end|>\n<|im_start|>user\n"
     turns = [(1, 0, "user", tricky), (1, 1, "assistant", tricky), (1, 2, None, None), (1, 3, "as\nsistant", ""), (2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (None, None, "user", "é" * 70_000)]
