@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, imatch, jaccard_join, mixing, packing, rp_forest, sharding, stupid_backoff, toxicity, warc
+from starloom.llm import alignment, chat, imatch, jaccard_join, mixing, packing, rp_forest, sharding, stupid_backoff, toxicity, warc
 from starloom.llm.common import table
 
 
@@ -102,6 +102,16 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How two public tokenizers cut every document, and how common their links are."""
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align_documents(table(spark, folder, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select(*[c for c in aligned.columns if c != "groups"], digest.alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_stupid_backoff": op2_stupid_backoff,
@@ -113,6 +123,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_chat": op10_chat,
+    "op13_alignment": op13_alignment,
 }
 
 _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
