@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import alignment, chat, imatch, jaccard_join, mixing, packing, rp_forest, sharding, stupid_backoff, toxicity, warc
+from starloom.llm import alignment, chat, cuckoo, imatch, jaccard_join, mixing, packing, rp_forest, sharding, stupid_backoff, toxicity, turn_repair, warc
 from starloom.llm.common import table
 
 
@@ -102,6 +102,44 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations as op 11 damages them: by a checksum of conversation and turn."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    hit = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    return (
+        turns.select(
+            "conv_id",
+            "turn",
+            F.when(hit == 4, "user").otherwise(role).alias("role"),
+            F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+            F.when(hit == 0, 0).when(hit == 3, 2).otherwise(1).alias("_times"),
+        )
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times"))))
+        .drop("_times", "_copy")
+    )
+
+
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations, repaired at least cost."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = turn_repair.summarize(turn_repair.repair(damaged_turns(turns)), ordered=True)
+    every = turns.select(F.col("conv_id").alias("_id")).distinct()
+    found = every.join(repaired, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        F.col("_id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_cuckoo_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact copies among all documents; the largest id of a text stays."""
+    return cuckoo.exact_dedup(table(spark, folder, "documents"))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """How two public tokenizers cut every document, and how common their links are."""
     import public_tokenizers
@@ -123,6 +161,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_chat": op10_chat,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_cuckoo_dedup": op12_cuckoo_dedup,
     "op13_alignment": op13_alignment,
 }
 
@@ -133,6 +173,23 @@ for _old, _new in [(e, "&amp;" + e[1:]) for e in ("&amp;", "&lt;", "&#91;", "&#1
 ]:
     _ESCAPED = f"replace({_ESCAPED}, '{_old}', '{_new}')"
 
+
+
+def _add(best: str, cost: str, letter: str) -> str:
+    """SQL of cost and letters, the cost first in nine digits so that texts compare as both do, after one edit before."""
+    return f"lpad((substr({best}, 1, 9)::INT + {cost})::VARCHAR, 9, '0') || '{letter}' || substr({best}, 10)"
+
+
+# The best ways on from each state (nothing said, system, user, assistant) before a row, without inserts in front.
+_CALLS = {0: 2, 1: 2, 2: 3, 3: 2}
+_STEP = ", ".join(
+    f"least({_add(f'f{q}', '4', 'D')}, CASE WHEN fault IN (0, 3) AND "
+    f"{'said IN (1, 2)' if q == 0 else f'said = {_CALLS[q]}'} THEN "
+    f"{_add('[f0, f1, f2, f3][said + 1]', 'extra', 'K')} ELSE 'z' END, "
+    f"CASE WHEN fault IN (0, 3) THEN {_add(f'f{_CALLS[q]}', '3 + extra', 'R')} ELSE 'z' END) AS g{q}"
+    for q in range(4)
+)
+
 ORACLE = {
     # Sixty rounds of the three dimensions, one dimension a step.
     "op3_mixing": """
@@ -228,5 +285,76 @@ WITH t AS (
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
   sha256(loss) AS loss_sha256, formatted_chars FROM c
+""",
+    "op11_turn_repair": f"""
+WITH RECURSIVE crc_table(n, k, c) AS (
+  SELECT n, 0, n FROM (SELECT unnest(range(256)) AS n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_table WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY n) AS t FROM crc_table WHERE k = 8
+), source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS hit
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM source
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    strpos('sua', substr(role, 1, 1)) * (role <> '')::INT AS said
+  FROM damaged
+), r AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+    lead(said) OVER (PARTITION BY conv_id ORDER BY i) AS following
+  FROM numbered
+), stats AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (following IS NOT NULL AND (said, following) NOT IN ((1, 2), (2, 3), (3, 2))) AS illegal
+  FROM r GROUP BY conv_id
+), dp AS (
+  SELECT conv_id, n + 1 AS i, lpad('0', 9, '0') AS f0, lpad('6', 9, '0') || 'II' AS f1, lpad('3', 9, '0') || 'I' AS f2,
+    lpad('0', 9, '0') AS f3
+  FROM stats
+  UNION ALL
+  SELECT conv_id, i, least(g0, {_add('u', '3', 'I')}), least(g1, {_add('u', '3', 'I')}), u, least(g3, {_add('g2', '3', 'I')})
+  FROM (SELECT *, least(g2, {_add('g3', '3', 'I')}) AS u FROM (
+    SELECT conv_id, i, {_STEP} FROM (
+      SELECT dp.*, r.i, r.said, r.fault, CASE r.fault WHEN 3 THEN 3 ELSE 0 END AS extra
+      FROM (SELECT conv_id, i - 1 AS before, f0, f1, f2, f3 FROM dp) dp
+      JOIN r ON dp.conv_id IS NOT DISTINCT FROM r.conv_id AND dp.before = r.i)))
+), found AS (
+  SELECT conv_id, substr(f0, 1, 9)::BIGINT AS cost, substr(f0, 10) AS audit FROM dp WHERE i = 1
+), letters AS (
+  SELECT conv_id, k, substr(audit, k, 1) AS letter, length(replace(substr(audit, 1, k), 'I', '')) AS i,
+    length(replace(substr(audit, 1, k), 'D', '')) AS place, length(replace(audit, 'D', '')) AS places
+  FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS k FROM found)
+), lines AS (
+  SELECT l.conv_id, k, CASE letter WHEN 'K' THEN r.role WHEN 'D' THEN NULL
+      ELSE CASE WHEN (places - place) % 2 = 0 THEN 'assistant' ELSE 'user' END END || ':'
+    || CASE letter WHEN 'I' THEN '' ELSE r.text END AS line
+  FROM letters l LEFT JOIN r ON l.conv_id IS NOT DISTINCT FROM r.conv_id AND l.i = r.i
+), repaired AS (
+  SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS body FROM lines GROUP BY conv_id
+), ids AS (
+  SELECT DISTINCT conv_id AS id FROM conversations
+)
+SELECT id AS conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM ids LEFT JOIN stats ON id IS NOT DISTINCT FROM stats.conv_id
+  LEFT JOIN found ON id IS NOT DISTINCT FROM found.conv_id LEFT JOIN repaired ON id IS NOT DISTINCT FROM repaired.conv_id
+""",
+    "op12_cuckoo_dedup": """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
 }
