@@ -36,15 +36,15 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_folder(spark)}/starloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, keep_not_null: bool = False) -> DataFrame:
+def stage(df: DataFrame, label: str, keep_not_null: bool = False, **options) -> DataFrame:
     """Write ``df`` once and return the written table.
 
     Files do not record that a column is never null; ``keep_not_null`` declares
-    it again.
+    it again.  ``options`` are those of the writer.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     return restore_not_null(staged, df.schema) if keep_not_null else staged
 
