@@ -48,7 +48,15 @@ from starloom.sources.changes import read_changes
 from starloom.sources.sinks import append, export_sample, merge_into, overwrite, overwrite_path
 from starloom.sources.staging import stage, staging_path
 from starloom.sources.tables import ensure_table, extract_columns, read_table, read_tsv
-from starloom.streaming.cdc import changes, latest_images, schema_from_ddl, upsert_stream
+from starloom.streaming.cdc import (
+    changes,
+    checked_changes,
+    latest_images,
+    read_refused,
+    schema_from_ddl,
+    upsert_messages,
+    upsert_stream,
+)
 from workload import sql
 from workload.sources import BEGIN, LOAD_TO, OPEN_END, Sources, money, saved
 from workload.sql import FAR, with_
@@ -994,7 +1002,7 @@ def empty_table_filled(src):
 _ROW = "user_id bigint, event_id bigint, event_type string, value decimal(18,2), ts timestamp_ntz, day date"
 
 
-def _messages(src, tie_hours: bool) -> DataFrame:
+def _messages(src, tie_hours: bool, where: str = "true") -> DataFrame:
     """Every event as a change message; a tenth are deletes, some have no operation."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     row = F.to_json(
@@ -1009,20 +1017,21 @@ def _messages(src, tie_hours: bool) -> DataFrame:
     )
     op = F.when(F.col("event_id") % 101 == 0, F.lit(None)).when(F.col("event_id") % 10 == 0, "d")
     op = op.when(F.col("event_id") % 2 == 0, "u").otherwise("c")
+    return src.events.where(where).select(_envelope(row, op, ms - ms % 3_600_000 if tie_hours else ms).alias("value"))
+
+
+def _envelope(row, op, ms):
+    """A change message as text: an image, its operation, and its position by time and event."""
     deleted = F.col("event_id") % 10 == 0
-    envelope = F.struct(
-        F.struct(
-            F.when(~deleted, row).alias("after"),
-            F.when(deleted, row).alias("before"),
-            op.alias("op"),
-            F.struct(
-                (ms - ms % 3_600_000 if tie_hours else ms).alias("ts_ms"),
-                F.lpad(F.col("event_id").cast("string"), 12, "0").alias("commit_lsn"),
-                F.lit("events").alias("table"),
-            ).alias("source"),
-        ).alias("payload")
+    source = F.struct(
+        ms.alias("ts_ms"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("commit_lsn"),
+        F.lit("events").alias("table"),
     )
-    return src.events.select(F.to_json(envelope).alias("value"))
+    payload = F.struct(
+        F.when(~deleted, row).alias("after"), F.when(deleted, row).alias("before"), op.alias("op"), source.alias("source")
+    )
+    return F.to_json(F.struct(payload.alias("payload")))
 
 
 _IMAGES = """
@@ -1081,21 +1090,125 @@ def cdc_two_streams(src):
     return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
 
 
+@query(f"SELECT kept_in, l.* FROM ({_LATEST}) AS l CROSS JOIN (VALUES ('buckets'), ('snapshots')) AS t(kept_in)")
+def cdc_streams_together(src):
+    """Streams that run at once and write one table: each micro-batch keeps what the others merged meanwhile."""
+    tables = []
+    for kept_in, buckets in (("buckets", 4), ("snapshots", 0)):
+        name, running = f"cdc_{uuid.uuid4().hex}", []
+        for part in range(3):
+            folder = staging_path(src.spark, "messages")
+            _messages(src, False, f"event_id % 3 = {part}").repartition(2).write.text(folder)
+            stream = read_changes(src.spark, "text", {"maxFilesPerTrigger": "1"}, path=folder)
+            checkpoint = staging_path(src.spark, "checkpoint")
+            running.append(upsert_stream(changes(stream, _ROW), name, "user_id", checkpoint, time_guard=True, buckets=buckets))
+        for one in running:
+            one.awaitTermination()
+        table = read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
+        tables.append(table.select(F.lit(kept_in).alias("kept_in"), "*"))
+    return tables[0].unionByName(tables[1])
+
+
+@query(
+    """
+    SELECT user_id, event_id, event_type, value, ts, day FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+        ORDER BY date_trunc('hour', ts) DESC, event_id DESC) AS nth FROM (%s)) WHERE nth = 1
+    """
+    % _IMAGES
+)
+def cdc_late_position(src):
+    """The later half of each hour's changes comes first; at equal times the position in the log keeps it."""
+    name, folder, checkpoint = f"cdc_{uuid.uuid4().hex}", staging_path(src.spark, "messages"), staging_path(src.spark, "checkpoint")
+    for half in ("minute(ts) >= 30", "minute(ts) < 30"):
+        _messages(src, True, half).write.mode("append").text(folder)
+        stream = read_changes(src.spark, "text", {}, path=folder)
+        upsert_stream(changes(stream, _ROW), name, "user_id", checkpoint, time_guard=True).awaitTermination()
+    return read_table(src.spark, name).select("user_id", "event_id", "event_type", "value", "ts", "day")
+
+
+@query(
+    """
+    SELECT outcome, count(*) AS messages FROM (SELECT CASE WHEN event_id % 23 = 0 THEN 'envelope not readable'
+        WHEN event_id % 101 = 0 THEN 'no operation' WHEN event_id % 13 = 0 THEN 'unknown operation'
+        WHEN event_id % 29 = 0 THEN 'no row image' WHEN event_id % 19 = 0 THEN 'row image not readable'
+        WHEN event_id % 17 = 0 THEN 'no key' ELSE 'merged' END AS outcome FROM events) GROUP BY 1
+    """
+)
+def cdc_refused(src):
+    """Damaged messages: those that can be applied are merged, the others kept with the reason; together they are all."""
+    n = F.col("event_id")
+    row = F.when(n % 29 != 0, F.when(n % 19 == 0, F.expr("substr(r, 1, length(r) - 3)")).otherwise(F.col("r")))
+    op = F.when(n % 101 != 0, F.when(n % 13 == 0, "t").when(n % 10 == 0, "d").otherwise("c"))
+    events = src.events.withColumn("r", F.to_json(F.struct(F.when(n % 17 != 0, n).alias("event_id"), "user_id", "event_type")))
+    whole = _envelope(row, op, F.unix_millis(F.col("ts").cast("timestamp")))
+    cut = F.when(n % 23 == 0, F.substring(whole, 2, 1000)).otherwise(whole)
+    folder, name = staging_path(src.spark, "messages"), f"cdc_{uuid.uuid4().hex}"
+    events.select(cut.alias("value")).repartition(2).write.text(folder)
+    stream = read_changes(src.spark, "text", {"maxFilesPerTrigger": "1"}, path=folder)
+    checked = checked_changes(stream, "event_id bigint, user_id bigint, event_type string", "event_id")
+    kept_apart = staging_path(src.spark, "refused")
+    upsert_stream(
+        checked, name, "event_id", staging_path(src.spark, "checkpoint"), deletes="apply", refused_to=kept_apart
+    ).awaitTermination()
+    merged = read_table(src.spark, name).select(F.lit("merged").alias("outcome"))
+    both = merged.unionAll(read_refused(src.spark, name, kept_apart).select("_reason"))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query(
+    """
+    SELECT event_id, user_id, event_type, CASE WHEN event_id % 2 = 1 THEN CAST(value AS DECIMAL(18,2)) END AS value
+    FROM events WHERE event_id % 101 <> 0 AND event_id % 10 <> 0
+    """
+)
+def cdc_schema_change(src):
+    """The source declares a wider id and one more column between two batches; the table follows."""
+    spark, name = src.spark, f"cdc_{uuid.uuid4().hex}"
+    declarations, folder, checkpoint = (staging_path(spark, k) for k in ("declarations", "messages", "checkpoint"))
+    n = F.col("event_id")
+    columns = [("event_id", "int"), ("user_id", "bigint"), ("event_type", "nvarchar")]
+    for load in range(2):
+        if load:
+            columns = [("event_id", "bigint"), *columns[1:], ("value", "decimal")]
+        listed = F.array(*[
+            F.struct(F.lit(c).alias("name"), F.lit(k).alias("typeName"), F.lit(18).alias("length"), F.lit(2).alias("scale"))
+            for c, k in columns
+        ])
+        table = F.struct(F.struct(F.array(F.lit("event_id")).alias("primaryKeyColumnNames"), listed.alias("columns")).alias("table"))
+        source = F.struct(F.lit("Web").alias("schema"), F.lit("Events").alias("table"), F.lit(load).alias("ts_ms"))
+        payload = F.struct(source.alias("source"), F.array(table).alias("tableChanges"))
+        spark.range(1).select(F.to_json(F.struct(payload.alias("payload")))).write.mode("append").text(declarations)
+        image = F.to_json(F.struct(*[c for c, _ in columns]))
+        op = F.when(n % 101 != 0, F.when(n % 10 == 0, "d").otherwise("c"))
+        half = src.events.where(n % 2 == load)
+        half.select(_envelope(image, op, F.unix_millis(F.col("ts").cast("timestamp"))).alias("value")).write.mode("append").text(folder)
+        upsert_messages(
+            read_changes(spark, "text", {}, path=folder),
+            name,
+            lambda: schema_from_ddl(spark.read.text(declarations)),
+            checkpoint,
+            table="Web_Events",
+        ).awaitTermination()
+    return read_table(spark, name).select("event_id", "user_id", "event_type", "value")
+
+
 @query(
     """
     SELECT table_name, CAST(position AS INTEGER) AS position, column_name, spark_type,
            column_name = 'Id' AS is_key
-    FROM (SELECT 'Sales_Orders' || substr(o_orderpriority, 1, 1) AS table_name, o_orderkey AS k, o_orderstatus AS s,
+    FROM (SELECT 'Sales_Orders' || substr(o_orderpriority, 1, 1) AS t, o_orderkey AS k, o_orderstatus AS s,
                  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS nth
           FROM orders) o,
-         LATERAL (VALUES (0, 'Id', 'int'), (1, 'Amount', 'decimal(18,' || (k % 4) || ')'),
-                         (2, 'Status' || s, CASE k % 3 WHEN 0 THEN 'boolean' WHEN 1 THEN 'string' ELSE 'timestamp' END),
-                         (3, 'LoadDatetime', 'timestamp')) AS c(position, column_name, spark_type)
+         LATERAL (VALUES (t, 0, 'Id', 'int'), (t, 1, 'Amount', 'decimal(18,' || (k % 4) || ')'),
+                         (t, 2, 'Status' || s, CASE k % 3 WHEN 0 THEN 'boolean' WHEN 1 THEN 'string' ELSE 'timestamp' END),
+                         (t, 3, 'LoadDatetime', 'timestamp'),
+                         ('Archive' || t, 0, 'Id', 'bigint'), ('Archive' || t, 1, 'Paid' || (k % 2), 'decimal(19,4)'),
+                         ('Archive' || t, 2, 'LoadDatetime', 'timestamp')) AS c(table_name, position, column_name, spark_type)
     WHERE nth = 1
     """
 )
 def ddl_schema(src):
-    """Every order declares its table anew; the last declaration of each table counts."""
+    """Every order declares two tables anew in one message; the last declaration of each table counts."""
     key = F.col("o_orderkey")
 
     def column(name, kind, length=None, scale=None):
@@ -1106,20 +1219,29 @@ def ddl_schema(src):
             (scale if scale is not None else F.lit(None)).cast("int").alias("scale"),
         )
 
+    def change(schema, columns):
+        keyed = F.struct(F.array(F.lit("Id")).alias("primaryKeyColumnNames"), F.array(*columns).alias("columns"))
+        name = F.concat(F.lit(f'"wide"."{schema}"."Orders'), F.substring("o_orderpriority", 1, 1), F.lit('"'))
+        return F.struct(name.alias("id"), keyed.alias("table"))
+
     status = F.when(key % 3 == 0, "bit").when(key % 3 == 1, "nvarchar").otherwise("datetime2")
-    columns = F.array(
-        column(F.lit("Id"), F.lit("int")),
-        column(F.lit("Amount"), F.lit("decimal"), 18, key % 4),
-        column(F.concat(F.lit("Status"), "o_orderstatus"), status),
+    now = change(
+        "Sales",
+        [
+            column(F.lit("Id"), F.lit("int")),
+            column(F.lit("Amount"), F.lit("decimal"), 18, key % 4),
+            column(F.concat(F.lit("Status"), "o_orderstatus"), status),
+        ],
     )
-    table = F.struct(F.struct(F.array(F.lit("Id")).alias("primaryKeyColumnNames"), columns.alias("columns")).alias("table"))
+    paid = F.concat(F.lit("Paid"), (key % 2).cast("string"))
+    archive = change("ArchiveSales", [column(F.lit("Id"), F.lit("bigint")), column(paid, F.lit("money"))])
     source = F.struct(
         F.lit("Sales").alias("schema"),
         F.concat(F.lit("Orders"), F.substring("o_orderpriority", 1, 1)).alias("table"),
         F.unix_millis(F.col("o_at").cast("timestamp")).alias("ts_ms"),
         F.lpad(key.cast("string"), 12, "0").alias("commit_lsn"),
     )
-    payload = F.struct(source.alias("source"), F.array(table).alias("tableChanges"))
+    payload = F.struct(source.alias("source"), F.array(now, archive).alias("tableChanges"))
     return schema_from_ddl(src.orders.select(F.to_json(F.struct(payload.alias("payload"))).alias("value")))
 
 
