@@ -1,14 +1,17 @@
 """Alignment of two tokenizers over a corpus, with counts of the id pairs that meet.
 
-A first pass aligns every document and counts, in each task, in how many of its
-documents a pair of ids is linked.  The distinct pairs get a minimal perfect
-hash, so that counts are dense vectors without keys, summed up a tree.  The
-pairs themselves stand in the order of the hash and verify every look-up.  A
-second pass aligns the documents again and looks the counts up.
+Documents are encoded once and their ids written.  A first pass aligns them
+and counts, in each task, in how many of its documents a pair of ids is linked.
+The distinct pairs get a minimal perfect hash, so that counts are dense vectors
+without keys, summed up a tree.  The pairs themselves stand in the order of the
+hash and verify every look-up.  A second pass aligns the documents again and
+looks the counts up.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import math
 import os
 import re
@@ -24,14 +27,19 @@ from starloom.sources.staging import stage
 
 UNITS = 300_000  # units of text a Python worker remembers
 PAIRS_AT_ONCE = 4_000_000  # pairs whose counts are sent around together, 17 bytes each
+_BYTES = 4_000_000  # of text aligned at a time
+_HELD = 2_000_000  # pair counts a task holds before it returns them
 _BUCKET = 1 << 16  # pairs hashed by one task
 _CHUNK = 1 << 17  # counts a row of a vector
 _FAN = 8  # vectors summed by one task
 _LOAD = 2.0  # bits a pair at each level of the hash
+_ENCODED = "doc_id long, a binary, b binary"
 _COUNTED = "a long, b long, n long"
 _HASHED = "bucket int, sizes binary, bits binary, pairs binary"
 _VECTOR = "chunk int, node int, counts binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+# Fixed value: the pattern by which byte-level vocabularies split texts.
+_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -42,14 +50,15 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Ids and bytes of both vocabularies, for units of text.
-
-    A unit begins with a space or line feed that follows no white space, and
-    goes on up to the next one.  Neither tokenizer has a token across such a
-    place: the byte-level one splits there, and the other has no piece with a
-    space after another character or with a line feed.  So the tokens of a text
-    are those of its units.  Where a vocabulary does not promise this, the whole
-    text is one unit.
+    """Ids of texts in both vocabularies, as bytes.
+
+    The byte-level side merges by rank, as its vocabulary is in the order of its
+    merges (else its own library encodes).  The other side is encoded by units: a
+    unit begins with a space or line feed that follows no white space and goes on
+    up to the next one.  No piece has a space after another character or a line
+    feed, so no token crosses such a place, and the ids of a text are those of
+    its units, ``UNITS`` of which are remembered.  Where a vocabulary does not
+    promise this, texts are encoded whole.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -67,197 +76,224 @@ class Tokenizers:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
-        split = "ByteLevel" in str(self.a.pre_tokenizer) and "use_regex=False" not in str(self.a.pre_tokenizer)
-        if split and not any(re.search("[^▁]▁|\n", p) for p in pieces):
-            self.unit = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
-        else:
-            self.unit = re.compile(r".+", re.DOTALL)
-        self.ahead = len(self.a.encode("a", add_special_tokens=False).ids), len(self.b.encode("a"))
-
-    def encode(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of each unit in both vocabularies, as inside a text."""
-        # A letter in front takes the place of the text before; it is a unit's, so its ids can be cut off.
-        fronted = ["a" + u for u in units]
-        skip_a, skip_b = self.ahead
-        coded_a, coded_b = self.a.encode_batch(fronted, add_special_tokens=False), self.b.encode(fronted, num_threads=1)
-        if self.unit.flags & re.DOTALL:
-            skip_a = skip_b = 0
-            coded_a, coded_b = self.a.encode_batch(units, add_special_tokens=False), self.b.encode([u[1:] for u in units], num_threads=1)
-        for one, other in zip(coded_a, coded_b, strict=True):
-            yield one.ids[skip_a:], other[skip_b:]
-
-
-def align(ids_a: list[int], ids_b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> tuple[list[tuple[int, int]], str, int]:
-    """Links, groups as text, and their number, of two token rows over the same bytes (one at least)."""
-    links, groups = [], []
-    i = j = from_a = from_b = 0
-    end_a, end_b = len(bytes_a[ids_a[0]]), len(bytes_b[ids_b[0]])
-    while True:
-        links.append((ids_a[i], ids_b[j]))
-        if end_a < end_b:
-            i += 1
-            end_a += len(bytes_a[ids_a[i]])
-        elif end_b < end_a:
-            j += 1
-            end_b += len(bytes_b[ids_b[j]])
-        else:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, ids_a[from_a:i])) + "|" + ",".join(map(str, ids_b[from_b:j])))
-            if i == len(ids_a):
-                return links, ";".join(groups), len(groups)
-            from_a, from_b = i, j
-            end_a += len(bytes_a[ids_a[i]])
-            end_b += len(bytes_b[ids_b[j]])
+        self.sizes = [np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b)]
+        self.kinds = ["<u2" if len(side) <= 1 << 16 else "<u4" for side in (self.bytes_a, self.bytes_b)]
+        self.ranked = self._by_rank(path_a)
+        self.splits = not any(re.search("[^▁]▁|\n", p) for p in pieces)
+        self.unit = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
+        self.ahead = len(self.b.encode("a"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.spoilt: set[str] = set()  # units whose token bytes are not those of the text
+
+    def _by_rank(self, path: str):
+        """The byte-level side as ranks, if its merges are in the order of its ids and it splits texts in the usual way."""
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        split, model = told.get("pre_tokenizer") or {}, told["model"]
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        if not usual or told.get("normalizer") or model.get("type") != "BPE":
+            return None
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(set(merged)):
+            return None
+        import tiktoken
+
+        special = {t["id"] for t in told.get("added_tokens", [])}
+        ranks = {self.bytes_a[i]: i for i in model["vocab"].values() if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def _ids_a(self, text: str) -> bytes:
+        if self.ranked:
+            return np.array(self.ranked.encode_ordinary(" " + text), self.kinds[0]).tobytes()
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids
+        whole = b"".join([self.bytes_a[i] for i in ids]) == (" " + text).encode()
+        return np.array(ids if whole else [], self.kinds[0]).tobytes()
+
+    def _ids_b(self, text: str) -> bytes:
+        """Ids of a text encoded whole; none where its bytes are not those of the text."""
+        ids = self.b.encode(text)
+        whole = b"".join([self.bytes_b[i] for i in ids]) == (" " + text).encode()
+        return np.array(ids if whole else [], self.kinds[1]).tobytes()
 
+    def learn(self, units: set[str]) -> None:
+        """Encode the units that are new."""
+        new = [u for u in units if u not in self.known]
+        # A letter in front takes the place of the text before; its ids are cut off again.
+        coded = [ids[self.ahead :] for ids in self.b.encode(["a" + u for u in new], num_threads=1)]
+        flat = np.fromiter(itertools.chain.from_iterable(coded), np.int64)
+        packed, size, at = flat.astype(self.kinds[1]).tobytes(), np.dtype(self.kinds[1]).itemsize, 0
+        joined, place = b"".join([self.bytes_b[i] for i in flat.tolist()]), 0
+        upto = np.concatenate([[0], np.cumsum(self.sizes[1][flat])])
+        ends = upto[np.cumsum([len(ids) for ids in coded], dtype=np.int64)].tolist() if new else []
+        for unit, ids, end in zip(new, coded, ends, strict=True):
+            self.known[unit] = packed[size * at : size * (at + len(ids))]
+            if joined[place:end] != unit.encode():
+                self.spoilt.add(unit)
+            at, place = at + len(ids), end
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of both sides of each text; none where the bytes of a side are not those of a space and the text."""
+        split = [self.unit.findall(" " + t) if t and self.splits else [] for t in texts]
+        self.learn(set().union(*split))
+        a, b = [], []
+        for text, units in zip(texts, split, strict=True):
+            if not text:
+                one = other = b""
+            else:
+                one = self._ids_a(text)
+                known = units and self.spoilt.isdisjoint(units)
+                other = b"".join(map(self.known.__getitem__, units)) if known else self._ids_b(text)
+            a.append(one if one and other else b"")
+            b.append(other if one and other else b"")
+        if len(self.known) > UNITS:
+            self.forget()
+        return a, b
+
+
+_tokenizers: dict[tuple[str, str], Tokenizers] = {}
+
+
+def _of_worker(path_a: str, path_b: str) -> Tokenizers:
+    """The tokenizers of this Python worker, which keep what they met in earlier tasks."""
+    if (path_a, path_b) not in _tokenizers:
+        _tokenizers[path_a, path_b] = Tokenizers(path_a, path_b)
+    return _tokenizers[path_a, path_b]
+
+
+def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``_BYTES`` bytes."""
+    first = total = 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total > _BYTES or k + 1 == len(sizes):
+            yield first, k + 1
+            first, total = k + 1, 0
+
+
+def encode(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """``doc_id, a, b`` of every document, written: its ids on both sides, or none."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizers = _of_worker(path_a, path_b)
+        for batch in batches:
+            texts = batch.column("text")
+            for low, high in _blocks(_lengths(texts)):
+                a, b = tokenizers.encode(texts.slice(low, high - low).to_pylist())
+                ids = batch.column("doc_id").slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["doc_id", "a", "b"])
 
-class _Growing:
-    """Numbers added at the end of an array that doubles."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return stage(rows.mapInArrow(work, _ENCODED), "ids", compression="zstd")
 
-    def __init__(self, dtype: type, width: int = 0):
-        self.data, self.size = np.zeros((1024, width) if width else 1024, dtype), 0
 
-    def add(self, rows: np.ndarray) -> None:
-        need = self.size + len(rows)
-        if need > len(self.data):
-            more = np.zeros((max(need, 2 * len(self.data)), *self.data.shape[1:]), self.data.dtype)
-            more[: self.size] = self.data[: self.size]
-            self.data = more
-        self.data[self.size : need] = rows
-        self.size = need
+def _lengths(column: pa.Array) -> list[int]:
+    import pyarrow.compute as pc
 
-    def all(self) -> np.ndarray:
-        return self.data[: self.size]
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
 
 
-class Aligner:
-    """Alignments of the units met so far, and the pairs in them, numbered as they appear."""
+class Aligned:
+    """Documents of a block aligned as one stream: each has the same bytes on both sides.
 
-    def __init__(self, path_a: str, path_b: str):
-        self.tokenizers = Tokenizers(path_a, path_b)
-        self.reset()
-
-    def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.text: dict[str, str] = {}  # of a unit's groups
-        self.spoilt: dict[str, tuple[bytes, bytes]] = {}  # token bytes of units that are not those of the text
-        self.stats = _Growing(np.int64, 4)  # tokens of both, groups, links
-        self.number: dict[tuple[int, int], int] = {}
-        self.pairs = _Growing(np.int64, 2)
-        self.linked = _Growing(np.int32)  # pair numbers of the links, unit after unit
-        self.begin = _Growing(np.int64)
-
-    def split(self, text: str | None) -> list[str]:
-        return self.tokenizers.unit.findall(" " + text) if text else []
+    The places where a token of either side ends cut the stream into stretches,
+    and a stretch is the overlap of exactly one token of each side: a link.
+    """
 
-    def learn(self, units: set[str]) -> None:
-        """Align the units that are new."""
-        t = self.tokenizers
-        new = [u for u in units if u not in self.known]
-        stats, linked, begin, pairs = [], [], [], []
-        for unit, (ids_a, ids_b) in zip(new, t.encode(new), strict=True):
-            joined_a, joined_b = b"".join([t.bytes_a[i] for i in ids_a]), b"".join([t.bytes_b[i] for i in ids_b])
-            begin.append(self.linked.size + len(linked))
-            self.known[unit] = self.stats.size + len(stats)
-            if not joined_a == joined_b == unit.encode():
-                self.spoilt[unit] = joined_a, joined_b
-                self.text[unit] = ""
-                stats.append((0, 0, 0, 0))
-                continue
-            links, groups, n = align(ids_a, ids_b, t.bytes_a, t.bytes_b)
-            for link in links:
-                k = self.number.setdefault(link, len(self.number))
-                if k == self.pairs.size + len(pairs):
-                    pairs.append(link)
-                linked.append(k)
-            self.text[unit] = groups
-            stats.append((len(ids_a), len(ids_b), n, len(links)))
-        if new:
-            self.stats.add(np.array(stats, np.int64))
-            self.begin.add(np.array(begin, np.int64))
-            if linked:
-                self.linked.add(np.array(linked, np.int32))
-            if pairs:
-                self.pairs.add(np.array(pairs, np.int64))
-
-    def rows(self, units: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
-
-    def settle(self, units: list[str]) -> list[str]:
-        """Known units of a text: none where the token bytes of a side are not those of the text."""
-        if self.spoilt.keys().isdisjoint(units):
-            return units
-        whole = "".join(units)
-        for side in (0, 1):
-            if b"".join([self.spoilt[u][side] if u in self.spoilt else u.encode() for u in units]) != whole.encode():
-                return []
-        self.learn({whole})  # right as a whole only
-        return [] if whole in self.spoilt else [whole]
-
-
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
-def _aligner(path_a: str, path_b: str) -> Aligner:
-    """The aligner of this Python worker, which keeps what it met in earlier tasks."""
-    if (path_a, path_b) not in _aligners:
-        _aligners[path_a, path_b] = Aligner(path_a, path_b)
-    found = _aligners[path_a, path_b]
-    if len(found.known) > UNITS:
-        found.reset()
-    return found
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
-def _blocks(batch: pa.RecordBatch, aligner: Aligner, chars: int = 4_000_000) -> Iterator[tuple[int, list[list[str]]]]:
-    """First row and units of runs of rows of about ``chars`` characters, all units known."""
-    first, size, split = 0, 0, []
-    texts = batch.column("text")
-    for k in range(len(texts)):
-        text = texts[k].as_py()
-        split.append(aligner.split(text))
-        size += len(text or "")
-        if size > chars or k + 1 == len(texts):
-            aligner.learn(set().union(*split))
-            yield first, [aligner.settle(units) for units in split]
-            first, size, split = k + 1, 0, []
-
-
-def count_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    def __init__(self, a: list[bytes], b: list[bytes], tokenizers: Tokenizers):
+        sides = [np.frombuffer(b"".join(ids), kind).astype(np.int64) for ids, kind in zip((a, b), tokenizers.kinds, strict=True)]
+        self.a, self.b = sides
+        self.tokens = [
+            np.array([len(i) for i in ids], np.int64) // np.dtype(kind).itemsize for ids, kind in zip((a, b), tokenizers.kinds, strict=True)
+        ]
+        ends = [np.cumsum(size[ids]) for size, ids in zip(tokenizers.sizes, sides, strict=True)]
+        total = int(ends[0][-1]) if len(ends[0]) else 0
+        marks = [np.zeros(total + 1, bool) for _ in ends]
+        for mark, end in zip(marks, ends, strict=True):
+            mark[end] = True
+        self.stretch = np.flatnonzero(marks[0] | marks[1])
+        before = [np.cumsum(mark, dtype=np.int32) for mark in marks]
+        self.link_a, self.link_b = (ids[n[self.stretch - 1]] for ids, n in zip(sides, before, strict=True))
+        shared = np.cumsum(marks[0] & marks[1], dtype=np.int32)
+        self.group_a, self.group_b = (shared[end - 1] for end in ends)
+        # Documents without tokens have no bytes, hence the same end as the one before.
+        self.upto = np.concatenate([[0], ends[0]])[np.cumsum(self.tokens[0])]
+        self.links = np.searchsorted(self.stretch, self.upto, "right")
+        self.groups = shared[self.upto] if total else np.zeros(len(a), np.int64)
+
+    def per_document(self, upto: np.ndarray) -> np.ndarray:
+        return np.diff(upto, prepend=0)
+
+    def document_of_links(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.links)), self.per_document(self.links))
+
+    def text(self, digits: np.ndarray, width: np.ndarray) -> list[str]:
+        """Groups of each document as text: decimal ids, ``,`` between those of a side, ``|`` and ``;`` after sides.
+
+        ``digits`` has the ids in ASCII, one a row, ``width`` their lengths.
+        """
+        ids = np.concatenate([self.a, self.b])
+        group = np.concatenate([self.group_a, self.group_b])
+        side = np.repeat(np.array([0, 1], np.int8), [len(self.a), len(self.b)])
+        order = np.argsort(group.astype(np.int64) * 2 + side, kind="stable")
+        ids, group, side = ids[order], group[order], side[order]
+        rows, size = digits[ids], width[ids]
+        after = np.full(len(ids), ord(","), np.uint8)
+        last = np.flatnonzero(np.diff(group * 2 + side, append=-1))
+        after[last] = np.where(side[last] == 0, ord("|"), ord(";"))
+        rows[np.arange(len(ids)), size] = after
+        flat = rows[np.arange(rows.shape[1]) <= size[:, None]].tobytes()
+        ends = np.concatenate([[0], np.cumsum(size + 1)])[np.cumsum(self.tokens[0] + self.tokens[1])].tolist()
+        return [flat[low : max(low, high - 1)].decode() for low, high in zip([0, *ends], ends, strict=False)]
+
+
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of the numbers below ``n``, left-aligned with a byte to spare, and their lengths."""
+    texts = [str(k).encode() for k in range(n)]
+    wide = max(map(len, texts)) + 1
+    return np.frombuffer(b"".join(t.ljust(wide) for t in texts), np.uint8).reshape(n, wide), np.array([len(t) for t in texts], np.int64)
+
+
+def _aligned(batch: pa.RecordBatch, tokenizers: Tokenizers) -> Iterator[tuple[int, Aligned]]:
+    """First row and alignment of runs of rows."""
+    a, b = batch.column("a"), batch.column("b")
+    for low, high in _blocks([2 * n for n in _lengths(a)]):
+        yield low, Aligned(a.slice(low, high - low).to_pylist(), b.slice(low, high - low).to_pylist(), tokenizers)
+
+
+def count_pairs(encoded: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """First pass: ``a, b, n``, pairs of ids linked in ``n`` documents of a task, written; a task may repeat a pair."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(path_a, path_b)
-        counts = np.zeros(0, np.int64)
+        tokenizers = _of_worker(path_a, path_b)
+        base = len(tokenizers.bytes_b)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            found = np.flatnonzero(counts)
-            pairs = aligner.pairs.all()[found]
-            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-            for low in range(0, len(order), 100_000):
-                k = order[low : low + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[k, 0], pairs[k, 1], counts[found[k]])], names=["a", "b", "n"])
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            pairs, place = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+            return pairs, np.bincount(place, np.concatenate([n for _, n in held]), len(pairs)).astype(np.int64)
+
+        def rows(pairs: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for low in range(0, len(pairs), 100_000):
+                p = pairs[low : low + 100_000]
+                columns = [pa.array(p // base), pa.array(p % base), pa.array(n[low : low + 100_000])]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
 
         for batch in batches:
-            for _, split in _blocks(batch, aligner):
-                counts = np.concatenate([counts, np.zeros(aligner.pairs.size - len(counts), np.int64)])
-                begin, linked, stats = aligner.begin.all(), aligner.linked.all(), aligner.stats.all()
-                for units in split:
-                    if not units:
-                        continue
-                    rows = np.unique(aligner.rows(units))
-                    size = stats[rows, 3]
-                    at = np.repeat(begin[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                    counts[np.unique(linked[at])] += 1
-                if len(aligner.known) > UNITS:
-                    yield from flush()
-                    aligner.reset()
-                    counts = np.zeros(0, np.int64)
-        yield from flush()
-
-    return stage(_texts(docs).mapInArrow(count, _COUNTED), "pairs")
+            for _, block in _aligned(batch, tokenizers):
+                in_document = block.document_of_links() * (len(tokenizers.bytes_a) * base) + block.link_a * base + block.link_b
+                pairs = np.unique(in_document) % (len(tokenizers.bytes_a) * base)
+                held.append(np.unique(pairs, return_counts=True))
+                if sum(len(p) for p, _ in held) > _HELD:
+                    held = [merged()]
+                    if len(held[0][0]) > _HELD // 2:
+                        yield from rows(*held.pop())
+        if held:
+            yield from rows(*merged())
+
+    return stage(encoded.mapInArrow(count, _COUNTED), "pairs")
 
 
 # Minimal perfect hash: levels of bits, on each of which the pairs alone at their bit stay.
@@ -428,62 +464,33 @@ def _counts(counted: DataFrame, pairs: DataFrame, low: int, high: int, n: int) -
     return PairCounts(hashed, a, b, counts)
 
 
-class _UnitSums:
-    """Per unit of an aligner: links with the highest count of their A id, and the sum of all counts."""
-
-    def __init__(self, aligner: Aligner, table: PairCounts):
-        self.aligner, self.table = aligner, table
-        self.sums, self.count, self.best = _Growing(np.int64, 2), _Growing(np.int64), _Growing(np.int64)
-
-    def refresh(self) -> np.ndarray:
-        """The sums of all units, those met since the last call added."""
-        aligner, done = self.aligner, self.sums.size
-        fresh = aligner.pairs.all()[self.count.size :]
-        if len(fresh):
-            count, best = self.table.look_up(fresh[:, 0], fresh[:, 1])
-            self.count.add(count)
-            self.best.add(best)
-        if aligner.stats.size > done:
-            begin, size = aligner.begin.all()[done:], aligner.stats.all()[done:, 3]
-            linked = aligner.linked.all()[begin[0] :]
-            upto = np.zeros((len(linked) + 1, 2), np.int64)
-            np.cumsum(self.best.all()[linked], out=upto[1:, 0])
-            np.cumsum(self.count.all()[linked], out=upto[1:, 1])
-            self.sums.add(upto[begin - begin[0] + size] - upto[begin - begin[0]])
-        return self.sums.all()
-
-
 def _measure(rows: DataFrame, path_a: str, path_b: str, counts: PairCounts, first: bool, last: bool) -> DataFrame:
-    """Second pass over rows ``doc_id, text`` and, after the first slice, ``n_best, count_sum`` so far."""
+    """Second pass over encoded documents, which after the first slice have ``n_best, count_sum`` so far."""
     sent = rows.sparkSession.sparkContext.broadcast(counts)
-    schema = RESULT if last else "doc_id long, text string, n_best long, count_sum long"
+    schema = RESULT if last else f"{_ENCODED}, n_best long, count_sum long"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(path_a, path_b)
-        unit_sums = _UnitSums(aligner, sent.value)
+        tokenizers = _of_worker(path_a, path_b)
+        base = len(tokenizers.bytes_b)
+        digits, width = _digits(max(len(tokenizers.bytes_a), base))
         for batch in batches:
-            for low, split in _blocks(batch, aligner):
-                sums, stats = unit_sums.refresh(), aligner.stats.all()
-                found, text = np.zeros((len(split), 6), np.int64), []
-                for k, units in enumerate(split):
-                    at = aligner.rows(units)
-                    found[k, :4], found[k, 4:] = stats[at].sum(axis=0), sums[at].sum(axis=0)
-                    if last:
-                        text.append(";".join(map(aligner.text.__getitem__, units)))
-                part = batch.slice(low, len(split))
+            for low, block in _aligned(batch, tokenizers):
+                part = batch.slice(low, len(block.links))
+                pairs, place = np.unique(block.link_a * base + block.link_b, return_inverse=True)
+                count, best = sent.value.look_up(pairs // base, pairs % base)
+                upto = [np.concatenate([[0], np.cumsum(found[place], dtype=np.int64)])[block.links] for found in (best, count)]
+                sums = [block.per_document(u) for u in upto]
                 if not first:
-                    found[:, 4] += part.column("n_best").to_numpy(zero_copy_only=False)
-                    found[:, 5] += part.column("count_sum").to_numpy(zero_copy_only=False)
+                    sums = [s + part.column(c).to_numpy(zero_copy_only=False) for s, c in zip(sums, ("n_best", "count_sum"), strict=True)]
                 if last:
-                    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
-                    columns = [part.column("doc_id"), *[pa.array(found[:, c]) for c in range(6)], pa.array(text, pa.string())]
+                    numbers = [*block.tokens, block.per_document(block.groups), block.per_document(block.links), *sums]
+                    names = [c.split()[0] for c in RESULT.split(", ")]
+                    text = pa.array(block.text(digits, width), pa.string())
+                    columns = [part.column("doc_id"), *[pa.array(n.astype(np.int64)) for n in numbers], text]
                 else:
-                    names = ["doc_id", "text", "n_best", "count_sum"]
-                    columns = [part.column("doc_id"), part.column("text"), pa.array(found[:, 4]), pa.array(found[:, 5])]
+                    names = ["doc_id", "a", "b", "n_best", "count_sum"]
+                    columns = [*[part.column(c) for c in names[:3]], *map(pa.array, sums)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                if len(aligner.known) > UNITS:
-                    aligner.reset()
-                    unit_sums = _UnitSums(aligner, sent.value)
 
     return rows.mapInArrow(measure, schema)
 
@@ -505,13 +512,13 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, pairs_at_once: in
 
     Counts of ``pairs_at_once`` pairs are broadcast at a time, 68 MB at the
     default.  Where the corpus has more, ranges of A ids follow each other, each
-    with a pass of its own over the written documents.  The number of distinct
+    with a pass of its own over the written ids.  The number of distinct
     pairs is bounded by the vocabularies, not by the documents.
     """
-    counted = count_pairs(docs, path_a, path_b)
+    rows = encode(docs, path_a, path_b)
+    counted = count_pairs(rows, path_a, path_b)
     pairs = stage(counted.select("a", "b").distinct(), "distinct-pairs")
     slices = _slices(pairs, pairs_at_once) or [(0, 0, 0)]
-    rows = _texts(docs)
     for k, (low, high, n) in enumerate(slices):
         if n:
             counts = _counts(counted, pairs, low, high, n)

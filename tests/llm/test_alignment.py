@@ -74,17 +74,26 @@ def test_empty_table(spark):
     assert alignment.align_documents(none, *PATHS).count() == 0
 
 
-def test_forgetting_units_changes_nothing(rows):
-    import pyarrow as pa
-
+def test_forgetting_units_changes_nothing(rows, monkeypatch):
     texts = [t for _, t in rows]
-    batch = pa.RecordBatch.from_pydict({"text": texts})
-    aligner = alignment.Aligner(*PATHS)
-    blocks = [units for _, split in alignment._blocks(batch, aligner, chars=500) for units in split]
-    whole = [[aligner.text[u] for u in units] for units in blocks]
-    aligner.reset()
-    assert [[aligner.text[u] for u in units] for _, split in alignment._blocks(batch, aligner) for units in split] == whole
-    assert len(blocks) == len(texts)
+    tokenizers = alignment.Tokenizers(*PATHS)
+    assert tokenizers.splits
+    whole = tokenizers.encode(texts)
+    monkeypatch.setattr(alignment, "UNITS", 0)
+    one_by_one = [tokenizers.encode([t]) for t in texts]
+    assert [a for (a,), _ in one_by_one] == whole[0] and [b for _, (b,) in one_by_one] == whole[1]
+    assert tokenizers.ranked
+    tokenizers.splits, tokenizers.ranked = False, None
+    assert tokenizers.encode(texts) == whole
+
+
+def test_ranks_are_the_merges():
+    import duckdb
+
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text <> ''").fetchall()] + [t for t in ODD if t]
+    tokenizers = alignment.Tokenizers(*PATHS)
+    fast, tokenizers.ranked = [tokenizers._ids_a(t) for t in texts], None
+    assert fast == [tokenizers._ids_a(t) for t in texts]
 
 
 def test_perfect_hash():
