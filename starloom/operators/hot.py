@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.sizes import known_rows
 from starloom.sources.staging import stage
 
 HOT_ROWS = 1_000_000  # rows of one key that one task may still take
@@ -24,14 +25,19 @@ def find_hot(df: DataFrame, keys: list[str], at: str, hot_rows: int = HOT_ROWS)
     """The keys with more than ``hot_rows`` rows and ``_cuts``, times that cut their rows evenly; ``None`` if there are none.
 
     All of them, as a written table that stays on the executors.  One aggregate
-    over the key columns of ``df``, and a second one over the rows of hot keys;
-    stage ``df`` first if it is costly.  Rows of one instant are never cut apart.
+    over the key columns of ``df``, and, where a key is hot, two more over its rows;
+    stage ``df`` first if it is costly.  A frame written by ``stage_history`` with no
+    more rows than that in all is not searched.  Rows of one instant are never
+    cut apart.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = stage(counts, "hot")
-    most = found.agg(F.max("_rows")).first()[0]
-    if most is None:
+    rows = known_rows(df)
+    if rows is not None and rows <= hot_rows:
         return None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    most = counts.agg(F.max("_rows")).first()[0]
+    if most is None or most <= hot_rows:
+        return None
+    found = stage(counts.where(F.col("_rows") > hot_rows), "hot")
     slices = math.ceil(2 * most / max(hot_rows, 1))
     at_rows = df.select(*keys, F.col(at).alias("_at"))
     steps = [n / slices for n in range(1, slices)] or [0.5]

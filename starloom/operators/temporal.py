@@ -12,6 +12,7 @@ from starloom.constants import VALID_TO
 from starloom.functions import as_names, literal_like, pairs, row_bytes
 from starloom.operators.dedup import dedup_by
 from starloom.operators.hot import HOT_ROWS, find_hot, with_slices
+from starloom.operators.sizes import bounded, known_history, known_rows
 from starloom.sources.staging import stage
 
 BROADCAST_ROWS = 1_000_000  # versions that may be sent to every executor
@@ -67,7 +68,8 @@ def version_timeline(
     id should differ in ``at``; dedup first, or equal times give empty intervals.
     """
     end = F.when(F.col("_next").isNotNull(), F.col("_next.at")).otherwise(literal_like(events, at, default_end))
-    return with_next(events, id_col, at, hot_rows).withColumn(valid_to, end).drop("_next")
+    timeline = with_next(events, id_col, at, hot_rows).withColumn(valid_to, end).drop("_next")
+    return bounded(timeline, known_rows(events))
 
 
 def close_out(
@@ -113,10 +115,17 @@ def _contains(at: Column, start: Column, end: Column, closed: str) -> Column:
 
 
 class Lookup(NamedTuple):
-    """How a history is best looked up, and whether versions of an id overlap in it."""
+    """How a history is best looked up, whether versions of an id overlap in it, and whether no id has very many."""
 
     method: str
     disjoint: bool
+    shallow: bool = False
+
+
+def _lookup(rows, size, most, disjoint: bool) -> Lookup:
+    small = (rows or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    shallow = (most or 0) <= SCAN_VERSIONS
+    return Lookup("broadcast" if small and shallow else "merge", disjoint, shallow)
 
 
 def lookup_methods(
@@ -124,14 +133,19 @@ def lookup_methods(
 ) -> dict[str, Lookup]:
     """``broadcast`` for each history that is small and shallow, else ``merge``.
 
-    A history comes with its key columns and the columns taken from it.  One
-    job counts rows, bytes and the versions per id of all histories, so the
+    A history comes with its key columns and the columns taken from it.  What
+    ``stage_history`` counted when it wrote a history is taken from there.  For all
+    others one job counts rows, bytes and the versions per id, so the
     choice rests on measured sizes and not on estimates.  Versions of an id
     overlap somewhere if one that is not empty ends after the next one starts.
     """
     start, end = valid
-    measured = None
+    measured, found = None, {}
     for name, (history, keys, take) in histories.items():
+        known = known_history(history, keys, valid)
+        if known is not None and (known.bytes <= BROADCAST_BYTES or known.rows > BROADCAST_ROWS):
+            found[name] = _lookup(known.rows, known.bytes, known.most, known.disjoint)
+            continue
         ids = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
         narrow = history.select(
             *ids, row_bytes(history, [*keys, *take]).alias("_size"), F.col(start).alias("_from"), F.col(end).alias("_to")
@@ -146,11 +160,9 @@ def lookup_methods(
         )
         row = versions.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n"), F.max("_meets")).select(F.lit(name), "*")
         measured = row if measured is None else measured.unionAll(row)
-    limits = (BROADCAST_ROWS, BROADCAST_BYTES, SCAN_VERSIONS)
-    return {
-        name: Lookup("broadcast" if all((v or 0) <= m for v, m in zip(sizes, limits)) else "merge", not meets)
-        for name, *sizes, meets in measured.collect()  # one row per history
-    }
+    for name, *sizes, meets in measured.collect() if measured is not None else []:  # one row per history
+        found[name] = _lookup(*sizes, not meets)
+    return found
 
 
 def lookup_method(history: DataFrame, keys: list[str], take: list[str], valid=("ValidFrom", "ValidTo")) -> Lookup:
@@ -206,7 +218,7 @@ def as_of_join(
     if matches not in ("last", "all"):
         raise ValueError("matches must be 'last' or 'all'")
     if isinstance(method, Lookup):
-        method, disjoint = method
+        method, disjoint, _ = method
     if method == "auto" or disjoint is None:
         measured = lookup_method(history, [h for _, h in keys], list(take.values()), (valid_from, valid_to))
         method = measured.method if method == "auto" else method
@@ -500,7 +512,8 @@ def overlap_join(
     (day, week, month, year) covers: an interval or a start is copied a few times
     per level, so copies grow with the logarithm of the time spanned, and an id
     with very many versions compares those that meet or share a bin.  ``join``
-    leaves it to Spark.
+    leaves it to Spark: one equi-join, which ``auto`` takes for a large history
+    of which no id has more than ``SCAN_VERSIONS`` versions.
     """
     keys = pairs(on)
     r_from, r_to = right_valid or valid
@@ -513,7 +526,7 @@ def overlap_join(
     if method == "auto":
         method = lookup_method(right, [r for _, r in keys], list(take.values()), (r_from, r_to))
     if isinstance(method, Lookup):
-        method = method.method
+        method = "join" if method.method == "merge" and method.shallow else method.method
     if method == "broadcast":
         side = F.broadcast(side)
     bins = bin_unit if method == "merge" else None

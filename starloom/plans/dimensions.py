@@ -2,7 +2,8 @@
 
 All builders take the raw histories, then ``to`` (load time up to which rows
 count) and ``offset`` (first key; 0 starts a new dimension with its unknown
-member).
+member, ``None`` leaves the rows without keys).  ``only``, a frame whose first
+column has natural ids, restricts a build to the versions of these members.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from starloom.functions import literal_like, wkt_point
 from starloom.operators.dedup import dedup_by, keep_max_rows
 from starloom.operators.incremental import as_of_load
 from starloom.operators.keys import dimension_keys
+from starloom.operators.sizes import bounded, known_rows, stage_counted, stage_history
 from starloom.operators.temporal import (
     as_of_join,
     close_out,
@@ -30,8 +32,16 @@ def _lineage(table: str):
     return F.lit(LINEAGE[table]).alias("LineageKey")
 
 
-def _keyed(df: DataFrame, natural_id: str, key: str, offset: int, defaults: dict, also=()) -> DataFrame:
+def _members(df: DataFrame, natural_id: str, only: DataFrame | None) -> DataFrame:
+    if only is None:
+        return df
+    return df.join(only.select(F.col(only.columns[0]).alias(natural_id)), natural_id, "left_semi").select(*df.columns)
+
+
+def _keyed(df: DataFrame, natural_id: str, key: str, offset: int | None, defaults: dict, also=()) -> DataFrame:
     """Number versions by start, then natural id, end and the columns in ``also``."""
+    if offset is None:
+        return df
     defaults = {natural_id: 0, "LineageKey": 0, **defaults}
     order = ["ValidFrom", natural_id, "ValidTo", *also]
     return dimension_keys(df, order, key, offset, defaults, VALID_FROM, VALID_TO)
@@ -46,13 +56,14 @@ def city(
     countries: DataFrame,
     state_provinces: DataFrame,
     to=None,
-    offset: int = 0,
+    offset: int | None = 0,
     strict_reference: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """A version wherever city, state and country versions coincide, for as long as they do."""
     states = as_of_load(state_provinces, to).withColumn("_state_from", F.col("ValidFrom"))
     nations = as_of_load(countries, to).withColumn("_country_from", F.col("ValidFrom"))
-    staging = as_of_load(cities, to).withColumn("_city_from", F.col("ValidFrom"))
+    staging = as_of_load(_members(cities, "CityID", only), to).withColumn("_city_from", F.col("ValidFrom"))
     methods = lookup_methods(
         {
             "state": (states, ["StateProvinceID"], ["StateProvinceName", "SalesTerritory"]),
@@ -105,7 +116,7 @@ def city(
         longitude.alias("Longitude"),
         latitude.alias("Latitude"),
     )
-    staging = close_out(stage(staging, "city-versions", True), "WWICityID", to, strict_reference=strict_reference)
+    staging = close_out(stage_counted(staging, "city-versions", True), "WWICityID", to, strict_reference=strict_reference)
     defaults = _unknown(
         "City", "StateProvince", "Country", "Continent", "SalesTerritory", "Region", "Subregion"
     ) | {"LatestRecordedPopulation": 0, "Longitude": 0.0, "Latitude": 0.0}
@@ -159,9 +170,10 @@ def customer(
     buying_groups: DataFrame,
     people: DataFrame,
     to=None,
-    offset: int = 0,
+    offset: int | None = 0,
     buying_group_how: str = "inner",
     strict_reference: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Customer versions started by changes of the customer, its category, its group or its contact.
 
@@ -173,6 +185,10 @@ def customer(
     (equal starts then leave empty versions) and closes newest versions as
     ``close_out`` describes.
     """
+    # Written once, narrow: the feeds and the look-up of bill-to customers read it five times.
+    used = ["CustomerID", "CustomerName", "DeliveryPostalCode", "BillToCustomerID", "CustomerCategoryID", "BuyingGroupID"]
+    used += ["PrimaryContactPersonID", "ValidFrom", "ValidTo", "LoadDatetime"]
+    customers = stage_history(customers.select(*used), "customers", "CustomerID", keep_not_null=True)
     roles = [
         (None, "_bill_to", customers, "CustomerID", "CustomerName", "BillToCustomer"),
         (1, "_category", customer_categories, "CustomerCategoryID", "CustomerCategoryName", "Category"),
@@ -180,7 +196,7 @@ def customer(
         (3, "_contact", people, "PersonID", "FullName", "PrimaryContact"),
     ]
     methods = lookup_methods({ref: (history, [member_id], [name]) for _, ref, history, member_id, name, _ in roles})
-    staging = _customer_feeds(customers, customer_categories, buying_groups, people, methods)
+    staging = _customer_feeds(_members(customers, "CustomerID", only), customer_categories, buying_groups, people, methods)
     complete = F.lit(True)
     for feed, ref, history, member_id, name, out in roles:
         staging = as_of_join(
@@ -208,10 +224,11 @@ def customer(
 
     # Written once: the windows below look for hot customers before they run.
     if strict_reference:
-        staging = single(ended(stage(staging, "customer-versions")))
+        versions = ended(stage_counted(staging, "customer-versions"))
+        staging = bounded(single(versions), known_rows(versions))
     else:
-        staging = ended(stage(single(staging), "customer-versions"))
-    staging = as_of_load(staging, to)
+        staging = ended(stage_counted(single(staging), "customer-versions"))
+    staging = bounded(as_of_load(staging, to), known_rows(staging))
     staging = close_out(staging, "WWICustomerID", to, newest_to="_raw_to", strict_reference=strict_reference)
     staging = staging.select(
         "WWICustomerID",
@@ -229,9 +246,9 @@ def customer(
     return _keyed(staging, "WWICustomerID", "CustomerKey", offset, defaults)
 
 
-def employee(people: DataFrame, to=None, offset: int = 0) -> DataFrame:
+def employee(people: DataFrame, to=None, offset: int | None = 0, only: DataFrame | None = None) -> DataFrame:
     """Versions of the people that are employees; no unknown member without any employee."""
-    staff = as_of_load(people, to).where("IsEmployee AND ValidFrom <> ValidTo")
+    staff = as_of_load(_members(people, "PersonID", only), to).where("IsEmployee AND ValidFrom <> ValidTo")
     staff = dedup_by(staff, ["PersonID", "ValidFrom"], [F.col("ValidTo").desc()])
     open_end = literal_like(people, "ValidTo", VALID_TO)
     ends = open_end if to is None else F.when(
@@ -249,7 +266,7 @@ def employee(people: DataFrame, to=None, offset: int = 0) -> DataFrame:
     )
     defaults = _unknown("Employee", "PreferredName") | {"IsSalesperson": False}
     keyed = _keyed(staff, "WWIEmployeeID", "EmployeeKey", offset, defaults)
-    if offset:
+    if offset is None or offset:
         return keyed
     known = keyed.where("EmployeeKey > 0")
     return known if known.isEmpty() else keyed
@@ -274,16 +291,17 @@ def stock_item(
     stock_item_stock_groups: DataFrame,
     package_types: DataFrame,
     to=None,
-    offset: int = 0,
+    offset: int | None = 0,
     end_of_time=STOCK_ITEM_VALID_TO,
     strict_reference: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Item versions with colour and package names as of their start.
 
     No group attribute is part of the dimension.  ``strict_reference`` still
     joins the item's last groups, which repeats a version per group in force.
     """
-    staging = stock_items
+    staging = _members(stock_items, "StockItemID", only)
     methods = lookup_methods(
         {
             "package": (package_types, ["PackageTypeID"], ["PackageTypeName"]),
@@ -332,7 +350,7 @@ def stock_item(
         "Photo",
         "ValidFrom",
     )
-    staging = stage(staging, "stock-item-versions", True)
+    staging = stage_counted(staging, "stock-item-versions", True)
     staging = version_timeline(staging, "WWIStockItemID", "ValidFrom", default_end=end_of_time)
     staging = staging.withColumn("LineageKey", _lineage("stock_item"))
     defaults = _unknown("StockItem", "Color", "SellingPackage", "BuyingPackage", "Brand", "Size", "Barcode") | {
@@ -348,7 +366,12 @@ def stock_item(
 
 
 def supplier(
-    suppliers: DataFrame, supplier_categories: DataFrame, people: DataFrame, to=None, offset: int = 0
+    suppliers: DataFrame,
+    supplier_categories: DataFrame,
+    people: DataFrame,
+    to=None,
+    offset: int | None = 0,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Supplier versions with every category and contact version they overlap."""
     categories, contacts = as_of_load(supplier_categories, to), as_of_load(people, to)
@@ -359,7 +382,7 @@ def supplier(
         }
     )
     staging = overlap_join(
-        as_of_load(suppliers, to),
+        as_of_load(_members(suppliers, "SupplierID", only), to),
         categories,
         "SupplierCategoryID",
         {"Category": "SupplierCategoryName"},
@@ -389,8 +412,10 @@ def supplier(
     return _keyed(staging, "WWISupplierID", "SupplierKey", offset, defaults, ["Category", "PrimaryContact"])
 
 
-def payment_method(payment_methods: DataFrame, to=None, offset: int = 0) -> DataFrame:
-    staging = as_of_load(payment_methods, to).select(
+def payment_method(
+    payment_methods: DataFrame, to=None, offset: int | None = 0, only: DataFrame | None = None
+) -> DataFrame:
+    staging = as_of_load(_members(payment_methods, "PaymentMethodID", only), to).select(
         F.col("PaymentMethodID").alias("WWIPaymentMethodID"),
         F.col("PaymentMethodName").alias("PaymentMethod"),
         "ValidFrom",
@@ -400,8 +425,10 @@ def payment_method(payment_methods: DataFrame, to=None, offset: int = 0) -> Data
     return _keyed(staging, "WWIPaymentMethodID", "PaymentMethodKey", offset, _unknown("PaymentMethod"))
 
 
-def transaction_type(transaction_types: DataFrame, to=None, offset: int = 0) -> DataFrame:
-    staging = as_of_load(transaction_types, to)
+def transaction_type(
+    transaction_types: DataFrame, to=None, offset: int | None = 0, only: DataFrame | None = None
+) -> DataFrame:
+    staging = as_of_load(_members(transaction_types, "TransactionTypeID", only), to)
     staging = dedup_by(staging, ["TransactionTypeID", "ValidFrom"], [F.col("ValidTo").desc()]).select(
         F.col("TransactionTypeID").alias("WWITransactionTypeID"),
         F.col("TransactionTypeName").alias("TransactionType"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.constants import DIMENSIONS, FACTS, TARGETS
 from starloom.operators.incremental import key_offset, since_date
+from starloom.operators.sizes import stage_history
 from starloom.plans import dimensions, facts
 from starloom.plans.calendar import calendar
 from starloom.sources.sinks import save
@@ -27,6 +28,16 @@ DIMENSION_INPUTS = {
     "supplier": ["purchasing_suppliers", "purchasing_suppliercategories", "application_people"],
     "payment_method": ["application_paymentmethods"],
 }
+# The natural id of each dimension.
+MEMBERS = {
+    "city": "WWICityID",
+    "employee": "WWIEmployeeID",
+    "customer": "WWICustomerID",
+    "stock_item": "WWIStockItemID",
+    "transaction_type": "WWITransactionTypeID",
+    "supplier": "WWISupplierID",
+    "payment_method": "WWIPaymentMethodID",
+}
 FACT_INPUTS = {
     "sale": (
         ["sales_invoices", "sales_invoicelines", "sales_customers", "warehouse_stockitems", "warehouse_packagetypes"],
@@ -44,12 +55,13 @@ def build_dimensions(sources: dict[str, DataFrame], to=None, names=DIMENSIONS) -
     """The dimensions, each written once.
 
     The facts read the written tables: a dimension is not computed again per
-    lookup, and its size is known when a join is planned.
+    lookup, and its sizes are known from the write when a join is planned.
+    Columns that are never null are declared so again.
     """
     built = {}
     for name in names:
         table = getattr(dimensions, name)(*[sources[s] for s in DIMENSION_INPUTS[name]], to=to)
-        built[name] = stage(table, f"dimension-{name}")
+        built[name] = stage_history(table, f"dimension-{name}", MEMBERS[name], keep_not_null=True)
     return built
 
 

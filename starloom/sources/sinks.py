@@ -60,7 +60,8 @@ def append(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").saveAsTable(name)
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str | None:
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    """A property of a catalog table, if it has it."""
     for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
         if row["key"] == key:
             return row["value"]
@@ -87,7 +88,7 @@ def table_state(spark: SparkSession, name: str) -> tuple[str | None, str | None]
     if not spark.catalog.tableExists(name):
         return None
     place = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location"]
-    return (place[-1] if place else None), _property(spark, name, _VERSION)
+    return (place[-1] if place else None), table_property(spark, name, _VERSION)
 
 
 def _settled_state(spark: SparkSession, name: str) -> tuple[str | None, str | None] | None:
@@ -107,7 +108,7 @@ def _require(spark: SparkSession, name: str, seen) -> None:
 
 
 def replace_snapshot(
-    spark: SparkSession, name: str, df: DataFrame, root: str, batch: str | None = None, writer: str = "", seen=_ANY
+    spark: SparkSession, name: str, df: DataFrame, root: str, seen=_ANY, mark: dict | None = None
 ) -> None:
     """Make ``df`` the contents of the parquet table ``name``, which ``df`` may read.
 
@@ -116,7 +117,8 @@ def replace_snapshot(
     force and at most repeats an upsert that changes nothing.  Old folders stay
     for running readers, until their owner deletes them.  With ``seen`` (a
     ``table_state``) the table is only repointed if it is still in that state,
-    else ``ConcurrentMerge`` is raised and nothing changes.
+    else ``ConcurrentMerge`` is raised and nothing changes.  ``mark`` has table
+    properties to set then.
     """
     path = f"{root.rstrip('/')}/{name}/snapshot-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -127,8 +129,8 @@ def replace_snapshot(
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         else:
             spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
-        if batch is not None:
-            _set_properties(spark, name, **{f"{_BATCH}.{writer}": batch})
+        if mark:
+            _set_properties(spark, name, **mark)
         spark.catalog.refreshTable(name)
 
 
@@ -144,6 +146,8 @@ def merge_into(
     native: bool = False,
     buckets: int | None = None,
     evolve: bool = False,
+    replaced: DataFrame | None = None,
+    mark: dict | None = None,
     **options,
 ) -> None:
     """Upsert ``source`` into the table ``name``, created if missing.
@@ -167,6 +171,11 @@ def merge_into(
 
     ``evolve`` first gives the table the columns and the wider types of the
     source (see ``evolve_table``); columns that the source lacks keep their values.
+
+    ``replaced``, a frame of keys, makes it a replacement in place of an upsert: rows
+    of the table with one of these keys go, and all rows of the source come, of
+    which several may share a key.  ``mark`` has table properties to set
+    with the new contents.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if native and options.get("guard") is not None:
@@ -178,7 +187,9 @@ def merge_into(
     with table_lock(spark, name):
         for left in reversed(range(MERGE_ATTEMPTS)):
             try:
-                _merge_once(spark, name, source, keys, update_cols, root, batch, writer, buckets, evolve, options)
+                _merge_once(
+                    spark, name, source, keys, update_cols, root, batch, writer, buckets, evolve, replaced, mark or {}, options
+                )
                 return
             except ConcurrentMerge:
                 if not left:
@@ -199,25 +210,36 @@ def _native_merge(name: str, source: DataFrame, keys: list[str], update_cols) ->
     )
 
 
-def _merge_once(spark, name, source, keys, update_cols, root, batch, writer, buckets, evolve, options) -> None:
+def _replace_keys(old: DataFrame, source: DataFrame, keys: list[str], replaced: DataFrame) -> DataFrame:
+    gone = replaced.select(*[F.col(k).cast(old.schema[k].dataType).alias(k) for k in keys]).distinct()
+    return old.join(gone, keys, "left_anti").select(*old.columns).unionByName(source)
+
+
+def _merge_once(
+    spark, name, source, keys, update_cols, root, batch, writer, buckets, evolve, replaced, mark, options
+) -> None:
     exists = spark.catalog.tableExists(name)
     if evolve and exists:
         evolve_table(spark, name, source.schema, root)
         source, update_cols = _completed(read_table(spark, name).schema, source, keys, update_cols)
     seen = _settled_state(spark, name)
-    kept = int(_property(spark, name, _BUCKETS) or 0) if exists else buckets
+    kept = int(table_property(spark, name, _BUCKETS) or 0) if exists else buckets
     if exists and buckets is not None and buckets != kept:
         raise ValueError(f"{name} is kept in {kept or 'no'} buckets")
-    if exists and batch is not None and _property(spark, name, f"{_BATCH}.{writer}") == str(batch):
+    if exists and batch is not None and table_property(spark, name, f"{_BATCH}.{writer}") == str(batch):
         return
+    if batch is not None:
+        mark = {**mark, f"{_BATCH}.{writer}": batch}
     if kept:
-        mark = {f"{_BATCH}.{writer}": batch} if batch is not None else {}
-        merge_buckets(spark, name, source, keys, kept, root, update_cols, seen=seen, mark=mark, **options)
-    elif not exists:
-        replace_snapshot(spark, name, source, root, batch, writer, seen=seen)
+        merge_buckets(spark, name, source, keys, kept, root, update_cols, seen=seen, mark=mark, replaced=replaced, **options)
+        return
+    if not exists:
+        merged = source
+    elif replaced is not None:
+        merged = _replace_keys(read_table(spark, name), source, keys, replaced)
     else:
         merged = merge_upsert(read_table(spark, name), source, keys, update_cols, **options)
-        replace_snapshot(spark, name, merged, root, batch, writer, seen=seen)
+    replace_snapshot(spark, name, merged, root, seen=seen, mark=mark)
 
 
 def merge_buckets(
@@ -230,6 +252,7 @@ def merge_buckets(
     update_cols=None,
     seen=_ANY,
     mark: dict | None = None,
+    replaced: DataFrame | None = None,
     **options,
 ) -> None:
     """Upsert into a table partitioned by a hash of its keys; other partitions are not read or written.
@@ -245,6 +268,7 @@ def merge_buckets(
     ``seen`` is the ``table_state`` the merge starts from: if another one is found
     before the first partition is repointed, ``ConcurrentMerge`` is raised and
     nothing changes.  ``mark`` has table properties to set with the new version.
+    ``replaced`` is that of ``merge_into``; its buckets are touched as well.
     """
     exists = spark.catalog.tableExists(name)
     table = spark.read.table(name) if exists else source.withColumn(BUCKET, F.lit(0))
@@ -254,19 +278,26 @@ def merge_buckets(
     known: set[int] = set()
     keyed = source.where(whole)
     if exists:
-        hashed = _property(spark, name, _KEYS)
+        hashed = table_property(spark, name, _KEYS)
         if hashed is not None and json.loads(hashed) != keys:
             raise ValueError(f"{name} is kept in buckets by {hashed}")
         spark.catalog.refreshTable(name)
         known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-        touched = [r[0] for r in keyed.select(number).distinct().collect()]  # at most ``buckets`` numbers
+        rows = keyed.select(*keys)
+        if replaced is not None:
+            rows = rows.unionByName(replaced.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in keys]).where(whole))
+        touched = [r[0] for r in rows.select(number).distinct().collect()]  # at most ``buckets`` numbers
         old = spark.read.table(name).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        keyed = merge_upsert(old, keyed, keys, update_cols, **options)
+        if replaced is not None:
+            keyed = _replace_keys(old, keyed, keys, replaced)
+        else:
+            keyed = merge_upsert(old, keyed, keys, update_cols, **options)
     keyless = source.where(~whole).withColumn(BUCKET, F.lit(min(known | {0}) - 1))
     rows = keyed.withColumn(BUCKET, number).unionByName(keyless)
     path = f"{root.rstrip('/')}/{name}/buckets-{uuid.uuid4().hex}"
     rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
     written = [r[0] for r in spark.read.schema(rows.schema).parquet(path).select(BUCKET).distinct().collect()]
+    emptied = known.intersection(touched if exists else []).difference(written)  # all their rows were replaced by none
     with table_lock(spark, name):
         if seen is not _ANY:
             _require(spark, name, seen)
@@ -275,6 +306,8 @@ def merge_buckets(
         version = uuid.uuid4().hex
         _set_properties(spark, name, **{_VERSION: version + _OPEN})
         _place_buckets(spark, name, path, written, known)
+        for k in emptied:
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET}={k})")
         _set_properties(spark, name, **{_VERSION: version, **(mark or {})})
         spark.catalog.refreshTable(name)
 

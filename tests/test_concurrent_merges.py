@@ -113,7 +113,7 @@ def test_new_columns_and_wider_types(spark, tmp_path, name, buckets):
     # the marks of writers and the buckets are still there
     sinks.merge_into(spark, name, rows(spark, (7, "not again")), "id", batch="2", evolve=True, **options)
     assert len(got(spark, name)) == 4
-    assert sinks._property(spark, name, "starloom.buckets") == (str(buckets) if buckets else None)
+    assert sinks.table_property(spark, name, "starloom.buckets") == (str(buckets) if buckets else None)
     sinks.merge_into(spark, name, rows(spark, (7, "narrow")), "id", batch="3", evolve=True, **options)
     assert (7, "narrow", None) in got(spark, name)
 
