@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import as_names
+from starloom.operators.hot import HOT_ROWS, attach_per_key
 
 
 def _column(c) -> Column:
@@ -33,14 +34,14 @@ def latest_per_key(df: DataFrame, keys, newest_by) -> DataFrame:
     return dedup_by(df, keys, [F.col(c).desc_nulls_last() for c in as_names(newest_by)])
 
 
-def keep_max_rows(df: DataFrame, keys, column: str) -> DataFrame:
+def keep_max_rows(df: DataFrame, keys, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows that hold the largest ``column`` of their group.
 
-    The maximum is aggregated first (map-side), then joined back, so a large
-    group is never sorted in one task.
+    The maximum is aggregated first (map-side), then attached to the rows, so a
+    large group is neither sorted nor shuffled into one task.
     """
     keys = as_names(keys)
-    best = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(F.max(column).alias("_best"))
-    same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
-    joined = df.join(best, [*same, F.col(column) == F.col("_best")], "inner")
-    return joined.select(*df.columns)
+    groups = [F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]
+    best = df.groupBy(*groups).agg(F.max(column).alias("_best"), F.count(F.lit(1)).alias("_rows"))
+    joined = attach_per_key(df, best, [(k, f"_g{i}") for i, k in enumerate(keys)], "_rows", "inner", hot_rows)
+    return joined.where(F.col(column) == F.col("_best")).select(*df.columns)

@@ -15,10 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizes import known_rows
+from starloom.operators.sizes import known_rows, stage_counted
 from starloom.sources.staging import stage
 
 HOT_ROWS = 1_000_000  # rows of one key that one task may still take
+ATTACH_KEYS = 500_000  # rows of a table with a row per key that may be sent to every executor
 
 
 def find_hot(df: DataFrame, keys: list[str], at: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -71,3 +72,27 @@ def with_slices(df: DataFrame, hot: DataFrame, keys: list[str], at: str) -> Data
     number = F.when(F.col(at).isNull(), -1).otherwise(_cuts_up_to(F.col("_cuts"), F.col(at)))
     sliced = _named(df, hot, keys, "left").withColumn("_slice", F.when(F.col("_cuts").isNotNull(), number))
     return sliced.drop("_cuts", *[f"_hot_{k}" for k in keys])
+
+
+def attach_per_key(df: DataFrame, per_key: DataFrame, on: list[tuple[str, str]], count: str, how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join ``per_key``, one row per key, to the many rows of ``df``; missing keys match.
+
+    ``on`` pairs key columns of ``df`` with those of ``per_key``, whose column
+    ``count`` says how many rows of ``df`` a key has and is left out of the result.  A ``per_key`` counted as small while it is
+    written is sent around, so no row of ``df`` moves.  Of a larger one only the
+    keys above ``hot_rows`` rows are, which are fewer than the rows of ``df`` by that
+    factor; the rows of all others are shuffled by key.  ``how`` is ``left`` or ``inner``.
+    """
+    per_key = stage_counted(per_key, "per-key")
+    rows = known_rows(per_key)
+
+    def join(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(keys, reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in on]), how)
+
+    if rows is not None and rows <= ATTACH_KEYS:
+        return join(df, F.broadcast(per_key.drop(count)), how)
+    frequent = F.col(count) > hot_rows
+    hot = F.broadcast(per_key.where(frequent).drop(count))
+    names = [b for _, b in on]
+    cold = join(join(df, hot.select(*names), "left_anti"), per_key.where(~frequent).drop(count), how)
+    return join(df, hot, "inner").unionByName(cold)

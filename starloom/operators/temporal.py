@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starloom.constants import VALID_TO
 from starloom.functions import as_names, literal_like, pairs, row_bytes
 from starloom.operators.dedup import dedup_by
-from starloom.operators.hot import HOT_ROWS, find_hot, with_slices
+from starloom.operators.hot import HOT_ROWS, attach_per_key, find_hot, with_slices
 from starloom.operators.sizes import bounded, known_history, known_rows
 from starloom.sources.staging import stage
 
@@ -380,19 +380,21 @@ def earliest_keys(
     """For each (key, member, since): replace the key by its running minimum per member, in order of ``since``.
 
     Rows of one version share the result, so the running minimum runs over the
-    distinct versions (aggregated map-side) and is joined back.  ``found`` is
-    written first, since each role reads it once more.
+    distinct versions (aggregated map-side) and is attached to the rows, also where
+    most of them have one version.  ``found`` is written first, since each role
+    reads it once more.
     """
     columns = found.columns
     found = joined = stage(found, "found-versions")
     settled = {}
     for i, (key, member, since) in enumerate(roles):
-        used = found.where(F.col(key).isNotNull()).groupBy(member, since).agg(F.min(key).alias("_key"))
+        hit = F.col(key).isNotNull()
+        used = found.where(hit).groupBy(member, since).agg(F.min(key).alias("_key"), F.count(F.lit(1)).alias("_rows"))
         m, s, first = f"_em{i}", f"_es{i}", f"_earliest{i}"
         firsts = running_min(used, member, since, "_key", first, hot_rows)
-        firsts = firsts.select(F.col(member).alias(m), F.col(since).alias(s), first)
-        joined = joined.join(firsts, (F.col(member) == F.col(m)) & (F.col(since) == F.col(s)), "left")
-        settled[key] = F.col(first)
+        firsts = firsts.select(F.col(member).alias(m), F.col(since).alias(s), first, "_rows")
+        joined = attach_per_key(joined, firsts, [(member, m), (since, s)], "_rows", "left", hot_rows)
+        settled[key] = F.when(hit, F.col(first))
     return joined.withColumns(settled).select(*columns)
 
 
@@ -454,9 +456,13 @@ def _cover(first, last, levels: int):
     return F.array_compact(F.array(*nodes))
 
 
-def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
-    """Pairs of ``left`` and ``right`` (columns already distinct) whose closed intervals meet."""
+def _overlapping(left, right, keys, l_valid, r_valid, bin_unit, hot_rows):
+    """Pairs of ``left`` and ``right`` (columns already distinct) whose closed intervals meet.
+
+    ``keys`` pairs the id columns.
+    """
     (lf, lt), (rf, rt) = l_valid, r_valid
+    same = [F.col(a) == F.col(b) for a, b in keys]
     meets = (F.col(lf) <= F.col(rt)) & (F.col(rf) <= F.col(lt))
     if bin_unit is None:
         return left.join(right, _all([*same, meets]), "inner")
@@ -467,11 +473,21 @@ def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
         straight.join(odd_right, _all([*same, meets]), "inner")
     )
     # Two intervals meet when one holds the other's start.  No start is later than
-    # the last one, so an open interval is covered up to there only.
-    starts = straight.select(_bin_number(F.col(lf), bin_unit).alias("b")).unionAll(
-        r_straight.select(_bin_number(F.col(rf), bin_unit).alias("b"))
+    # the last one, so an open interval is covered up to there only.  The same
+    # job counts the rows of each id, which no tree node of it can exceed.
+    ids = [f"_i{n}" for n in range(len(keys))]
+    starts = straight.select(
+        *[F.col(a).alias(i) for (a, _), i in zip(keys, ids)], _bin_number(F.col(lf), bin_unit).alias("b"), F.lit(0).alias("side")
+    ).unionAll(
+        r_straight.select(
+            *[F.col(b).alias(i) for (_, b), i in zip(keys, ids)], _bin_number(F.col(rf), bin_unit).alias("b"), F.lit(1).alias("side")
+        )
+    )
+    per_id = starts.groupBy(*ids).agg(
+        F.min("b").alias("low"), F.max("b").alias("high"), F.sum("side").alias("right"), F.count(F.lit(1)).alias("all")
     )
-    base, final = starts.agg(F.coalesce(F.min("b"), F.lit(0)), F.coalesce(F.max("b"), F.lit(0))).first()
+    most = F.max(F.greatest(F.col("right"), F.col("all") - F.col("right")))
+    base, final, most = (v or 0 for v in per_id.agg(F.min("low"), F.max("high"), most).first())
     levels = (final - base).bit_length()
 
     def bin_of(column):
@@ -484,16 +500,52 @@ def _overlapping(left, right, same, l_valid, r_valid, bin_unit):
         return df.withColumn(name, F.explode(_above(bin_of(start), levels)))
 
     # A bin has one node above it in a cover, if any, so a pair is found once.
-    here = [*same, F.col("_lbin") == F.col("_rbin")]
-    started = spans(straight, lf, lt, "_lbin").join(
-        points(r_straight, rf, "_rbin"), _all([*here, F.col(rf) >= F.col(lf), F.col(rf) <= F.col(lt)]), "inner"
-    )
-    running = points(straight, lf, "_lbin").join(
-        spans(r_straight, rf, rt, "_rbin"), _all([*here, F.col(lf) > F.col(rf), F.col(lf) <= F.col(rt)]), "inner"
-    )
+    l_keys, r_keys = [a for a, _ in keys] + ["_lbin"], [b for _, b in keys] + ["_rbin"]
+    split = hot_rows if most > hot_rows else None
+    started = _meet(
+        spans(straight, lf, lt, "_lbin"), points(r_straight, rf, "_rbin"), l_keys, r_keys,
+        (F.col(rf) >= F.col(lf)) & (F.col(rf) <= F.col(lt)), split,
+    )
+    running = _meet(
+        points(straight, lf, "_lbin"), spans(r_straight, rf, rt, "_rbin"), l_keys, r_keys,
+        (F.col(lf) > F.col(rf)) & (F.col(lf) <= F.col(rt)), split,
+    )
     return started.unionAll(running).drop("_lbin", "_rbin").unionAll(odd)
 
 
+def _meet(left, right, l_keys, r_keys, condition, hot_rows):
+    """Join on an id and a tree node; nodes above ``hot_rows`` rows of a side are cut into parts of about as many.
+
+    The rows of a part are dealt by a hash of their contents and those of the other
+    side repeated for each part, so every pair still meets once.  With
+    ``hot_rows=None`` no node can have that many.
+    """
+    on = [F.col(a) == F.col(b) for a, b in zip(l_keys, r_keys)]
+    if hot_rows is None:
+        return left.join(right, _all([*on, condition]), "inner")
+    names = [f"_n{i}" for i in range(len(l_keys))]
+
+    def parts(df, keys, name):
+        counted = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("_rows"))
+        return counted.where(F.col("_rows") > hot_rows).select(*names, F.ceil(F.col("_rows") / hot_rows).cast("int").alias(name))
+
+    hot = parts(left, l_keys, "_lparts").unionByName(parts(right, r_keys, "_rparts"), allowMissingColumns=True)
+    # One row per hot node: its size tells Catalyst whether to send it around.
+    hot = stage(hot.groupBy(*names).agg(*[F.coalesce(F.max(c), F.lit(1)).alias(c) for c in ("_lparts", "_rparts")]), "hot-nodes")
+
+    def dealt(df, keys, own, other, part, copy):
+        marked = df.join(hot, _all([F.col(k) == F.col(n) for k, n in zip(keys, names)]), "left")
+        mine, theirs = (F.coalesce(F.col(c), F.lit(1)) for c in (own, other))
+        number = F.pmod(F.xxhash64(*df.columns), mine).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), theirs - 1))
+        return marked.select(*df.columns, number.alias(part), copies.alias(copy))
+
+    one = dealt(left, l_keys, "_lparts", "_rparts", "_lpart", "_lcopy")
+    two = dealt(right, r_keys, "_rparts", "_lparts", "_rpart", "_rcopy")
+    whole = [*on, F.col("_lpart") == F.col("_rcopy"), F.col("_lcopy") == F.col("_rpart"), condition]
+    return one.join(two, _all(whole), "inner").drop("_lpart", "_lcopy", "_rpart", "_rcopy")
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -503,6 +555,7 @@ def overlap_join(
     right_valid: tuple[str, str] | None = None,
     method: str | Lookup = "auto",
     bin_unit: str = "month",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join of versions whose intervals overlap; touching ends count.
 
@@ -511,7 +564,8 @@ def overlap_join(
     the intervals of the other, which a binary tree over bins of ``bin_unit``
     (day, week, month, year) covers: an interval or a start is copied a few times
     per level, so copies grow with the logarithm of the time spanned, and an id
-    with very many versions compares those that meet or share a bin.  ``join``
+    with very many versions compares those that meet or share a bin.  A node that
+    more than ``hot_rows`` rows of an id share is cut into parts.  ``join``
     leaves it to Spark: one equi-join, which ``auto`` takes for a large history
     of which no id has more than ``SCAN_VERSIONS`` versions.
     """
@@ -530,8 +584,8 @@ def overlap_join(
     if method == "broadcast":
         side = F.broadcast(side)
     bins = bin_unit if method == "merge" else None
-    same = [F.col(a) == F.col(f"_r{i}") for i, (a, _) in enumerate(keys)]
-    return _overlapping(left, side, same, valid, ("_rfrom", "_rto"), bins).select(*left.columns, *take)
+    ids = [(a, f"_r{i}") for i, (a, _) in enumerate(keys)]
+    return _overlapping(left, side, ids, valid, ("_rfrom", "_rto"), bins, hot_rows).select(*left.columns, *take)
 
 
 def intersect_join(

@@ -35,6 +35,7 @@ from starloom.operators.sizes import stage_history
 from starloom.operators.temporal import (
     as_of_join,
     close_out,
+    earliest_keys,
     intersect_join,
     overlap_join,
     pit_lookup,
@@ -44,6 +45,7 @@ from starloom.operators.temporal import (
 from starloom.plans import dimensions, facts, reports
 from starloom.plans.calendar import calendar_between
 from starloom.plans.increments import update_dimension
+from starloom.plans.loads import begin_load, load_fact, loaded_rows
 from starloom.plans.raw_load import load_regular, load_temporal
 from starloom.plans.star import build_dimensions, build_facts, build_star, save_star
 from starloom.sources.changes import read_changes
@@ -204,6 +206,35 @@ def order_fact_incremental(src):
     return fact_merge(first, stage(second, "fact-order"), ["StockItemKey", "WWIOrderID"], "OrderKey")
 
 
+@query(
+    """
+    SELECT * FROM first_load
+    UNION ALL
+    SELECT CAST("OrderKey" + 1 + (SELECT max("OrderKey") FROM first_load) AS INTEGER) AS "OrderKey",
+           * EXCLUDE ("OrderKey") FROM second_load
+    """,
+    {
+        "first_found": f"SELECT * FROM order_single WHERE loaded <= TIMESTAMP '{_T1}'",
+        "second_found": f"SELECT * FROM order_single WHERE loaded > TIMESTAMP '{_T1}' AND loaded <= TIMESTAMP '{_T2}'",
+        "first_load": sql.order_fact("first_found"),
+        "second_load": sql.order_fact("second_found"),
+    },
+)
+def order_fact_resumed(src):
+    """The second load breaks off when a part of it is merged; the next run goes on from the written copy."""
+    dims = dict(zip(["city", "customer", "stock_item", "employee"], _dims(src, "city", "customer", "stock_item", "employee")))
+    schema, root, ledger = f"resumed_{uuid.uuid4().hex}", staging_path(src.spark, "facts"), staging_path(src.spark, "ledger")
+    src.spark.sql(f"CREATE DATABASE {schema}")
+    options = {"root": root, "ledger": ledger, "buckets": 4}
+    first = load_fact(src.spark, "order", src, dims, schema, _T1, **options)
+    since, offset = since_date(first), key_offset(first, "OrderKey")
+    rows = build_facts(src, dims, _T2, {"order": first}, ["order"])["order"]
+    entry = begin_load(src.spark, rows, schema, "fact_order", since, _T2, offset, ledger)
+    part = loaded_rows(src.spark, entry).where("WWIOrderID % 3 = 0")
+    merge_into(src.spark, f"{schema}.fact_order", part, ["StockItemKey", "WWIOrderID"], root=root)
+    return load_fact(src.spark, "order", src, dims, schema, _T2, **options)
+
+
 @query(
     """
     SELECT 'city' AS target, count(*) AS n_rows, CAST(max("CityKey") AS INTEGER) AS last_key FROM dim_city
@@ -718,6 +749,59 @@ def intersect_join_(src):
     )
 
 
+def _most_in_one(src, kinds: list[str]) -> DataFrame:
+    """Versions of a few ids, most of them one id's, made by some event types only."""
+    owner = F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id") % 5 + 1).cast("long")
+    states = src.events.where(F.col("event_type").isin(kinds)).select("event_id", owner.alias("k"), F.col("ts").alias("ValidFrom"))
+    return version_timeline(states, "k", "ValidFrom", default_end=OPEN_END)
+
+
+def _most_in_one_sql(kinds: str) -> str:
+    return f"""
+    SELECT event_id, CAST(k AS BIGINT) AS k, ts AS vf, coalesce(lead(ts) OVER (PARTITION BY k ORDER BY ts), {sql.OPEN}) AS vt
+    FROM (SELECT *, CASE WHEN event_id % 10 < 7 THEN 0 ELSE user_id % 5 + 1 END AS k FROM events) WHERE event_type IN ({kinds})
+    """
+
+
+@query(
+    """
+    SELECT a.event_id, a.k, greatest(a.vf, b.vf) AS "ValidFrom", least(a.vt, b.vt) AS "ValidTo", b.event_id AS other_id
+    FROM most_a a JOIN most_b b ON a.k = b.k AND greatest(a.vf, b.vf) < least(a.vt, b.vt)
+    """,
+    {"most_a": _most_in_one_sql("'view', 'click'"), "most_b": _most_in_one_sql("'signup', 'error'")},
+)
+def intersect_join_hot(src):
+    """One id has most versions: the nodes of its tree that many rows share are cut into parts."""
+    return intersect_join(
+        _most_in_one(src, ["view", "click"]),
+        _most_in_one(src, ["signup", "error"]),
+        "k",
+        {"other_id": "event_id"},
+        method="merge",
+        bin_unit="month",
+        hot_rows=300,
+    )
+
+
+@query(
+    """
+    SELECT event_id, CAST(min(key) OVER (PARTITION BY k ORDER BY since) AS BIGINT) AS key
+    FROM (SELECT event_id, CASE WHEN event_id % 10 < 8 THEN 0 ELSE user_id % 7 END AS k,
+                 CASE WHEN event_id % 10 < 6 THEN 5 ELSE event_id % 40 END AS since, (event_id * 7919) % 1009 AS key FROM events)
+    """
+)
+def earliest_key_hot_version(src):
+    """Most rows found one version of one member; its minimum is attached without moving them."""
+    n = F.col("event_id")
+    rows = src.events.select(
+        "event_id",
+        F.when(n % 10 < 8, 0).otherwise(F.col("user_id") % 7).cast("long").alias("k"),
+        F.when(n % 10 < 6, 5).otherwise(n % 40).cast("long").alias("since"),
+        (n * 7919 % 1009).cast("long").alias("key"),
+    )
+    return earliest_keys(rows, [("key", "k", "since")], hot_rows=500).select("event_id", "key")
+
+
 def _uneven_sql(table: str) -> str:
     return f"""
     SELECT event_id, user_id, event_type, CASE WHEN event_id % 11 = 0 THEN vt ELSE vf END AS vf,
