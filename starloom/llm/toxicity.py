@@ -73,7 +73,8 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> list:
     """Labels and chosen features of at most ``rows`` labelled documents, the first by a hash of their id.
 
-    Several labels of an id count as toxic if one is; labels or ids that are
+    An id counts once, however many rows repeat it: of several texts the one
+    with the least hash is taken, a missing one counts as empty.  Several labels of an id count as toxic if one is; labels or ids that are
     missing are left out, as are labels without a document.  Which terms are
     far from the base rate is found by an aggregate over the sample; only
     their values come to the driver.
@@ -88,7 +89,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> l
         .limit(rows)
     )
     # At most ``rows`` pairs of numbers are broadcast.
-    joined = texts.join(F.broadcast(stage(known, "labelled")), "doc_id").select("toxic", "text")
+    met = texts.join(F.broadcast(stage(known, "labelled")), "doc_id")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    one = met.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64(text), text.alias("text"))).alias("_one"))
+    joined = stage(one.select("toxic", "_one.text"), "labelled-texts")
     total, base = joined.agg(F.count(F.lit(1)), F.avg((F.col("toxic") > 0).cast("double"))).first()
     if not total or base in (0.0, 1.0):
         return []
