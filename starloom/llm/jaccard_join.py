@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,11 @@ from starloom.sources.staging import stage
 
 SHINGLE = 5
 TREES, LEVELS = 12, 5  # signature values: one trie of LEVELS values per tree
+MARGIN = 5.0  # standard deviations by which a signature may understate a pair's likeness
 BLOCK_ROWS = 128
+SMALL_NODE = 64  # classes under a node that is compared whole
+NODE_ROWS = 512  # signatures of a larger one compared with each other at a time
+BUNDLE_ROWS = 20_000  # of small nodes in one call
 _COLUMNS = 4_096  # shingles hashed or compared at a time
 _MULTIPLIERS = np.random.RandomState(20).randint(1, 2**62, TREES * LEVELS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -57,9 +62,22 @@ def found_at(depth: int, likeness):
     return 1 - (1 - np.asarray(likeness, float) ** depth) ** TREES
 
 
-def depth_for(threshold: float, recall: float) -> int:
-    """The longest prefix that finds any pair at ``threshold`` with ``recall``; 1 if none does."""
-    return next((d for d in range(LEVELS, 1, -1) if found_at(d, threshold) >= recall), 1)
+def depths(threshold: float, recall: float) -> list[int]:
+    """Prefix lengths to match, the longest first, down to the first that finds a pair at ``threshold`` with ``recall``.
+
+    A pair at the threshold is the least likely to be found, so what holds for it
+    holds for all; the shortest prefix is one value.
+    """
+    out = [LEVELS]
+    while out[-1] > 1 and found_at(out[-1], threshold) < recall:
+        out.append(out[-1] - 1)
+    return out
+
+
+def least_agreement(threshold: float) -> int:
+    """Signature values of ``TREES * LEVELS`` that a pair at ``threshold`` shares, but for one in millions."""
+    n = TREES * LEVELS
+    return max(1, int(np.floor(n * threshold - MARGIN * np.sqrt(n * threshold * (1 - threshold)))))
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,7 +96,9 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _prefixes(depth: int):
+def _subtries(depth: int):
+    """Each class once per tree, under the trie node of its first ``depth`` values."""
+
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sigs = np.frombuffer(b"".join(batch["sig"]), np.uint32).reshape(-1, TREES, LEVELS)
@@ -86,11 +106,96 @@ def _prefixes(depth: int):
             for k in range(depth):
                 total = (total ^ sigs[:, :, k]) * _STEP
                 total ^= total >> np.uint64(31)
-            yield pd.DataFrame({"key": total.ravel().view(np.int64), "node": np.repeat(batch["node"].to_numpy(), TREES)})
+            yield pd.DataFrame({
+                "grp": total.ravel().view(np.int64), "item": np.repeat(batch["item"].to_numpy(), TREES), "weight": 1,
+                "tree": np.tile(np.arange(TREES), len(batch)), "sig": np.repeat(batch["sig"].to_numpy(), TREES),
+            })
 
     return keys
 
 
+def _agreeing(sigs: np.ndarray, tree: np.ndarray, i: np.ndarray, j: np.ndarray, agreement: int) -> np.ndarray:
+    """Which pairs of rows, met in the trie of their ``tree``, agree in enough values and are this trie's.
+
+    A pair is taken in one trie only: the first of those where its common prefix is longest.
+    """
+    out = np.zeros(len(i), bool)
+    for low in range(0, len(i), 1 << 15):
+        part = slice(low, low + (1 << 15))
+        same = sigs[i[part]] == sigs[j[part]]
+        prefix = np.logical_and.accumulate(same, axis=2).sum(axis=2)
+        out[part] = (same.sum(axis=(1, 2)) >= agreement) & (prefix.argmax(axis=1) == tree[i[part]])
+    return out
+
+
+def _small_nodes(agreement: int):
+    """``item, root`` of classes linked under nodes of few classes, a bundle of nodes at a time."""
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("grp", kind="stable")
+        grp, item, tree = rows["grp"].to_numpy(), rows["item"].to_numpy("int64"), rows["tree"].to_numpy()
+        sigs = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, TREES, LEVELS)
+        root, apart, ends = item.copy(), 1, []
+        while len(i := np.flatnonzero(grp[apart:] == grp[:-apart])):
+            hit = _agreeing(sigs, tree, i, i + apart, agreement)
+            ends.append((i[hit], i[hit] + apart))
+            apart += 1
+        i, j = (np.concatenate([e[side] for e in ends] or [np.empty(0, int)]) for side in (0, 1))
+        while True:
+            low = np.minimum(root[i], root[j])
+            if (low == root[i]).all() and (low == root[j]).all():
+                break
+            np.minimum.at(root, i, low)
+            np.minimum.at(root, j, low)
+        return pd.DataFrame({"item": item, "root": root})[root != item]
+
+    return link
+
+
+def _large_nodes(lengths: list[int], agreement: int):
+    """The same for ``compare_groups``: pairs of at most two blocks of a node.
+
+    Signatures are sorted, so those with a long prefix in common are next to each
+    other, and matched from the longest length of prefix to the shortest.
+    """
+
+    def compare(rows: pd.DataFrame):
+        sigs = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, TREES, LEVELS)
+        tree = rows["tree"].to_numpy()
+        order = np.lexsort(sigs[:, tree[0], ::-1].T)
+        sigs = sigs[order]
+        linked, equal = np.zeros((len(sigs), len(sigs)), bool), np.ones((len(sigs), len(sigs)), bool)
+        shared = np.zeros(equal.shape, np.int8)
+        for k in range(LEVELS):
+            equal &= sigs[:, None, tree[0], k] == sigs[None, :, tree[0], k]
+            shared += equal
+        for length, longer in zip(lengths, [LEVELS + 1, *lengths]):
+            i, j = np.nonzero(np.triu((shared >= length) & (shared < longer), 1))
+            hit = _agreeing(sigs, tree, i, j, agreement)
+            linked[i[hit], j[hit]] = True
+        out = np.zeros(linked.shape, bool)
+        out[np.ix_(order, order)] = linked | linked.T
+        return out, None
+
+    return compare
+
+
+def _candidates(trees: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """``item, root``: links between classes that share a trie node and most of their signature."""
+    lengths, agreement = depths(threshold, recall), least_agreement(threshold)
+    kind = "grp long, item long, weight long, tree int, sig binary"
+    subtries = trees.mapInPandas(_subtries(lengths[-1]), kind)
+    # Most classes are alone under their nodes; keys alone are counted to find the others.
+    counts = subtries.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    nodes = stage(trees.mapInPandas(_subtries(lengths[-1]), kind).join(counts, "grp"), "nodes")
+    small = nodes.where(F.col("_n") <= SMALL_NODE)
+    bundles = max(1, math.ceil(small.count() / BUNDLE_ROWS))
+    few = small.groupBy(F.pmod(F.xxhash64("grp"), F.lit(bundles))).applyInPandas(_small_nodes(agreement), "item long, root long")
+    large = nodes.where(F.col("_n") > SMALL_NODE).drop("_n")
+    many = compare_groups(large, _large_nodes(lengths, agreement), NODE_ROWS).where("item != root").select("item", "root")
+    return stage(few.unionByName(many), "candidates")
+
+
 def _shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         made = [shingles_of(t) for t in batch["text"]]
@@ -136,11 +241,12 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
 
     1. Documents with equal shingle sets form a class (128-bit fingerprint).
     2. Each class has a MinHash signature, ``TREES`` tries of ``LEVELS`` values.
-       Classes under one trie node are linked to the smallest of them; connected
-       components of these stars are the candidates.  The nodes are at the depth
-       that finds a pair at ``threshold``, the least likely to be found, with
-       ``recall``: no pair depends on what else is in the table.
-    3. Candidates are verified on their whole shingle sets, in blocks.
+       Prefixes are shortened until a pair at ``threshold``, the least likely to be
+       found, is found with ``recall``: no pair depends on what else is in the
+       table.  Pairs that share a node are screened by how many of all signature
+       values they have in common, large nodes in blocks, so texts that share
+       a node by a common passage only are no candidates.
+    3. Connected candidates are verified on their whole shingle sets, in blocks.
 
     Equal and nearly equal documents are never listed as pairs; a document's
     links are counted from class sizes.  Work on a group of near copies that
@@ -166,12 +272,8 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    trees = classes.where("sig IS NOT NULL").select("node", "sig")
-
-    keyed = stage(trees.mapInPandas(_prefixes(depth_for(threshold, recall)), "key long, node long"), "prefixes")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = keyed.join(shared.drop("n"), "key").where("node != low").select("node", "low")
-    near = connected_components(stars)
+    trees = classes.where("sig IS NOT NULL").select(F.col("node").alias("item"), "sig")
+    near = connected_components(_candidates(trees, threshold, recall))
     wanted = classes.join(near.withColumnRenamed("id", "node"), "node").select(
         "node", "weight", "fa", "fb", F.col("root").alias("grp"), F.col("rep").alias("doc_id")
     )

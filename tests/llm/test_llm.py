@@ -47,6 +47,18 @@ def test_components(spark):
     assert got == {3: 3, 4: 3, 5: 3, 9: 3, 10: 10, 20: 10}
 
 
+def test_the_labelled_sample_is_bounded_in_rows(spark):
+    rows = [(k % 7 if k < 2_000 else k, f"text {k}" if k % 3 else None) for k in range(2_050)]
+    labels = spark.createDataFrame([(k, k % 2) for k in [*range(7), *range(2_000, 2_050)] * 2], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert len(toxicity.labelled_sample(docs, labels, rows=4)) <= 4
+    whole = toxicity.labelled_sample(docs, labels)
+    assert len(whole) == 57
+    key = lambda r: (bytes(r.at), bytes(r.value), r.toxic)
+    again = toxicity.labelled_sample(docs.repartition(3), labels)
+    assert sorted(map(key, whole)) == sorted(map(key, again))
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = (queries.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     model = toxicity.toxicity_model(docs.select("doc_id", "text"), labels.where("doc_id % 2 = 0"))
@@ -203,6 +215,30 @@ def test_a_group_of_copies_hides_no_lonely_pair(spark):
     assert all(got[1_000 + k].n_links == 99 for k in range(100))
 
 
+def test_texts_with_a_common_passage_are_no_candidates(spark, monkeypatch):
+    """A passage that is a quarter of 1,500 texts makes them share nodes; only the two true copies are verified."""
+    common = " ".join(f"licence{j}" for j in range(40))
+    texts = {k: f"{common} " + " ".join(f"w{k}x{j}" for j in range(70)) for k in range(1_500)}
+    texts[5_000] = texts[7] + " tail"
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    signed = [jaccard_join.signature(jaccard_join.shingles_of(t)) for t in texts.values()]
+    keys = collections.Counter((k, tuple(s[k][:3])) for s in signed for k in range(jaccard_join.TREES))
+    assert max(keys.values()) > jaccard_join.SMALL_NODE
+    seen = []
+    whole = jaccard_join.compare_groups
+    monkeypatch.setattr(jaccard_join, "compare_groups", lambda items, *a: (seen.append(items), whole(items, *a))[1])
+    got = {r.doc_id: r for r in jaccard_join.jaccard_join(frame).collect()}
+    assert seen[-1].count() == 2  # verified on their shingles
+    assert got[5_000].class_id == 7 and sum(r.n_links for r in got.values()) == 2
+
+
+def test_screening_keeps_all_pairs_at_the_threshold():
+    assert jaccard_join.depths(0.8, 0.999) == [5, 4, 3] and jaccard_join.depths(0.8, 0.99) == [5] and jaccard_join.depths(0.3, 0.999)[-1] == 1
+    n, least = jaccard_join.TREES * jaccard_join.LEVELS, jaccard_join.least_agreement(0.8)
+    miss = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(least))
+    assert miss < 1e-5 and least > 0.5 * n
+
+
 def test_near_vectors(spark):
     rng = np.random.RandomState(3)
     base = rng.normal(size=(40, 16))
@@ -302,7 +338,7 @@ def test_packing_covers_every_id_once(spark, docs, none):
     assert line.tolist() == [0, *np.cumsum(full.length)[:-1]]  # gapless from the first to the last window
     share = full.assign(s=[source[d][0] for d in full.doc_id]).groupby(["sequence_id", "s"]).length.sum().unstack(fill_value=0)
     target = share.sum() / share.sum().sum() * 2048
-    assert ((share.iloc[:-1] - target).abs() <= 2 * packing.QUANTUM).all().all()
+    assert ((share.iloc[:-1] - target).abs() <= 2 * packing.LEAST_RUN).all().all()
     odd = packing.pack(docs, path, shares={"a": 5.0})
     assert odd.select(F.sum("length")).first()[0] == sum(len(table.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in DOCS)
     assert packing.pack(none, path).count() == 0
@@ -327,12 +363,59 @@ def test_every_window_has_the_target_mixture():
     assert (np.bincount(row, weights=length) == size).all() and (place // 2_048 == (place + length - 1) // 2_048).all()
 
 
+def placed(mixture, tokens, docs=40):
+    """Tokens of each queue in each window when its tokens come as ``docs`` documents; every token lies somewhere, once."""
+    cuts = [np.linspace(0, t, docs + 1).astype(int) for t in tokens]
+    queue = np.repeat(np.arange(len(tokens)), docs)
+    at, size = np.concatenate([c[:-1] for c in cuts]), np.concatenate([np.diff(c) for c in cuts])
+    row, start, length, place = mixture.pieces(queue, at, size)
+    order = np.argsort(place)
+    assert (place[order] == np.cumsum(length[order]) - length[order]).all() and length.sum() == mixture.total
+    assert (np.bincount(row, weights=length, minlength=len(size)) == size).all() and (place // 2_048 == (place + length - 1) // 2_048).all()
+    within = np.lexsort((start, row))
+    new = np.diff(row[within], prepend=-1) > 0
+    assert (start[within][new] == 0).all() and (start[within][1:] == (start + length)[within][:-1])[~new[1:]].all()
+    counts = np.zeros((mixture.total // 2_048 + 1, len(tokens)), int)
+    np.add.at(counts, (place // 2_048, queue[row]), length)
+    return counts
+
+
+def test_small_queues_wait_for_a_run():
+    """A least run of each small queue at a time; over eight windows no queue is a run off its target."""
+    rng = np.random.RandomState(4)
+    for tokens, mean in [
+        (rng.randint(30_000, 60_000, 200), 64),
+        (rng.randint(300_000, 600_000, 20), 64),
+        (np.r_[rng.randint(300_000, 900_000, 8), rng.randint(3_000, 20_000, 150)], 50),
+    ]:
+        for weights in (packing.integer_weights(tokens / tokens.sum()), packing.integer_weights(rng.rand(len(tokens)) + 0.05)):
+            mixture = packing.Mixture(tokens, weights, 2_048)
+            counts = placed(mixture, tokens)
+            full = int((tokens - np.cumsum(counts, axis=0) > 0).all(axis=1).sum()) - 1  # before the first queue runs out
+            eight = np.array([counts[k : k + 8].sum(axis=0) for k in range(max(1, full - 8))])
+            off = np.abs(eight - 8 * 2_048 * weights / weights.sum())
+            assert full > 100 and off.max() <= packing.LEAST_RUN + 16 and counts[:full][counts[:full] > 0].mean() >= mean
+            assert mixture.small.all() or off[:, ~mixture.small].max() <= 2
+
+
+def test_plain_words_are_encoded_as_by_the_tokenizer():
+    import duckdb
+
+    encoder = packing.Encoder(queries.word_bpe())
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' LIMIT 400").fetchall()]
+    pieces = list({p for t in texts for p in t.replace("\n", " ").split(" ")}) + ["ÀÉ,", "Straße_x", "a\x01b", "it's", "ǅ..", "x" * 300, "é!?-", "A1", ""]
+    assert encoder.ranked
+    fast = encoder.encode_all(pieces)
+    encoder.ranked, encoder.known = None, {}
+    assert fast == encoder.encode_all(pieces)
+
+
 def test_rare_sources_named_in_shares_have_queues(spark, monkeypatch):
-    monkeypatch.setattr(packing, "OWN_SHARE", 4)
+    monkeypatch.setattr(packing, "QUEUES", 1)
     rows = [(k, "word " * 300, "big") for k in range(40)] + [(100 + k, "word " * 20, f"rare{k % 3}") for k in range(30)]
     shares = {"big": 0.7, **{f"rare{k}": 0.1 for k in range(3)}}
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    pieces = packing.pack(frame, queries.word_bpe(), shares=shares, window=128).toPandas()
+    pieces = packing.pack(frame, queries.word_bpe(), shares=shares, window=128, run=1).toPandas()
     source = {d: s for d, _, s in rows}
     part = pieces.assign(s=[source[d] for d in pieces.doc_id]).groupby(["sequence_id", "s"]).length.sum().unstack(fill_value=0)
     assert all((part[s].iloc[:12] - 128 * share).abs().max() <= 4 for s, share in shares.items())
