@@ -78,6 +78,17 @@ def stamp(df: DataFrame, load_time, column: str = LOAD) -> DataFrame:
     return df.withColumn(column, F.lit(load_time).cast("timestamp"))
 
 
+def since_of(column: str | Column, default=DEFAULT_SINCE) -> Column:
+    """Aggregate: the newest value of a load-time column, or ``default`` for none."""
+    newest = F.max(column)
+    return F.coalesce(newest, F.lit(str(default)).cast("timestamp_ntz"))
+
+
+def next_key(column: str | Column) -> Column:
+    """Aggregate: the first free key behind the largest one, 1 for none."""
+    return F.coalesce(F.max(column), F.lit(0)) + 1
+
+
 def since_date(target: DataFrame | None, column: str = "RawDataLoadDatetime"):
     """Where the next fact load begins: the newest load seen, or 1900 for none."""
     newest = None if target is None else high_water_mark(target, column)
@@ -88,4 +99,4 @@ def key_offset(target: DataFrame | None, key: str) -> int:
     """First free key: 0 for a missing table, 1 for an empty one, else the largest key + 1."""
     if target is None:
         return 0
-    return (high_water_mark(target, key) or 0) + 1
+    return target.agg(next_key(key)).first()[0]

@@ -46,10 +46,10 @@ def merge_upsert(
     match must also meet to be updated.  Repeated source keys that match raise
     ``MergeConflict``.
 
-    ``auto`` measures the source, which is read two or three times, so stage it
-    first if it is costly.  A small one is broadcast: the target is then
-    only scanned, never shuffled.  A larger one takes a full outer join, with
-    NULL keys kept out so they cannot pile up in one partition.
+    ``auto`` and ``broadcast`` measure the source, which is read two or three times,
+    so stage it first if it is costly.  A small one is broadcast: the target is then
+    only scanned, never shuffled.  A larger one takes a full outer join (the method
+    ``outer``), with NULL keys kept out so they cannot pile up in one partition.
     """
     keys = as_names(keys)
     columns = target.columns
@@ -60,14 +60,14 @@ def merge_upsert(
     source = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in columns])
 
     keyed = _all([F.col(k).isNotNull() for k in keys])
-    if check or method == "auto":
+    if check or method in ("auto", "broadcast"):
         # One pass over the source gives its size and whether any key repeats.
         size = row_bytes(source, columns)
         per_key = source.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_bytes"))
         rows, volume, most = [v or 0 for v in per_key.agg(F.sum("_n"), F.sum("_bytes"), F.max("_n")).first()]
         if check and most > 1 and not ambiguous_keys(target, source.where(keyed), keys).isEmpty():
             raise MergeConflict(f"several source rows match one target row on {keys}")
-        if method == "auto":
+        if method in ("auto", "broadcast"):
             small = rows <= BROADCAST_SOURCE_ROWS and volume <= BROADCAST_SOURCE_BYTES
             method = "broadcast" if small else "outer"
 

@@ -114,12 +114,21 @@ def _contains(at: Column, start: Column, end: Column, closed: str) -> Column:
     raise ValueError("closed must be 'left' or 'right'")
 
 
-class Lookup(NamedTuple):
-    """How a history is best looked up, whether versions of an id overlap in it, and whether no id has very many."""
-
+class _Choice(NamedTuple):
     method: str
     disjoint: bool
-    shallow: bool = False
+
+
+class Lookup(_Choice):
+    """How a history is best looked up, and whether versions of an id overlap in it.
+
+    ``shallow`` says that no id has more than ``SCAN_VERSIONS`` versions.
+    """
+
+    def __new__(cls, method: str, disjoint: bool, shallow: bool = False):
+        made = super().__new__(cls, method, disjoint)
+        made.shallow = shallow
+        return made
 
 
 def _lookup(rows, size, most, disjoint: bool) -> Lookup:
@@ -196,8 +205,8 @@ def as_of_join(
     rows; ``"all"`` returns a row for every version in force.  ``disjoint`` says
     that no versions overlap; where it is not given it is measured.
 
-    Methods: ``broadcast`` sends the history to all executors (``auto`` takes
-    it only for a counted, small one); ``merge`` sorts rows and versions of a
+    Methods: ``broadcast`` sends the history to all executors, if it has been
+    counted and found small, as ``auto`` does too, and is ``merge`` otherwise; ``merge`` sorts rows and versions of a
     key together and carries the last version along, which stays linear however
     many versions an id has and splits hot ids; ``join`` is the plain equi-join
     with a range condition.  All give the same rows.  What ``lookup_methods``
@@ -218,10 +227,10 @@ def as_of_join(
     if matches not in ("last", "all"):
         raise ValueError("matches must be 'last' or 'all'")
     if isinstance(method, Lookup):
-        method, disjoint, _ = method
-    if method == "auto" or disjoint is None:
+        method, disjoint = method
+    if method in ("auto", "broadcast") or disjoint is None:
         measured = lookup_method(history, [h for _, h in keys], list(take.values()), (valid_from, valid_to))
-        method = measured.method if method == "auto" else method
+        method = measured.method if method in ("auto", "broadcast") else method
         disjoint = measured.disjoint if disjoint is None else disjoint
     ks = [f"_k{i}" for i in range(len(keys))]
     if not disjoint and matches == "last":
@@ -559,8 +568,8 @@ def overlap_join(
 ) -> DataFrame:
     """Inner join of versions whose intervals overlap; touching ends count.
 
-    ``broadcast`` sends the right side to all executors, which ``auto`` does
-    only for a counted, small one.  ``merge`` matches the starts of each side to
+    ``broadcast`` sends the right side to all executors, if it has been counted and
+    found small, as ``auto`` does too.  ``merge`` matches the starts of each side to
     the intervals of the other, which a binary tree over bins of ``bin_unit``
     (day, week, month, year) covers: an interval or a start is copied a few times
     per level, so copies grow with the logarithm of the time spanned, and an id
@@ -577,7 +586,7 @@ def overlap_join(
         F.col(r_to).alias("_rto"),
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    if method == "auto":
+    if method in ("auto", "broadcast"):
         method = lookup_method(right, [r for _, r in keys], list(take.values()), (r_from, r_to))
     if isinstance(method, Lookup):
         method = "join" if method.method == "merge" and method.shallow else method.method

@@ -46,7 +46,11 @@ def test_known_histories_start_no_job(spark):
 
 def test_limits_still_hold_for_known_histories(spark, monkeypatch):
     staged = stage_history(history(spark, [(1, n, n + 1) for n in range(40)]), "measured", ["id"])
-    pick = lambda: temporal.lookup_methods({"h": (staged, ["id"], ["v"])})["h"]
+
+    def pick():
+        found = temporal.lookup_methods({"h": (staged, ["id"], ["v"])})["h"]
+        return *found, found.shallow
+
     assert pick() == ("broadcast", True, True)
     monkeypatch.setattr(temporal, "SCAN_VERSIONS", 39)
     assert pick() == ("merge", True, False)

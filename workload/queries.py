@@ -24,7 +24,9 @@ from starloom.operators.dedup import dedup_by, keep_max_rows, latest_per_key
 from starloom.operators.incremental import (
     high_water_mark,
     key_offset,
+    next_key,
     since_date,
+    since_of,
     stamp,
     temporal_union,
     window_filter,
@@ -905,18 +907,14 @@ def window_filter_(src):
     """
 )
 def watermarks(src):
-    orders = src.read("orders")
-    none = orders.where("o_orderkey < 0")
-
-    def ts(value):
-        return F.lit(str(value)).cast("timestamp_ntz")
-
-    return src.spark.range(1).select(
-        ts(high_water_mark(orders, "o_orderdate")).alias("high_water"),
-        ts(since_date(orders, "o_orderdate")).alias("since"),
-        ts(since_date(none, "o_orderdate")).alias("since_empty"),
-        F.lit(key_offset(orders, "o_orderkey")).cast("bigint").alias("next_key"),
-        F.lit(key_offset(none, "o_orderkey")).cast("bigint").alias("next_key_empty"),
+    """Where the next load of a table begins, and of an empty one: one aggregate for all."""
+    none = F.col("o_orderkey") < 0
+    return src.read("orders").agg(
+        F.max("o_orderdate").alias("high_water"),
+        since_of("o_orderdate").alias("since"),
+        since_of(F.when(none, F.col("o_orderdate"))).alias("since_empty"),
+        next_key("o_orderkey").alias("next_key"),
+        next_key(F.when(none, F.col("o_orderkey"))).alias("next_key_empty"),
     )
 
 
