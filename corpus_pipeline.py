@@ -20,7 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that the severity model rejects go, all others stay as they are.
 
     The model is fitted on the labels that belong to ``docs``; without labels of
-    both kinds nothing goes.
+    both kinds nothing goes.  A missing or empty text has no terms and stays, as do
+    rows without id; repeated rows are graded alike.  No rows, no rows.
     """
     model = toxicity.toxicity_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     name = free_name(docs, "_severity")
@@ -42,7 +43,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents drawn to the target marginals; small cells that cannot meet theirs are kept whole."""
+    """Operator 3: documents drawn to the target marginals; small cells that cannot meet theirs are kept whole.
+
+    Documents without tokens (a missing or empty text) stay.  A missing source or
+    language is a value of its own.  Rows equal in id and text are drawn together.
+    Columns with the names used here are left as they are.  No rows, no rows.
+    """
     prefix = "_mix_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = "_" + prefix
@@ -50,7 +56,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: pieces of all documents in windows of 2,048 ids."""
+    """Operator 9: pieces of all documents in windows of 2,048 ids.
+
+    A missing or empty text is one end id, a missing source is a source of its own;
+    repeated rows are packed as often as they occur.  No rows, no pieces.
+    """
     return packing.pack(docs, word_bpe())
 
 

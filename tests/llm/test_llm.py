@@ -178,6 +178,48 @@ def test_fingerprints(docs, none):
     assert imatch.fingerprint_documents(docs.where("doc_id = 9")).first().near_next == 1.0
 
 
+def test_fingerprints_by_definition(spark):
+    """Every fingerprint and likeness of a table, by sets and plain integers."""
+    import xxhash
+
+    rows = sorted((r.doc_id, r.text or "") for r in queries.table(spark, FOLDER, "documents").collect())
+    terms = [{xxhash.xxh64_intdigest(w) for w in words_of(t)} for _, t in rows]
+    often = collections.Counter(h for one in terms for h in one)
+    least, most = max(2, 1e-3 * len(rows)), max(2, 0.1 * len(rows))
+    band, top = {h for h, n in often.items() if least <= n <= most}, 1 << 64
+    rates = [r for r in imatch.RATES for _ in range(imatch.LEXICONS)]
+
+    def kept(h, k):
+        x = (h ^ 0x9E3779B97F4A7C15 * (k + 1) % top) * 0xBF58476D1CE4E5B9 % top
+        return ((x ^ x >> 31) * 0x94D049BB133111EB % top) >> (64 - rates[k]) == 0
+
+    chosen = {h: [k for k in range(len(rates)) if kept(h, k)] for h in band}
+
+    def fingerprint(text):
+        own = {xxhash.xxh64_intdigest(w) for w in words_of(text)}
+        pack = lambda hashes: b"".join(h.to_bytes(8, "little") for h in sorted(hashes))
+        lexicons = [[] for _ in rates]
+        for h in own & band:
+            for k in chosen[h]:
+                lexicons[k].append(h)
+        return [xxhash.xxh64_hexdigest(pack(own & band or own)), *[xxhash.xxh64_hexdigest(pack(x))[:6] if x else "------" for x in lexicons]]
+
+    def alike(a, b):
+        if a[0] == b[0]:
+            return 1.0
+        used = [(2**r, x == y) for r, x, y in zip(rates, a[1:], b[1:]) if (x, y) != ("------", "------")]
+        return sum(w for w, same in used if same) / sum(w for w, _ in used) if used else 0.0
+
+    got = {r.doc_id: r for r in imatch.fingerprint_documents(queries.table(spark, FOLDER, "documents")).collect()}
+    prints = [fingerprint(t) for _, t in rows]
+    for k, (doc, text) in enumerate(rows):
+        after = (k + 1) % len(rows)
+        edited = fingerprint(text[: len(text) - len(text) // 2] + rows[after][1][: len(text) // 2])
+        r = got[doc]
+        assert (r.fingerprint, r.edited_fingerprint) == ("".join(prints[k]), "".join(edited))
+        assert (r.near_edited, r.near_next) == pytest.approx((alike(prints[k], edited), alike(prints[k], prints[after])))
+
+
 def test_jaccard_join(spark, docs, none):
     assert jaccard_join.jaccard_join(none).count() == 0
     got = {r.doc_id: (r.class_id, r.n_links, r.kept) for r in jaccard_join.jaccard_join(docs).collect()}
