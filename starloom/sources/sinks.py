@@ -296,7 +296,7 @@ def merge_buckets(
     rows = keyed.withColumn(BUCKET, number).unionByName(keyless)
     path = f"{root.rstrip('/')}/{name}/buckets-{uuid.uuid4().hex}"
     rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-    written = [r[0] for r in spark.read.schema(rows.schema).parquet(path).select(BUCKET).distinct().collect()]
+    written = _written_buckets(spark, path)
     emptied = known.intersection(touched if exists else []).difference(written)  # all their rows were replaced by none
     with table_lock(spark, name):
         if seen is not _ANY:
@@ -312,6 +312,13 @@ def merge_buckets(
         spark.catalog.refreshTable(name)
 
 
+def _written_buckets(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the buckets a job wrote below ``path``: the names of its folders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}="))
+
+
 def _bucket_of(keys: list[str], buckets: int) -> tuple[Column, Column]:
     """Whether a row has a whole key, and the number of its bucket then."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -410,7 +417,7 @@ def _declare_anew(spark: SparkSession, name: str, columns: list, root: str) -> N
         whole, number = _bucket_of(keys, buckets)
         rows = table.select(*columns, BUCKET).withColumn(BUCKET, F.when(whole, number).otherwise(F.col(BUCKET)))
         rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        written = [r[0] for r in spark.read.schema(rows.schema).parquet(path).select(BUCKET).distinct().collect()]
+        written = _written_buckets(spark, path)
         spark.sql(f"DROP TABLE {name}")  # its folders are outside the catalog and stay
         _create_buckets(spark, name, rows.schema, keys, buckets, root)
         _place_buckets(spark, name, path, written, set())

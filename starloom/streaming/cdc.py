@@ -105,6 +105,11 @@ def row_image(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     return df.withColumn("r", F.from_json(image, sent)).select(*columns, "op", *ORDER_COLUMNS)
 
 
+def _once(column: Column) -> Column:
+    """One row with the value of ``column``, which is computed a single time."""
+    return F.explode(F.array(column))
+
+
 def checked_changes(
     df: DataFrame, schema: T.StructType | str, keys=(), value_col: str = "value", undeclared: str = "ignore"
 ) -> DataFrame:
@@ -122,7 +127,8 @@ def checked_changes(
     sent, columns = _image_columns(schema)
     corrupt = {"columnNameOfCorruptRecord": "_unread"}
     message = F.col(value_col).cast("string")
-    parsed = df.select(message.alias(MESSAGE), F.from_json(message, f"{ENVELOPE}, _unread string", corrupt).alias("m"))
+    # A generator is a fence: a filter on the reason is not pushed below it, where each use would parse again.
+    parsed = df.select(message.alias(MESSAGE), _once(F.from_json(message, f"{ENVELOPE}, _unread string", corrupt)).alias("m"))
     source = "m.payload.source"
     parsed = parsed.select(
         MESSAGE,
@@ -133,7 +139,7 @@ def checked_changes(
         *[F.col(f"{source}.{c}") for c in ORDER_COLUMNS[1:]],
     )
     unread = T.StructType([*sent.fields, T.StructField("_unread", T.StringType())])
-    typed = parsed.withColumn("r", F.from_json("_image", unread, corrupt))
+    typed = parsed.select("*", _once(F.from_json("_image", unread, corrupt)).alias("r"))
     named = F.array(*[F.lit(f.name) for f in schema.fields])
     strange = F.size(F.array_except(F.coalesce(F.json_object_keys("_image"), F.array().cast("array<string>")), named)) > 0
     reason = (
