@@ -70,3 +70,40 @@ def test_earliest_keys_and_largest_rows_with_most_rows_on_one_version(spark, mon
     most = keep_max_rows(df, ["member"], "since", hot_rows=30)
     want = sorted(n for _, m, s, n in rows if m is not None and s == max(s2 for _, m2, s2, _ in rows if m2 == m))
     assert sorted(r.n for r in most.collect()) == want
+
+
+def test_pairs_compared_under_hot_ids_grow_with_the_rows(spark):
+    # One id, its versions end to end within a month: a month's bin would compare each with each.
+    from starloom.operators.temporal import intersect_join, version_timeline
+
+    def chain(n, first, step, name):
+        at = F.timestamp_seconds(F.lit(1_577_836_800) + F.col("id") * step + first)
+        rows = spark.range(n).select(F.lit(1).alias("id"), at.alias("ValidFrom"), F.col("id").alias(name))
+        return version_timeline(rows, "id", "ValidFrom", default_end="2099-12-31 00:00:00")
+
+    for n in (500, 2_000):
+        left, right = chain(n, 0, 60, "v"), chain(n, 7, 60, "w")
+        joined = intersect_join(left, right, "id", {"w": "w"}, method="merge", bin_unit="month", hot_rows=50)
+        assert joined.count() == 2 * n - 1
+        nodes = [line for line in joined._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate explode" in line]
+        assert nodes
+        plan = joined._jdf.queryExecution().executedPlan()
+        assert _rows_into_joins(plan) < 40 * n
+
+
+def _rows_into_joins(plan):
+    """Rows that all explodes of an executed plan gave."""
+    text, total, todo = "numOutputRows", 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName() == "Generate":
+            total += node.metrics().apply(text).value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
