@@ -13,7 +13,7 @@ from starloom.constants import VALID_TO
 from starloom.functions import as_names, literal_like, pairs, row_bytes
 from starloom.operators.dedup import dedup_by
 from starloom.operators.hot import HOT_ROWS, attach_per_key, find_hot, with_slices
-from starloom.operators.sizes import bounded, known_history, known_rows
+from starloom.operators.sizes import bounded, known_history, known_rows, stage_counted
 from starloom.sources.staging import stage
 
 BROADCAST_ROWS = 1_000_000  # versions that may be sent to every executor
@@ -227,15 +227,19 @@ def as_of_join(
     )
     if matches not in ("last", "all"):
         raise ValueError("matches must be 'last' or 'all'")
+    shallow = False
     if isinstance(method, Lookup):
+        shallow = method.shallow
         method, disjoint = method
     if method in ("auto", "broadcast") or disjoint is None:
         measured = lookup_method(history, [h for _, h in keys], list(take.values()), (valid_from, valid_to))
         method = measured.method if method in ("auto", "broadcast") else method
         disjoint = measured.disjoint if disjoint is None else disjoint
+        shallow = measured.shallow
     ks = [f"_k{i}" for i in range(len(keys))]
     if not disjoint and matches == "last":
-        versions = _flatten(versions, ks, list(take))
+        # Written once: a look-up that searches for hot ids reads it twice.
+        versions = stage_counted(_flatten(versions, ks, list(take), shallow), "flat-versions")
     if not disjoint and matches == "all" and method == "merge":
         return _every_match(left, versions, keys, at, list(take), how, closed)
     if method in ("broadcast", "join"):
@@ -249,8 +253,9 @@ def as_of_join(
 
 def _in_force(points: DataFrame, versions: DataFrame, ks: list[str], closed: str) -> DataFrame:
     """Every point (``ks``, ``_t``) with every version in force then, met in a binary tree over days."""
-    first, last = -719_162, 2_932_896  # the days of years 1 to 9999
-    levels = (last - first).bit_length()
+    start, end = (_bin_number(F.col(c), "day") for c in ("_from", "_to"))
+    first, last, longest = (v or 0 for v in versions.agg(F.min(start), F.max(end), F.max(end - start)).first())
+    levels = (longest + 1).bit_length() - 1  # no version covers a larger node
 
     def bin_of(column: str) -> Column:
         return F.greatest(F.least(_bin_number(F.col(column), "day"), F.lit(last)), F.lit(first)) - F.lit(first)
@@ -260,8 +265,20 @@ def _in_force(points: DataFrame, versions: DataFrame, ks: list[str], closed: str
     return asked.join(held, [*ks, "_bin"]).where(_contains(F.col("_t"), F.col("_from"), F.col("_to"), closed)).drop("_bin")
 
 
-def _flatten(versions: DataFrame, ks: list[str], take: list[str]) -> DataFrame:
-    """Versions without overlap: between two neighbouring bounds of an id, the one in force that started last."""
+def _flatten(versions: DataFrame, ks: list[str], take: list[str], shallow: bool) -> DataFrame:
+    """Versions without overlap: between two neighbouring bounds of an id, the one in force that started last.
+
+    The few versions of an id of a ``shallow`` history meet its bounds in one
+    equi-join after one shuffle, others in a tree.
+    """
+    if shallow:
+        held = versions.dropna(subset=ks).repartition(*ks)
+        bounds = held.select(*ks, F.explode(F.array("_from", "_to")).alias("_t")).distinct()
+        bounds = bounds.withColumn("_until", F.lead("_t").over(Window.partitionBy(*ks).orderBy("_t")))
+        in_force = _contains(F.col("_t"), F.col("_from"), F.col("_to"), "left")
+        met = bounds.join(held, ks).where(in_force).groupBy(*ks, "_t", "_until")
+        won = met.agg(F.max(F.struct("_from", "_to", *take)).alias("_won"))
+        return won.select(*ks, F.col("_t").alias("_from"), F.col("_until").alias("_to"), *[F.col(f"_won.{n}") for n in take])
     bounds = versions.select(*ks, F.col("_from").alias("_t")).union(versions.select(*ks, F.col("_to").alias("_t"))).distinct()
     winner = F.max(F.struct("_from", "_to", *take)).alias("_won")
     won = _in_force(bounds, versions, ks, "left").groupBy(*ks, "_t").agg(winner)

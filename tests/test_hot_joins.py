@@ -107,3 +107,22 @@ def _rows_into_joins(plan):
         children = node.children()
         todo += [children.apply(i) for i in range(children.size())]
     return total
+
+
+@pytest.mark.parametrize("scan", [3, 1_000])
+@pytest.mark.parametrize("closed", ["left", "right"])
+def test_overlapping_versions_in_a_tree_and_in_one_join(spark, monkeypatch, scan, closed):
+    from starloom.operators import temporal
+
+    monkeypatch.setattr(temporal, "SCAN_VERSIONS", scan)
+    versions = history(spark, 5, 90, "w").withColumn("w", F.struct("w", F.lit(0)).getField("w"))
+    points = history(spark, 6, 120).select("id", F.col("ValidFrom").alias("at"), "v")
+    rows = {(r.id, r.ValidFrom, r.ValidTo, r.w) for r in versions.collect() if r.id and r.ValidFrom < r.ValidTo}
+    want = []
+    for r in points.collect():
+        held = [h for h in rows if h[0] == r.id and (h[1] <= r["at"] < h[2] if closed == "left" else h[1] < r["at"] <= h[2])]
+        want.append((r.v, max(held, key=lambda h: h[1:])[3] if held else None))
+    found = temporal.as_of_join(points, versions, "id", "at", {"w": "w"}, "left", closed, method="merge")
+    assert sorted(((r.v, r.w) for r in found.collect()), key=str) == sorted(want, key=str)
+    # The flattened history is a written table: the look-up holds no tree.
+    assert "shiftright" not in found._jdf.queryExecution().optimizedPlan().toString()
