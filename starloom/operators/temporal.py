@@ -241,7 +241,9 @@ def as_of_join(
         # Written once: a look-up that searches for hot ids reads it twice.
         versions = stage_counted(_flatten(versions, ks, list(take), shallow), "flat-versions")
     if not disjoint and matches == "all" and method == "merge":
-        return _every_match(left, versions, keys, at, list(take), how, closed)
+        if not shallow:
+            return _every_match(left, versions, keys, at, list(take), how, closed)
+        method = "join"
     if method in ("broadcast", "join"):
         if method == "broadcast":
             versions = F.broadcast(versions)

@@ -126,3 +126,16 @@ def test_overlapping_versions_in_a_tree_and_in_one_join(spark, monkeypatch, scan
     assert sorted(((r.v, r.w) for r in found.collect()), key=str) == sorted(want, key=str)
     # The flattened history is a written table: the look-up holds no tree.
     assert "shiftright" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("scan", [3, 1_000])
+def test_every_match_of_few_versions_copies_no_row(spark, monkeypatch, scan):
+    from starloom.operators import temporal
+
+    monkeypatch.setattr(temporal, "SCAN_VERSIONS", scan)
+    versions = history(spark, 7, 60, "w")
+    points = history(spark, 8, 80).select("id", F.col("ValidFrom").alias("at"), "v")
+    found = temporal.as_of_join(points, versions, "id", "at", {"w": "w"}, "left", method="merge", matches="all")
+    plain = temporal.as_of_join(points, versions, "id", "at", {"w": "w"}, "left", method="join", matches="all", disjoint=True)
+    assert sorted(found.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert ("shiftright" in found._jdf.queryExecution().optimizedPlan().toString()) == (scan == 3)
