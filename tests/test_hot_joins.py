@@ -84,11 +84,8 @@ def test_pairs_compared_under_hot_ids_grow_with_the_rows(spark):
     for n in (500, 2_000):
         left, right = chain(n, 0, 60, "v"), chain(n, 7, 60, "w")
         joined = intersect_join(left, right, "id", {"w": "w"}, method="merge", bin_unit="month", hot_rows=50)
-        assert joined.count() == 2 * n - 1
-        nodes = [line for line in joined._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate explode" in line]
-        assert nodes
-        plan = joined._jdf.queryExecution().executedPlan()
-        assert _rows_into_joins(plan) < 40 * n
+        assert len(joined.collect()) == 2 * n - 1
+        assert 0 < _rows_into_joins(joined._jdf.queryExecution().executedPlan()) < 40 * n
 
 
 def _rows_into_joins(plan):
