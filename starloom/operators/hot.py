@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizes import known_rows, stage_counted
+from starloom.operators.sizes import known_most, known_rows, stage_counted
 from starloom.sources.staging import stage
 
 HOT_ROWS = 1_000_000  # rows of one key that one task may still take
@@ -28,11 +28,10 @@ def find_hot(df: DataFrame, keys: list[str], at: str, hot_rows: int = HOT_ROWS)
     All of them, as a written table that stays on the executors.  One aggregate
     over the key columns of ``df``, and, where a key is hot, two more over its rows;
     stage ``df`` first if it is costly.  A frame written by ``stage_history`` with no
-    more rows than that in all is not searched.  Rows of one instant are never
+    more rows than that in all, or of an id, is not searched.  Rows of one instant are never
     cut apart.
     """
-    rows = known_rows(df)
-    if rows is not None and rows <= hot_rows:
+    if any(known is not None and known <= hot_rows for known in (known_rows(df), known_most(df, keys))):
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     most = counts.agg(F.max("_rows")).first()[0]

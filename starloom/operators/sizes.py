@@ -9,15 +9,17 @@ transformation makes a frame of unknown size again.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import as_names, row_bytes
-from starloom.sources.staging import restore_not_null, stage
+from starloom.sources.staging import as_written, restore_not_null, stage
 
 VALID = ("ValidFrom", "ValidTo")
+TASK_ROWS = 250_000  # rows of a shuffled table that a task takes, where their number is known
 
 
 class History(NamedTuple):
@@ -41,6 +43,30 @@ def bounded(df: DataFrame, rows: int | None) -> DataFrame:
     return df
 
 
+def known_most(df: DataFrame, keys) -> int | None:
+    """Rows of one key at most, as ``stage_history`` counted or ``bounded_ids`` was told."""
+    return getattr(df, "_starloom_most", {}).get(tuple(as_names(keys)))
+
+
+def bounded_ids(df: DataFrame, keys, most: int | None) -> DataFrame:
+    """``df`` as a frame with ``most`` rows of a key at most; ``None`` says nothing."""
+    if most is not None:
+        df._starloom_most = {tuple(as_names(keys)): most}
+    return df
+
+
+def spread(df: DataFrame, keys, rows: int | None) -> DataFrame:
+    """Shuffle ``df`` by ``keys`` so that a task gets about ``TASK_ROWS`` of its ``rows`` rows at most.
+
+    Where the session's number of shuffle partitions is enough for that, it is taken, and
+    Spark may still join small partitions.
+    """
+    keys, tasks = as_names(keys), math.ceil((rows or 0) / TASK_ROWS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(*keys)
+    return df.repartition(tasks, *keys)
+
+
 def stage_counted(df: DataFrame, label: str, keep_not_null: bool = False) -> DataFrame:
     """Write a table, as ``stage`` does, and count its rows meanwhile."""
     seen = Observation()
@@ -65,6 +91,7 @@ def stage_history(
     keys, (start, end) = as_names(keys), valid
     real = F.col(start) < F.col(end)
     versions = Window.partitionBy(*keys, "_real").orderBy(start)
+    of_id = Window.partitionBy(*keys).orderBy("_real", start)  # the same sort
     following = F.lead(start).over(versions)
     seen = Observation()
     counted = (
@@ -73,6 +100,7 @@ def stage_history(
             {
                 "_most": F.when(F.col("_real"), F.row_number().over(versions)),
                 "_meets": F.coalesce(F.col("_real") & (following < F.col(end)), F.lit(False)),
+                "_each": F.row_number().over(of_id),
                 "_size": row_bytes(df, df.columns),
             }
         )
@@ -82,14 +110,15 @@ def stage_history(
             F.sum("_size").alias("bytes"),
             F.max("_most").alias("most"),
             F.max("_meets").alias("meets"),
+            F.max("_each").alias("each"),
         )
     )
     staged = stage(counted.select(*df.columns), label)
     if keep_not_null:
-        staged = restore_not_null(staged, df.schema)
+        staged = as_written(restore_not_null(staged, df.schema))
     found = seen.get
     if "rows" in found:  # a plan known to be empty may not be observed
         history = History(found["rows"], found["bytes"] or 0, found["most"] or 0, not found["meets"])
         staged._starloom_sizes = {(*keys, *valid): history}
-        bounded(staged, history.rows)
+        bounded_ids(bounded(staged, history.rows), keys, found["each"] or 0)
     return staged

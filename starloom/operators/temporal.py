@@ -123,19 +123,20 @@ class _Choice(NamedTuple):
 class Lookup(_Choice):
     """How a history is best looked up, and whether versions of an id overlap in it.
 
-    ``shallow`` says that no id has more than ``SCAN_VERSIONS`` versions.
+    ``shallow`` says that no id has more than ``SCAN_VERSIONS`` versions; ``most`` is
+    their number, where it was counted.
     """
 
-    def __new__(cls, method: str, disjoint: bool, shallow: bool = False):
+    def __new__(cls, method: str, disjoint: bool, shallow: bool = False, most: int | None = None):
         made = super().__new__(cls, method, disjoint)
-        made.shallow = shallow
+        made.shallow, made.most = shallow, most
         return made
 
 
 def _lookup(rows, size, most, disjoint: bool) -> Lookup:
     small = (rows or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
     shallow = (most or 0) <= SCAN_VERSIONS
-    return Lookup("broadcast" if small and shallow else "merge", disjoint, shallow)
+    return Lookup("broadcast" if small and shallow else "merge", disjoint, shallow, most or 0)
 
 
 def lookup_methods(

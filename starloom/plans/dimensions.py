@@ -8,21 +8,25 @@ column has natural ids, restricts a build to the versions of these members.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.constants import LINEAGE, STOCK_ITEM_VALID_TO, VALID_FROM, VALID_TO
 from starloom.functions import literal_like, wkt_point
 from starloom.operators.dedup import dedup_by, keep_max_rows
+from starloom.operators.hot import HOT_ROWS
 from starloom.operators.incremental import as_of_load
 from starloom.operators.keys import dimension_keys
-from starloom.operators.sizes import bounded, known_rows, stage_counted, stage_history
+from starloom.operators.sizes import bounded, bounded_ids, known_most, known_rows, spread, stage_counted, stage_history
 from starloom.operators.temporal import (
     as_of_join,
     close_out,
     intersect_join,
     lookup_methods,
     overlap_join,
+    version_at,
     version_timeline,
 )
 from starloom.sources.staging import stage
@@ -123,6 +127,22 @@ def city(
     return _keyed(staging, "WWICityID", "CityKey", offset, defaults)
 
 
+_CUSTOMER_COLUMNS = {
+    "WWICustomerID": "CustomerID",
+    "Customer": "CustomerName",
+    "PostalCode": "DeliveryPostalCode",
+    "_bill_to": "BillToCustomerID",
+    "_category": "CustomerCategoryID",
+    "_group": "BuyingGroupID",
+    "_contact": "PrimaryContactPersonID",
+}
+
+
+def _customer_base(customers: DataFrame) -> DataFrame:
+    names = [F.col(source).alias(name) for name, source in _CUSTOMER_COLUMNS.items()]
+    return customers.select(*names, "ValidFrom", "ValidTo", "LoadDatetime")
+
+
 def _customer_feeds(customers, categories, groups, people, methods) -> DataFrame:
     """One row per change that starts a customer version, with the customer as it was then.
 
@@ -130,18 +150,7 @@ def _customer_feeds(customers, categories, groups, people, methods) -> DataFrame
     the changed name.  A side change touches every customer that referred to it
     at that time.
     """
-    columns = {
-        "WWICustomerID": "CustomerID",
-        "Customer": "CustomerName",
-        "PostalCode": "DeliveryPostalCode",
-        "_bill_to": "BillToCustomerID",
-        "_category": "CustomerCategoryID",
-        "_group": "BuyingGroupID",
-        "_contact": "PrimaryContactPersonID",
-    }
-    base = customers.select(
-        *[F.col(source).alias(name) for name, source in columns.items()], "ValidFrom", "ValidTo", "LoadDatetime"
-    )
+    base = _customer_base(customers)
     own = base.withColumns({"_feed": F.lit(0), "_own": F.lit(None).cast("string")})
     sides = [
         (1, "_category", categories, "CustomerCategoryID", "CustomerCategoryName"),
@@ -164,6 +173,83 @@ def _customer_feeds(customers, categories, groups, people, methods) -> DataFrame
     return feeds
 
 
+def _mine(feed: int | None) -> Column:
+    """Whether a row was started by a change of this feed's side."""
+    return F.col("_feed") == F.lit(feed) if feed else F.lit(False)
+
+
+def _found(role, buying_group_how: str) -> Column:
+    feed, ref, *_ = role
+    found = _mine(feed) | F.col(f"_found{ref}").isNotNull()
+    return found | F.col(ref).isNull() if feed == 2 and buying_group_how == "left" else found
+
+
+def _customer_joined(customers: DataFrame, roles, methods, buying_group_how: str) -> DataFrame:
+    """The rows of ``_customer_feeds`` with what was in force at their start, one look-up per reference."""
+    staging = _customer_feeds(customers, *[history for feed, _, history, *_ in roles if feed], methods)
+    complete = F.lit(True)
+    for role in roles:
+        feed, ref, history, member_id, name, out = role
+        take = {f"_found{ref}": member_id, out: name}
+        staging = as_of_join(staging, history, [(ref, member_id)], "ValidFrom", take, "left", method=methods[ref])
+        staging = staging.withColumn(out, F.when(_mine(feed), F.col("_own")).otherwise(F.col(out)))
+        complete = complete & _found(role, buying_group_how)
+    return staging.where(complete)
+
+
+def _customer_packed(customers: DataFrame, roles, methods, buying_group_how: str) -> DataFrame:
+    """The rows of ``_customer_feeds`` with what was in force at their start, where no id has many versions.
+
+    A customer version carries the versions of what it refers to that may be in force or
+    start while it lasts.  The rows that changes add are made from them, and looked up, where
+    the version lies: each reference moves the customer's own versions once, not
+    the rows of all feeds, and a small history none.
+    """
+    rows = _customer_base(customers)
+    start, end, last = F.col("ValidFrom"), F.col("ValidTo"), F.greatest("ValidFrom", "ValidTo")
+    own = F.struct("ValidFrom", "ValidTo", "LoadDatetime", F.lit(0).alias("_feed"), F.lit(None).cast("string").alias("_own"))
+    feeds = [F.array(own)]
+    for feed, ref, history, member_id, name, _ in roles:
+        version = [F.col("ValidFrom").alias("_from"), F.col("ValidTo").alias("_to"), F.col(name).alias("_name")]
+        version += [F.col("LoadDatetime").alias("_load")] if feed else []
+        known = history.where(F.col(member_id).isNotNull()) if feed else history.where("ValidFrom < ValidTo")
+        packed = known.groupBy(F.col(member_id).alias("_id")).agg(F.collect_list(F.struct(*version)).alias(f"_v{ref}"))
+        if methods[ref].method == "broadcast":
+            packed = F.broadcast(packed)
+        # Without any version of what it refers to no row is complete.
+        optional = feed == 2 and buying_group_how == "left"
+        rows = rows.join(packed, F.col(ref) == F.col("_id"), "left" if optional else "inner").drop("_id")
+
+        def starts(v):
+            return (v["_from"] >= start) & (v["_from"] < end)
+
+        held = F.filter(f"_v{ref}", lambda v: ((v["_to"] > start) & (v["_from"] <= last)) | starts(v))
+        rows = rows.withColumn(f"_v{ref}", F.coalesce(held, F.array().cast(rows.schema[f"_v{ref}"].dataType)) if optional else held)
+        if not feed:
+            continue
+        begin = literal_like(history, "ValidFrom", VALID_FROM)
+
+        def counts(v):
+            started = starts(v) & (v["_from"] != begin)
+            return started & (v["_from"] != v["_to"]) if feed == 3 else started
+
+        def change(v):
+            columns = {"ValidFrom": "_from", "ValidTo": "_to", "LoadDatetime": "_load"}
+            return F.struct(*[v[c].alias(n) for n, c in columns.items()], F.lit(feed).alias("_feed"), v["_name"].alias("_own"))
+
+        feeds.append(F.transform(F.filter(f"_v{ref}", counts), change))
+    carried = [f"_v{ref}" for _, ref, *_ in roles]
+    rows = rows.select(*_CUSTOMER_COLUMNS, *carried, F.inline(F.concat(*feeds)))
+    rows = rows.withColumns({v: version_at(F.col(v), F.col("ValidFrom"), "left") for v in carried})
+    shown = [*_CUSTOMER_COLUMNS, "ValidFrom", "ValidTo", "LoadDatetime", "_feed", "_own"]
+    for feed, ref, history, member_id, _, out in roles:
+        hit, kind = F.col(f"_v{ref}"), history.schema[member_id].dataType
+        name = F.when(_mine(feed), F.col("_own")).otherwise(hit["_name"])
+        rows = rows.withColumns({f"_found{ref}": F.when(hit.isNotNull(), F.col(ref)).cast(kind), out: name})
+        shown += [f"_found{ref}", out]
+    return rows.where(reduce(lambda a, b: a & b, [_found(role, buying_group_how) for role in roles])).select(*shown)
+
+
 def customer(
     customers: DataFrame,
     customer_categories: DataFrame,
@@ -196,39 +282,37 @@ def customer(
         (3, "_contact", people, "PersonID", "FullName", "PrimaryContact"),
     ]
     methods = lookup_methods({ref: (history, [member_id], [name]) for _, ref, history, member_id, name, _ in roles})
-    staging = _customer_feeds(_members(customers, "CustomerID", only), customer_categories, buying_groups, people, methods)
-    complete = F.lit(True)
-    for feed, ref, history, member_id, name, out in roles:
-        staging = as_of_join(
-            staging,
-            history,
-            [(ref, member_id)],
-            "ValidFrom",
-            {f"_found{ref}": member_id, out: name},
-            "left",
-            method=methods[ref],
-        )
-        mine = F.col("_feed") == F.lit(feed) if feed else F.lit(False)
-        staging = staging.withColumn(out, F.when(mine, F.col("_own")).otherwise(F.col(out)))
-        found = mine | F.col(f"_found{ref}").isNotNull()
-        if feed == 2 and buying_group_how == "left":
-            found = found | F.col(ref).isNull()
-        complete = complete & found
-    staging = staging.where(complete).withColumn("_raw_to", F.col("ValidTo"))
+    most = None
+    if all(method.shallow for method in methods.values()):
+        staging = _customer_packed(_members(customers, "CustomerID", only), roles, methods, buying_group_how)
+        # A version of the customer's own meets each change of what it refers to once at most.
+        most, sides = known_most(customers, "CustomerID"), [(ref, h, i) for feed, ref, h, i, *_ in roles if feed]
+        if most is not None:
+            most *= 1 + sum(max(methods[ref].most, known_most(h, i) or 0) for ref, h, i in sides)
+    else:
+        staging = _customer_joined(_members(customers, "CustomerID", only), roles, methods, buying_group_how)
+    staging = staging.withColumn("_raw_to", F.col("ValidTo"))
 
     def ended(df):
         return version_timeline(df, "WWICustomerID", "ValidFrom")
 
-    def single(df):
-        return dedup_by(df, ["WWICustomerID", "ValidFrom"], ["_feed", F.col("LoadDatetime").desc()])
+    def single(df, *tie):
+        return dedup_by(df, ["WWICustomerID", "ValidFrom"], ["_feed", F.col("LoadDatetime").desc(), *tie])
 
+    if most is not None and most <= HOT_ROWS and not strict_reference:
+        # No customer can be hot: rows of a customer are brought together once, narrow, for all windows below.
+        tie = F.xxhash64(*[c for c in staging.columns if c not in ("WWICustomerID", "ValidFrom")])
+        unused = ["_bill_to", "_category", "_group", "_contact", "_own", *[f"_found{ref}" for _, ref, *_ in roles], "_raw_to"]
+        staging = spread(staging.withColumn("_tie", tie).drop(*unused), "WWICustomerID", known_rows(customers))
+        staging = single(staging, "_tie").withColumn("_raw_to", F.col("ValidTo"))
+        staging = ended(bounded_ids(staging, "WWICustomerID", most))
     # Written once: the windows below look for hot customers before they run.
-    if strict_reference:
+    elif strict_reference:
         versions = ended(stage_counted(staging, "customer-versions"))
         staging = bounded(single(versions), known_rows(versions))
     else:
         staging = ended(stage_counted(single(staging), "customer-versions"))
-    staging = bounded(as_of_load(staging, to), known_rows(staging))
+    staging = bounded_ids(bounded(as_of_load(staging, to), known_rows(staging)), "WWICustomerID", most)
     staging = close_out(staging, "WWICustomerID", to, newest_to="_raw_to", strict_reference=strict_reference)
     staging = staging.select(
         "WWICustomerID",

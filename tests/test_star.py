@@ -1,14 +1,16 @@
 """Dimensions, facts and reports on a small hand-made warehouse."""
 
 import datetime as dt
+import random
 import uuid
+from collections import Counter
 from decimal import Decimal as dec
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators import temporal
+from starloom.operators import sizes, temporal
 from starloom.operators.checks import intervals_valid, keys_contiguous, name_identifies_id, tables_equal
 from starloom.plans import dimensions, facts, reports
 from starloom.plans.calendar import calendar
@@ -276,6 +278,63 @@ def test_customer_start_shared_by_two_feeds(src, spark):
     }
 
 
+def _customers_of(spark, src, seed=7):
+    """Customers whose references, times and duplicates lie in all ways to each other, NULLs among them."""
+    rng = random.Random(seed)
+
+    def day():
+        return D(2014, 1, 1) + dt.timedelta(days=30 * rng.randint(0, 8))
+
+    def some(schema, n, *values):
+        rows = [(*[v() for v in values], day(), rng.choice([day(), FAR, None]), day()) for _ in range(n)]
+        return spark.createDataFrame(rows, f"{schema}, ValidFrom timestamp, ValidTo timestamp, LoadDatetime timestamp")
+
+    def ref():
+        return rng.choice([1, 1, 2, 3, None])
+
+    def name():
+        return rng.choice(["a", "b", "c", None])
+
+    schema = "CustomerID int, CustomerName string, DeliveryPostalCode string, BillToCustomerID int, CustomerCategoryID int"
+    customers = some(f"{schema}, BuyingGroupID int, PrimaryContactPersonID int", 60, ref, name, name, ref, ref, ref, ref)
+    sides = [("CustomerCategoryID", "CustomerCategoryName"), ("BuyingGroupID", "BuyingGroupName"), ("PersonID", "FullName")]
+    return [customers, *[some(f"{i} int, {n} string", 14, ref, name) for i, n in sides]]
+
+
+def test_customer_by_packed_histories_equals_the_joins(spark, src):
+    args = _customers_of(spark, src)
+    customers, roles = args[0], [
+        (None, "_bill_to", args[0], "CustomerID", "CustomerName", "BillToCustomer"),
+        (1, "_category", args[1], "CustomerCategoryID", "CustomerCategoryName", "Category"),
+        (2, "_group", args[2], "BuyingGroupID", "BuyingGroupName", "BuyingGroup"),
+        (3, "_contact", args[3], "PersonID", "FullName", "PrimaryContact"),
+    ]
+    methods = {role[1]: temporal.Lookup("broadcast", False, True) for role in roles}
+    packed = dimensions._customer_packed(customers, roles, methods, "left")
+    joined = dimensions._customer_joined(customers, roles, methods, "left")
+    assert packed.columns == joined.columns
+    packed, joined = packed.collect(), joined.collect()
+    assert packed and Counter(packed) == Counter(joined)
+
+
+def test_rows_of_a_customer_are_brought_together_once(spark, src, monkeypatch):
+    args = _customers_of(spark, src)
+    written = []
+    monkeypatch.setattr(dimensions, "stage_counted", lambda df, label, *a: written.append(label) or sizes.stage_counted(df, label, *a))
+    out = dimensions.customer(*args, to=D(2014, 9, 1), offset=None)
+    # They were sorted for the dedup before they moved, written and sorted again; fat rows were looked up by sorts.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(WWICustomerID" in line]
+    assert not written and len(by_customer) == 1 and "ValidFrom" not in by_customer[0].split(", 3")[0]
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(sizes, "TASK_ROWS", 100)
+    frame = spark.range(1000).select(F.col("id"))
+    assert sizes.spread(frame, "id", 1000).rdd.getNumPartitions() == 10
+    assert sizes.spread(frame, "id", 200).rdd.getNumPartitions() <= 3 and sizes.spread(frame, "id", None).count() == 1000
+
+
 def test_employee(src):
     people = src["application_people"]
     out = dimensions.employee(people, to=TO)
