@@ -10,7 +10,7 @@ from starloom.operators.sizes import stage_history
 from starloom.plans import dimensions, facts
 from starloom.plans.calendar import calendar
 from starloom.sources.sinks import save
-from starloom.sources.staging import stage
+from starloom.sources.staging import written
 
 # Source tables each target is built from, in the order of the builder's arguments.
 DIMENSION_INPUTS = {
@@ -119,7 +119,7 @@ def save_star(
             kept = {*merge_keys} | (set() if rekey else {key})
             update = [c for c in table.columns if c not in kept]
             # Written once: the merge counts its source before it joins it.
-            table = stage(table, f"fact-{name}")
+            table = written(table, f"fact-{name}")
             save(table, f"{schema}.{target}", "merge", merge_keys, update_cols=update, buckets=buckets)
         else:
             save(table, f"{schema}.{target}", "overwrite")

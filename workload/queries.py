@@ -52,7 +52,7 @@ from starloom.plans.raw_load import load_regular, load_temporal
 from starloom.plans.star import build_dimensions, build_facts, build_star, save_star
 from starloom.sources.changes import read_changes
 from starloom.sources.sinks import append, export_sample, merge_into, overwrite, overwrite_path
-from starloom.sources.staging import stage, staging_path
+from starloom.sources.staging import stage, staging_path, written
 from starloom.sources.tables import ensure_table, extract_columns, read_table, read_tsv
 from starloom.streaming.cdc import (
     changes,
@@ -300,7 +300,7 @@ def star_build(src):
     schema = f"star_{uuid.uuid4().hex}"
     src.spark.sql(f"CREATE DATABASE {schema}")
     star = build_star(src.spark, src, "2013-01-01", _AS_OF, to=LOAD_TO)
-    star = {name: stage(table, f"star-{name}") for name, table in star.items()}
+    star = {name: written(table, f"star-{name}") for name, table in star.items()}
     save_star(star, schema, to=LOAD_TO)
     back = {name: read_table(src.spark, f"{schema}.{TARGETS[name][0]}") for name in star}
     star_equal(back, star)
