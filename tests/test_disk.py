@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import hot, temporal
+from starloom.operators.checks import tables_equal
 from starloom.operators.keys import number_parts, number_rows
 from starloom.plans import facts
 from starloom.plans.star import build_dimensions
@@ -36,6 +37,17 @@ def test_a_staged_table_leaves_no_shuffle(spark):
     assert staged.count() == 7
 
 
+def test_a_comparison_leaves_no_shuffle(spark):
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7)
+    one, two = stage(rows, "one"), stage(rows.repartition(3), "two")
+    before = _shuffles(spark)
+    assert tables_equal(one, two)
+    until = time.monotonic() + 20
+    while _shuffles(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not _shuffles(spark) - before  # the digests of both tables stayed
+
+
 def test_parts_are_numbered_as_the_whole(spark):
     rows = spark.createDataFrame([(n * 7 % 20, n) for n in range(20)], "a int, b int")
     parts = [rows.where("a < 3"), rows.where("a >= 30"), rows.where("a >= 3")]
